@@ -15,6 +15,9 @@ from candlelake.context import BatchContext, TableSpec
 from candlelake.operators.audit import at
 from candlelake.operators.surrogate import assign_surrogates
 
+# Dimensions are far smaller than facts: 256 buckets keep their ids close together.
+DIM_DIGITS = 2
+
 
 def is_current() -> Column:
     return F.coalesce(F.col("__CurrentFlag"), F.lit(False))
@@ -120,9 +123,12 @@ def scd_merge(target: DataFrame, source: DataFrame, spec: TableSpec, batch: Batc
 
     ``target`` may be the whole table or any part of it that is closed under the business
     key (for example the date partitions a batch touches). Rows missing from the source are
-    left alone. With ``id_column`` every inserted version gets the next free id.
+    left alone. With ``id_column`` every source row is given an unused id beforehand; ids of
+    rows that turn out to be stored already simply stay unused.
     """
     columns = target.columns
+    if id_column:
+        source = assign_surrogates(source, id_column, F.col(spec.key_hash), target, DIM_DIGITS)
     source = aligned(source, target)
     pairs = _joined(target.filter(is_current()), source, spec, "full_outer")
     has_target = F.col(f"t.{spec.key_hash}").isNotNull()
@@ -132,13 +138,7 @@ def scd_merge(target: DataFrame, source: DataFrame, spec: TableSpec, batch: Batc
     opened = F.when(has_source & (~has_target | expire),
                     F.struct(*(column.alias(name) for name, column in _side("s", columns).items())))
     merged = pairs.select(F.inline(F.array_compact(F.array(kept, opened))))
-    history = target.filter(~is_current())
-    if id_column:
-        stored = merged.filter(F.col(id_column).isNotNull())
-        added = assign_surrogates(merged.filter(F.col(id_column).isNull()), id_column,
-                                  F.col(spec.key_hash), target)
-        merged = stored.unionByName(added)
-    return history.unionByName(merged)
+    return target.filter(~is_current()).unionByName(merged)
 
 
 def type1_update(target: DataFrame, source: DataFrame, spec: TableSpec, batch: BatchContext) -> DataFrame:
@@ -162,6 +162,8 @@ def fact_sync(target: DataFrame, source: DataFrame, spec: TableSpec, scope: Colu
     A strict spec only deletes a changed fact, which then returns with the next load.
     """
     columns = target.columns
+    if id_column:
+        source = assign_surrogates(source, id_column, F.col(spec.key_hash), target)
     source = aligned(source, target)
     inside = target
     if scope is not None:
@@ -173,10 +175,6 @@ def fact_sync(target: DataFrame, source: DataFrame, spec: TableSpec, scope: Colu
     stored, arriving = _side("t", columns), _side("s", columns)
     synced = pairs.filter(same | keep_new).select(*(
         F.when(same, stored[name]).otherwise(arriving[name]).alias(name) for name in columns))
-    if id_column:
-        added = assign_surrogates(synced.filter(F.col(id_column).isNull()), id_column,
-                                  F.col(spec.key_hash), target)
-        synced = synced.filter(F.col(id_column).isNotNull()).unionByName(added)
     if scope is not None:
         synced = target.filter(~F.coalesce(scope, F.lit(False))).unionByName(synced)
     return synced

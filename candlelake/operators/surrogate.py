@@ -1,42 +1,51 @@
-"""Dense numbering of rows without a single-partition sort."""
+"""Numbering rows without a single-partition sort."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Hex digits of the hash that form a bucket: 3 digits give 4096 order-preserving buckets.
+# Hex digits of a hash that form a bucket: 3 digits give 4096 buckets of equal size.
 BUCKET_DIGITS = 3
 
 
-def with_position(df: DataFrame, hash_hex: Column, name: str, start_after: DataFrame | None = None,
-                  digits: int = BUCKET_DIGITS) -> DataFrame:
-    """Add ``row_number() over (order by hash_hex)``, computed bucket by bucket.
+def _bucket(hash_hex: Column, digits: int) -> Column:
+    return F.conv(F.substring(hash_hex, 1, digits), 16, 10).cast("bigint")
 
-    A hash prefix is uniform and order-preserving: rows are numbered inside their bucket and
-    shifted by the rows in all earlier buckets. Only the bucket counts (at most 16**digits
-    rows) meet in one task. ``start_after`` is a one-row, one-column DataFrame holding the
-    highest number already given away; it enters the running sum as bucket -1.
 
+def assign_surrogates(rows: DataFrame, id_column: str, hash_hex: Column,
+                      existing: DataFrame | None = None, digits: int = BUCKET_DIGITS) -> DataFrame:
+    """A new unique id for every row, above all ids in ``existing``.
+
+    Buckets of a hash prefix are numbered independently and their ids interleave: row r of
+    bucket b gets ``top + (r - 1) * buckets + b + 1``. That takes one pass and one evenly
+    spread shuffle. Ids are unique and repeatable but, like identity columns, not gapless.
     ``hash_hex`` must be distinct per row, which also rules out a hot bucket.
     """
-    hashed = (df.withColumn("_hash", hash_hex)
-              .withColumn("_bucket", F.conv(F.substring("_hash", 1, digits), 16, 10).cast("int")))
+    top = F.lit(0)
+    if existing is not None:
+        top = F.coalesce(existing.agg(F.max(id_column)).scalar(), F.lit(0))
+    inside = Window.partitionBy("_bucket").orderBy("_hash")
+    position = (F.row_number().over(inside) - 1) * F.lit(16 ** digits) + F.col("_bucket") + 1
+    return (rows.drop(id_column).withColumn("_hash", hash_hex)
+            .withColumn("_bucket", _bucket(F.col("_hash"), digits))
+            .withColumn("_position", position.cast("bigint"))
+            .withColumn(id_column, (F.col("_position") + top).cast("bigint"))
+            .drop("_hash", "_bucket", "_position"))
+
+
+def with_position(rows: DataFrame, hash_hex: Column, name: str, digits: int = BUCKET_DIGITS) -> DataFrame:
+    """Gapless ``row_number() over (order by hash_hex)``, computed bucket by bucket.
+
+    Rows are numbered inside their bucket and shifted by the rows of all earlier buckets.
+    Only the bucket counts, at most 16**digits rows, meet in one task; being that few they
+    are broadcast. Reads ``rows`` twice.
+    """
+    hashed = rows.withColumn("_hash", hash_hex).withColumn("_bucket", _bucket(F.col("_hash"), digits))
     counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    if start_after is not None:
-        given = start_after.toDF("_top").select(
-            F.lit(-1).alias("_bucket"), F.coalesce(F.col("_top"), F.lit(0)).cast("bigint").alias("_n"))
-        counts = counts.unionByName(given)
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_bucket").orderBy("_hash")
     return (hashed.join(F.broadcast(offsets), "_bucket")
             .withColumn(name, (F.col("_offset") + F.row_number().over(inside)).cast("bigint"))
             .drop("_hash", "_bucket", "_offset"))
-
-
-def assign_surrogates(inserted: DataFrame, id_column: str, hash_hex: Column,
-                      existing: DataFrame | None = None) -> DataFrame:
-    """Give every inserted row the next free id, in hash order; ``existing`` ids stay untouched."""
-    top = existing.agg(F.max(id_column).alias("_top")) if existing is not None else None
-    return with_position(inserted.drop(id_column), hash_hex, id_column, top)

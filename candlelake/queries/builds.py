@@ -8,7 +8,7 @@ from candlelake.operators import dims, facts
 from candlelake.plans import market
 from candlelake.plans.silver import build_silver
 from candlelake.queries import ctes
-from candlelake.queries.common import BATCH_1, BATCH_2, as_doubles, calendar_of_trades, current, dim_symbol, fact_load
+from candlelake.queries.common import BATCH_1, BATCH_2, as_doubles, calendar_of_trades, current, dim_symbol, fact_load, stored
 from candlelake.queries.ctes import sha, with_ctes
 from candlelake.queries.registry import query
 from candlelake.queries.scd import PRICES_SQL
@@ -58,25 +58,25 @@ def fact_out(fact):
 
 
 @query("fact_daily_build", with_ctes(f"""
-    SELECT row_number() OVER (ORDER BY __FactKeyHash) AS TransactionSID, coalesce(SymbolSID, -1) AS SymbolSID,
+    SELECT {ctes.numbered('__FactKeyHash', 3)} AS TransactionSID, coalesce(SymbolSID, -1) AS SymbolSID,
            {PRICES_SQL}, DateID, __FactKeyHash, __FactSCD1Hash, __CreatedBatchLogId FROM fact1"""))
 def fact_daily_build(spark, folder):
     return fact_out(fact_load(spark, folder))
 
 
 @query("fact_daily_rebuild", with_ctes(f"""
-    SELECT CASE WHEN is_new THEN (SELECT count(*) FROM fact1) + row_number() OVER (PARTITION BY is_new ORDER BY __FactKeyHash)
-                ELSE TransactionSID END AS TransactionSID,
-           coalesce(SymbolSID, -1) AS SymbolSID, {PRICES_SQL}, DateID, __FactKeyHash, __FactSCD1Hash, __CreatedBatchLogId
+    SELECT TransactionSID, coalesce(SymbolSID, -1) AS SymbolSID, {PRICES_SQL}, DateID, __FactKeyHash, __FactSCD1Hash, __CreatedBatchLogId
     FROM (
-      SELECT false AS is_new, t.* FROM numbered t JOIN fact2 s USING (__FactKeyHash, __FactSCD1Hash)
+      SELECT t.* FROM numbered t JOIN fact2 s
+        ON s.__FactKeyHash = t.__FactKeyHash AND s.__FactSCD1Hash = t.__FactSCD1Hash
       UNION ALL
-      SELECT true, CAST(NULL AS BIGINT), s.* FROM fact2 s
+      SELECT * FROM renumbered s
       WHERE NOT EXISTS (SELECT 1 FROM fact1 t WHERE t.__FactKeyHash = s.__FactKeyHash AND t.__FactSCD1Hash = s.__FactSCD1Hash)
       UNION ALL
-      SELECT false, t.* FROM numbered t
+      SELECT * FROM numbered t
       WHERE DateID NOT BETWEEN (SELECT min(DateID) FROM fact2) AND (SELECT max(DateID) FROM fact2))""",
-    numbered="SELECT row_number() OVER (ORDER BY __FactKeyHash) AS TransactionSID, * FROM fact1",
+    numbered=f"SELECT {ctes.numbered('__FactKeyHash', 3)} AS TransactionSID, * FROM fact1",
+    renumbered=f"SELECT {ctes.numbered('__FactKeyHash', 3, '(SELECT max(TransactionSID) FROM numbered)')} AS TransactionSID, * FROM fact2",
     fact2=ctes.CTES["fact1"].replace("factsrc", "factsrc2").replace(ctes.BATCH_1, ctes.BATCH_2).replace(ctes.LOAD_1, ctes.LOAD_2),
     factsrc2=ctes.CTES["factsrc"].replace("FROM bars b", "FROM corrected b") + " WHERE year(b.Date) >= 1998"))
 def fact_daily_rebuild(spark, folder):
@@ -84,7 +84,8 @@ def fact_daily_rebuild(spark, folder):
     later = current(market.corrected_bars(rows).filter(F.year("Date") >= 1998))
     dim = dim_symbol(spark, folder)
     scope = facts.covered_dates(later.select(facts.date_id(F.col("Date")).alias("DateID")))
-    return fact_out(facts.build_fact_daily(fact_load(spark, folder), later, dim, BATCH_2, scope=scope))
+    first = stored(fact_load(spark, folder), "fact")
+    return fact_out(facts.build_fact_daily(first, later, dim, BATCH_2, scope=scope))
 
 
 @query("silver_build", with_ctes(f"""

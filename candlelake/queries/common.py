@@ -15,6 +15,7 @@ from candlelake.operators.facts import build_fact_daily
 from candlelake.plans import market
 from candlelake.queries import ctes
 from candlelake.schemas import empty_table
+from candlelake.session import scratch_path
 from candlelake.sources.generated import date_spine
 
 BATCH_1 = BatchContext(ctes.BATCH_1, datetime.fromisoformat(ctes.LOAD_1))
@@ -53,14 +54,22 @@ def customer_reload(spark: SparkSession, folder: str) -> DataFrame:
 def dim_symbol(spark: SparkSession, folder: str) -> DataFrame:
     """Symbol dimension after a first load."""
     known = current(market.symbols(spark, folder))
-    trading = known.join(nations_with_trades(spark, folder), "s_nationkey", "left_semi")
+    trading = known.join(nations_with_trades(spark, folder), "s_nationkey")
     return build_dim_symbol(empty_table(spark, "dim_symbol"), trading, market.lookup(spark, folder), BATCH_1)
 
 
 def nations_with_trades(spark: SparkSession, folder: str) -> DataFrame:
-    lines = market.table(spark, folder, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"))
+    """Distinct suppliers come first: they collapse before any row is shuffled."""
+    active = market.table(spark, folder, "lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
     suppliers = market.table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    return suppliers.join(lines, "s_suppkey", "left_semi").select("s_nationkey").distinct()
+    return suppliers.join(active, "s_suppkey").select("s_nationkey").distinct()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder, as each load leaves them behind."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def current(bars: DataFrame) -> DataFrame:

@@ -14,6 +14,13 @@ BATCH_1 = "batch-1"
 BATCH_2 = "batch-2"
 
 
+def numbered(hash_column: str, digits: int, top: str = "0") -> str:
+    """Id of a row: interleaved positions inside buckets of the hash prefix."""
+    bucket = f"CAST('0x' || substr({hash_column}, 1, {digits}) AS BIGINT)"
+    return (f"{top} + (row_number() OVER (PARTITION BY {bucket} ORDER BY {hash_column}) - 1) * {16 ** digits}"
+            f" + {bucket} + 1")
+
+
 def sha(*columns: str, prefix: str = "") -> str:
     parts = ", ".join(f"coalesce(CAST({prefix}{name} AS VARCHAR), '{NULL_TOKEN}')" for name in columns)
     return f"sha256(concat_ws('|', {parts}))" if columns else "sha256('')"
@@ -190,7 +197,7 @@ CTES: dict[str, str] = {
                {sha(*DIM_KEY)} AS __BusinessKeyHash
         FROM istar""",
     "dimsym": f"""
-        SELECT row_number() OVER (ORDER BY __BusinessKeyHash) AS SymbolSID, *,
+        SELECT {numbered('__BusinessKeyHash', 2)} AS SymbolSID, *,
                sha256('') AS __Hash1Type, {sha(*DIM_TRACKED)} AS __Hash2Type
         FROM symkeys""",
     "factsrc": f"""

@@ -9,7 +9,7 @@ from candlelake.functions import keys
 from candlelake.functions.dates import RANGE_NAMES
 from candlelake.operators import dims, facts, measures, merge
 from candlelake.operators.audit import add_audit_columns
-from candlelake.operators.surrogate import assign_surrogates
+from candlelake.operators.surrogate import assign_surrogates, with_position
 from candlelake.plans import market
 from candlelake.queries import ctes
 from candlelake.queries.common import (
@@ -214,8 +214,15 @@ def fact_sync_merge_strict(spark, folder):
     return as_doubles(merge.fact_sync(target, source, STRICT_FACT_SPEC))
 
 
-@query("surrogate_key", with_ctes("""
+@query("surrogate_key_dense", with_ctes("""
     SELECT row_number() OVER (ORDER BY __HashKey) AS RowSID, Symbol, Date FROM silver1"""))
+def surrogate_key_dense(spark, folder):
+    numbered = with_position(silver_load(spark, folder), F.col("__HashKey"), "RowSID")
+    return numbered.select("RowSID", "Symbol", "Date")
+
+
+@query("surrogate_key", with_ctes(f"""
+    SELECT {ctes.numbered('__HashKey', 3)} AS RowSID, Symbol, Date FROM silver1"""))
 def surrogate_key(spark, folder):
     numbered = assign_surrogates(silver_load(spark, folder), "RowSID", F.col("__HashKey"))
     return numbered.select("RowSID", "Symbol", "Date")

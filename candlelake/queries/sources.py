@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from candlelake.operators import sinks
 from candlelake.plans import market
 from candlelake.queries.common import TODAY, as_doubles, fact_load, silver_load
-from candlelake.queries.ctes import with_ctes
+from candlelake.queries.ctes import numbered, with_ctes
 from candlelake.queries.registry import query
 from candlelake.session import scratch_path
 from candlelake.sources import generated, responses, tables
@@ -114,8 +114,8 @@ def src_refresh_stamp(spark, folder):
     return generated.refresh_stamp(newest, F.col("at"), "-06:00")
 
 
-@query("src_model_import", with_ctes("""
-    SELECT row_number() OVER (ORDER BY __FactKeyHash) AS TransactionSID, coalesce(SymbolSID, -1) AS SymbolSID,
+@query("src_model_import", with_ctes(f"""
+    SELECT {numbered('__FactKeyHash', 3)} AS TransactionSID, coalesce(SymbolSID, -1) AS SymbolSID,
            Volume, CAST(High AS DOUBLE) AS High, CAST(Low AS DOUBLE) AS Low, CAST(Close AS DOUBLE) AS Close,
            CAST(Open AS DOUBLE) AS Open, DateID, __FactSCD1Hash
     FROM fact1"""))
