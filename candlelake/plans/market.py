@@ -5,14 +5,11 @@ A symbol is a supplier nation, its exchange the region; every order line is a tr
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Room for the price (in thousandths) and the line number below the order number.
-_PRICE_SPAN = 10 ** 12
-_LINE_SPAN = 10 ** 7
+# Room for a price in hundredths below the order number: 24 bits, which leaves 39 for orders.
+_PRICE_SPAN = 2 ** 24
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,27 +23,28 @@ def _decimal_price(thousandths: Column) -> Column:
 def daily_by_nation(spark: SparkSession, folder: str) -> DataFrame:
     """Daily prices per nation key.
 
-    Order number, line and price of a trade are packed into one decimal, so open and close
-    are a plain min and max. All buffers have a fixed width: lines aggregate by hash before
+    The first trade of a day is the cheapest line of its lowest order, the last one the
+    dearest of its highest. Order and price are packed into one number, so open and close
+    are a plain min and max: all buffers have a fixed width, lines aggregate by hash before
     they are shuffled, and a nation with a third of all lines costs no more than another.
     """
-    price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    trade = (F.col("l_orderkey").cast("decimal(18,0)") * F.lit(Decimal(_LINE_SPAN * _PRICE_SPAN))
-             + (F.col("l_linenumber").cast("bigint") * _PRICE_SPAN + price).cast("decimal(20,0)"))
+    price = F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("bigint")
     lines = table(spark, folder, "lineitem").select(
-        F.col("l_suppkey").alias("s_suppkey"), F.col("l_shipdate").cast("date").alias("Date"),
-        F.col("l_quantity").cast("bigint").alias("quantity"), price.alias("price"), trade.alias("trade"))
+        F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", F.col("l_shipdate").cast("date").alias("Date"),
+        F.col("l_quantity").cast("bigint").alias("quantity"), price.alias("price"))
+    fits = F.col("price") < _PRICE_SPAN
+    trade = F.when(fits, F.col("l_orderkey") * _PRICE_SPAN + F.col("price")).otherwise(
+        F.raise_error(F.lit("a line price exceeds the packed range")))
     nations = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     days = lines.join(nations, "s_suppkey").groupBy("s_nationkey", "Date").agg(
         F.sum("quantity").alias("Volume"),
         F.max("price").alias("_high"), F.min("price").alias("_low"),
-        F.max("trade").alias("_last"), F.min("trade").alias("_first"))
-    in_trade = F.lit(Decimal(_PRICE_SPAN))
+        F.max(trade).alias("_last"), F.min(trade).alias("_first"))
     return days.select(
         "s_nationkey", "Volume",
         _decimal_price(F.col("_high")).alias("High"), _decimal_price(F.col("_low")).alias("Low"),
-        _decimal_price(F.col("_last") % in_trade).alias("Close"),
-        _decimal_price(F.col("_first") % in_trade).alias("Open"), "Date")
+        _decimal_price(F.col("_last") % _PRICE_SPAN).alias("Close"),
+        _decimal_price(F.col("_first") % _PRICE_SPAN).alias("Open"), "Date")
 
 
 def symbols(spark: SparkSession, folder: str) -> DataFrame:

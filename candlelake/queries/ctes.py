@@ -99,7 +99,7 @@ CTES: dict[str, str] = {
     "trades": """
         SELECT n_name AS Symbol, r_name AS ExchangeName, CAST(l_shipdate AS DATE) AS Date,
                CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) / 10, 3) AS DECIMAL(18,3)) AS px,
-               CAST(l_quantity AS BIGINT) AS qty, row(l_orderkey, l_linenumber, l_extendedprice) AS ord
+               CAST(l_quantity AS BIGINT) AS qty, row(l_orderkey, l_extendedprice) AS ord
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
              JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "bars": """
