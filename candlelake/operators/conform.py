@@ -27,12 +27,12 @@ def conform(df: DataFrame, ddl: str | StructType, skip: tuple[str, ...] = ()) ->
 
 
 def _fails(df: DataFrame, ddl: str | StructType, skip: tuple[str, ...]) -> Column:
-    have = {name.lower() for name in df.columns}
+    have = {field.name.lower(): field.dataType for field in df.schema.fields}
     failing = F.lit(False)
     for field in _target(ddl, skip).fields:
-        if field.name.lower() in have:
-            text = F.col(field.name)
-            failing = failing | (text.isNotNull() & text.try_cast(field.dataType).isNull())
+        if have.get(field.name.lower(), field.dataType) != field.dataType:
+            value = F.col(field.name)
+            failing = failing | (value.isNotNull() & value.try_cast(field.dataType).isNull())
     return failing
 
 
