@@ -52,8 +52,10 @@ def fact_source(silver: DataFrame, dim: DataFrame, batch: BatchContext,
 
 
 def build_fact_daily(target: DataFrame, silver: DataFrame, dim: DataFrame, batch: BatchContext,
-                     spec: TableSpec = FACT_DAILY_SPEC, scope: Column | None = None) -> DataFrame:
-    return fact_sync(target, fact_source(silver, dim, batch, spec), spec, scope, id_column="TransactionSID")
+                     spec: TableSpec = FACT_DAILY_SPEC, scope: Column | None = None,
+                     above: Column | None = None) -> DataFrame:
+    source = fact_source(silver, dim, batch, spec)
+    return fact_sync(target, source, spec, scope, id_column="TransactionSID", above=above)
 
 
 def star(fact: DataFrame, dim_date: DataFrame, dim_symbol: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from candlelake.context import BatchContext, TableSpec
 from candlelake.operators.audit import at
-from candlelake.operators.surrogate import assign_surrogates
+from candlelake.operators.surrogate import assign_surrogates, highest_id
 
 # Dimensions are far smaller than facts: 256 buckets keep their ids close together.
 DIM_DIGITS = 2
@@ -118,17 +118,19 @@ def _kept(columns: list[str], spec: TableSpec, batch: BatchContext, expire: Colu
 
 
 def scd_merge(target: DataFrame, source: DataFrame, spec: TableSpec, batch: BatchContext,
-              id_column: str | None = None) -> DataFrame:
+              id_column: str | None = None, above: Column | None = None) -> DataFrame:
     """Type-1 overwrite, type-2 expiry and insertion in one full outer join.
 
     ``target`` may be the whole table or any part of it that is closed under the business
     key (for example the date partitions a batch touches). Rows missing from the source are
-    left alone. With ``id_column`` every source row is given an unused id beforehand; ids of
-    rows that turn out to be stored already simply stay unused.
+    left alone. With ``id_column`` every source row is given an unused id beforehand (greater
+    than ``above``, by default the target's highest); ids of rows that turn out to be stored
+    already simply stay unused.
     """
     columns = target.columns
     if id_column:
-        source = assign_surrogates(source, id_column, F.col(spec.key_hash), target, DIM_DIGITS)
+        above = above if above is not None else highest_id(target, id_column)
+        source = assign_surrogates(source, id_column, F.col(spec.key_hash), above, DIM_DIGITS)
     source = aligned(source, target)
     pairs = _joined(target.filter(is_current()), source, spec, "full_outer")
     has_target = F.col(f"t.{spec.key_hash}").isNotNull()
@@ -154,7 +156,7 @@ def type1_update(target: DataFrame, source: DataFrame, spec: TableSpec, batch: B
 # -- fact synchronisation -------------------------------------------------------------------
 
 def fact_sync(target: DataFrame, source: DataFrame, spec: TableSpec, scope: Column | None = None,
-              id_column: str | None = None) -> DataFrame:
+              id_column: str | None = None, above: Column | None = None) -> DataFrame:
     """Replace changed facts, drop vanished ones, insert new ones in one full outer join.
 
     ``scope`` is a condition on key columns that every source row meets; facts outside it are
@@ -163,7 +165,8 @@ def fact_sync(target: DataFrame, source: DataFrame, spec: TableSpec, scope: Colu
     """
     columns = target.columns
     if id_column:
-        source = assign_surrogates(source, id_column, F.col(spec.key_hash), target)
+        above = above if above is not None else highest_id(target, id_column)
+        source = assign_surrogates(source, id_column, F.col(spec.key_hash), above)
     source = aligned(source, target)
     inside = target
     if scope is not None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,5 +75,33 @@ def switch_location(spark: SparkSession, name: str, df: DataFrame, path: str) ->
     spark.catalog.refreshTable(name)
 
 
+def replace_partitions(spark: SparkSession, name: str, df: DataFrame, column: str, scope: Iterable[int],
+                       path: str) -> None:
+    """Make ``df`` the content of the partitions in ``scope`` of a catalog table.
+
+    The new files go to a folder of their own; only then are the partitions pointed there,
+    and partitions left without rows dropped. ``df`` may read the table itself, a failed
+    write leaves it as it was, and no other partition is touched. ``scope`` lists the
+    partitions of one load, bounded by the calendar.
+    """
+    scope = sorted(scope)
+    if not scope:
+        return
+    _clustered(df, column).write.partitionBy(column).parquet(path)
+    filled = {row[0] for row in _partition_values(spark, path, column)}
+    dropped = ", ".join(f"PARTITION ({column} = {value})" for value in scope)
+    added = " ".join(f"PARTITION ({column} = {value}) LOCATION '{path}/{column}={value}'"
+                     for value in scope if value in filled)
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {dropped}")
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD {added}")
+    spark.catalog.refreshTable(name)
+
+
+def _partition_values(spark: SparkSession, path: str, column: str) -> list:
+    """Partition values below a folder; answered from folder names alone."""
+    return spark.read.schema(f"{column} INT").parquet(path).select(column).distinct().collect()
+
+
 def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)

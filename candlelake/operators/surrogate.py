@@ -13,18 +13,21 @@ def _bucket(hash_hex: Column, digits: int) -> Column:
     return F.conv(F.substring(hash_hex, 1, digits), 16, 10).cast("bigint")
 
 
+def highest_id(table: DataFrame, id_column: str) -> Column:
+    """The highest id in a table as a scalar subquery; 0 for an empty one."""
+    return F.coalesce(table.agg(F.max(id_column)).scalar(), F.lit(0))
+
+
 def assign_surrogates(rows: DataFrame, id_column: str, hash_hex: Column,
-                      existing: DataFrame | None = None, digits: int = BUCKET_DIGITS) -> DataFrame:
-    """A new unique id for every row, above all ids in ``existing``.
+                      above: Column | None = None, digits: int = BUCKET_DIGITS) -> DataFrame:
+    """A new unique id for every row, greater than ``above``.
 
     Buckets of a hash prefix are numbered independently and their ids interleave: row r of
     bucket b gets ``top + (r - 1) * buckets + b + 1``. That takes one pass and one evenly
     spread shuffle. Ids are unique and repeatable but, like identity columns, not gapless.
     ``hash_hex`` must be distinct per row, which also rules out a hot bucket.
     """
-    top = F.lit(0)
-    if existing is not None:
-        top = F.coalesce(existing.agg(F.max(id_column)).scalar(), F.lit(0))
+    top = above if above is not None else F.lit(0)
     inside = Window.partitionBy("_bucket").orderBy("_hash")
     position = (F.row_number().over(inside) - 1) * F.lit(16 ** digits) + F.col("_bucket") + 1
     return (rows.drop(id_column).withColumn("_hash", hash_hex)

@@ -93,19 +93,15 @@ def agg_subtotal_rollup(spark, folder):
 
 # -- time ranges ----------------------------------------------------------------------------
 
-@query("last_trading_date", with_ctes("""
-    SELECT 'symbol' AS Grouping, Symbol AS Member, t1 AS LastTradingDate FROM anchor_sym
-    UNION ALL SELECT 'industry', Industry, t1 FROM anchor_ind
-    UNION ALL SELECT 'all', '', t1 FROM anchor_all"""))
+@query("last_trading_date", with_ctes("SELECT Symbol, t1 AS LastTradingDate FROM anchor_sym"))
 def last_trading_date(spark, folder):
-    rows, known = market.bars(spark, folder), market.industry_star(spark, folder)
+    return m.last_trading_date(m.daily(market.bars(spark, folder), ["Symbol"]), ["Symbol"])
 
-    def dates(star, kind, by, member):
-        return m.last_trading_date(m.daily(star, by), by).select(
-            F.lit(kind).alias("Grouping"), member.alias("Member"), "LastTradingDate")
-    return (dates(rows, "symbol", ["Symbol"], F.col("Symbol"))
-            .unionByName(dates(known, "industry", ["Industry"], F.col("Industry")))
-            .unionByName(dates(rows, "all", [], F.lit(""))))
+
+@query("last_trading_date_industry", with_ctes("SELECT Industry, t1 AS LastTradingDate FROM anchor_ind"))
+def last_trading_date_industry(spark, folder):
+    days = m.daily(market.industry_star(spark, folder), ["Industry"])
+    return m.last_trading_date(days, ["Industry"])
 
 
 @query("range_bounds", with_ctes("""
@@ -154,19 +150,23 @@ def close_in_range(spark, folder):
         "Symbol", "RangeName", "Date", F.col("SumClose").cast("double").alias("Close"))
 
 
-@query("growth_pct", with_ctes("""
-    SELECT 'symbol' AS Grouping, Symbol AS Member, RangeName, round(g, 6) AS Growth FROM growth_sym
-    UNION ALL SELECT 'industry', Industry, RangeName, round(g, 6) FROM growth_ind
-    UNION ALL SELECT 'all', '', RangeName, round(g, 6) FROM growth_all"""))
+def grown(star, by):
+    return rounded(m.growth_by_range(star, by).select(*by, "RangeName", "Growth"), "Growth")
+
+
+@query("growth_pct", with_ctes("SELECT Symbol, RangeName, round(g, 6) AS Growth FROM growth_sym"))
 def growth_pct(spark, folder):
-    rows, known = market.bars(spark, folder), market.industry_star(spark, folder)
-
-    def grown(star, kind, by, member):
-        return m.growth_by_range(star, by).select(
-            F.lit(kind).alias("Grouping"), member.alias("Member"), "RangeName", "Growth")
-    return rounded(grown(rows, "symbol", ["Symbol"], F.col("Symbol"))
-                   .unionByName(grown(known, "industry", ["Industry"], F.col("Industry")))
-                   .unionByName(grown(rows, "all", [], F.lit(""))), "Growth")
+    return grown(market.bars(spark, folder), ["Symbol"])
+
+
+@query("growth_pct_industry", with_ctes("SELECT Industry, RangeName, round(g, 6) AS Growth FROM growth_ind"))
+def growth_pct_industry(spark, folder):
+    return grown(market.industry_star(spark, folder), ["Industry"])
+
+
+@query("growth_pct_all", with_ctes("SELECT RangeName, round(g, 6) AS Growth FROM growth_all"))
+def growth_pct_all(spark, folder):
+    return grown(market.bars(spark, folder), [])
 
 
 @query("investment_growth", with_ctes("""
