@@ -41,12 +41,3 @@ def is_up(last: Column, first: Column) -> Column:
 def trend_color(last: Column, first: Column) -> Column:
     return F.when(is_up(last, first), F.lit(COLOR_UP)).otherwise(F.lit(COLOR_DOWN))
 
-
-def only_value(column: Column, default: Column | None = None) -> Column:
-    """Aggregate: the single distinct value in the group, else the default (NULL).
-
-    min/max comparison needs no distinct set, so it aggregates map-side. A blank next to a
-    value makes two members, hence the NULL count.
-    """
-    single = (F.min(column) == F.max(column)) & (F.count(column) == F.count(F.lit(1)))
-    return F.when(single, F.max(column)).otherwise(default if default is not None else F.lit(None))

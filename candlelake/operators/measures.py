@@ -37,17 +37,31 @@ def measure(star: DataFrame, names: Iterable[str], by: Sequence[str] = ()) -> Da
     return star.groupBy(*by).agg(*(known[name].alias(name) for name in names))
 
 
+def _members(star: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+    """Distinct values per group. Text cannot be an aggregation buffer, but it can be a hashed
+    key: facts collapse to members before anything is sorted or shuffled."""
+    return star.select(*by, column).distinct()
+
+
+def max_text(star: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    return _members(star, column, by).groupBy(*by).agg(F.max(column).alias(column))
+
+
+def selected_value(star: DataFrame, column: str, by: Sequence[str] = (), default: object = None,
+                   name: str | None = None) -> DataFrame:
+    """The single distinct value in the group, else the default; a blank is a value of its own."""
+    only = F.when(F.count(F.lit(1)) == 1, F.max(column)).otherwise(F.lit(default))
+    return _members(star, column, by).groupBy(*by).agg(only.alias(name or column))
+
+
 # -- days, anchors, ranges ------------------------------------------------------------------
 
 def daily(star: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Additive parts of the measures per group and day.
 
-    Grouped by symbol the fact has about one row per group and day already, so rows are
-    placed by the group alone and every later step stays in place. Coarser groups can be
-    hot; they are pre-aggregated per day first.
+    Facts are summed per day on the map side before they move, so a hot group (an industry,
+    the whole market, the blank member of all unknown symbols) never meets in one task.
     """
-    if "Symbol" in by:
-        star = star.repartition(*by)
     return star.groupBy(*by, "Date").agg(
         F.sum("Open").alias("SumOpen"),
         F.sum("Close").alias("SumClose"),

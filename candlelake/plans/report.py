@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.functions.dates import DEFAULT_RANGE, RANGE_NAMES
-from candlelake.functions.values import growth_text, investment_growth, is_up, only_value, ratio, trend_color
+from candlelake.functions.dates import DEFAULT_RANGE
+from candlelake.functions.values import growth_text, investment_growth, is_up, ratio, trend_color
 from candlelake.operators.measures import (
-    average_growth, daily, growth_by_range, measure, range_endpoints, with_endpoints)
+    growth_by_range, measure, selected_value, with_endpoints)
 
 CARD_RANGES = ("30 Days", "90 Days", "1Y", "5Y")
 PIVOT_RANGES = {"Growth90": "90 Days", "Growth1Y": "1Y", "Growth5Y": "5Y"}
@@ -126,4 +126,4 @@ def range_slicer(ranges: DataFrame, default: str = DEFAULT_RANGE) -> DataFrame:
 
 def selected_range(selection: DataFrame) -> DataFrame:
     """The one selected range, else the default."""
-    return selection.agg(only_value(F.col("RangeName"), F.lit(DEFAULT_RANGE)).alias("SelectedRange"))
+    return selected_value(selection, "RangeName", default=DEFAULT_RANGE, name="SelectedRange")

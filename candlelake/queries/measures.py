@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlelake.functions.values import growth_text, investment_growth, only_value, trend_color
+from candlelake.functions.values import growth_text, investment_growth, trend_color
 from candlelake.operators import measures as m
 from candlelake.plans import market, report
 from candlelake.queries.common import rounded
@@ -63,17 +63,22 @@ def agg_max_refresh(spark, folder):
 
 @query("agg_max_logo", with_ctes("SELECT Industry, max(Logo) AS Logo FROM istar GROUP BY Industry"))
 def agg_max_logo(spark, folder):
-    return market.industry_star(spark, folder).groupBy("Industry").agg(F.max("Logo").alias("Logo"))
+    return m.max_text(market.industry_star(spark, folder), "Logo", ["Industry"])
 
 
 @query("selected_value", with_ctes("""
-    SELECT ExchangeName, Date, CASE WHEN count(DISTINCT Symbol) = 1 THEN max(Symbol) END AS OneSymbol,
-           CASE WHEN count(DISTINCT Volume) = 1 THEN max(Volume) ELSE -1 END AS OneVolume
+    SELECT ExchangeName, Date, CASE WHEN count(DISTINCT Symbol) = 1 THEN max(Symbol) END AS Symbol
     FROM bars GROUP BY ExchangeName, Date"""))
 def selected_value(spark, folder):
-    return market.bars(spark, folder).groupBy("ExchangeName", "Date").agg(
-        only_value(F.col("Symbol")).alias("OneSymbol"),
-        only_value(F.col("Volume"), F.lit(-1)).alias("OneVolume"))
+    return m.selected_value(market.bars(spark, folder), "Symbol", ["ExchangeName", "Date"])
+
+
+@query("selected_value_default", with_ctes("""
+    SELECT Symbol, Month, CASE WHEN count(DISTINCT Volume) = 1 THEN max(Volume) ELSE -1 END AS Volume
+    FROM (SELECT Symbol, Volume, CAST(date_trunc('month', Date) AS DATE) AS Month FROM bars) GROUP BY Symbol, Month"""))
+def selected_value_default(spark, folder):
+    months = market.bars(spark, folder).withColumn("Month", F.trunc("Date", "month"))
+    return m.selected_value(months, "Volume", ["Symbol", "Month"], default=-1)
 
 
 @query("agg_count_rows", with_ctes("SELECT count(*) AS Points FROM (SELECT DISTINCT Symbol, Date FROM bars)"))

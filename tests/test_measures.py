@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlelake.functions.dates import range_start
-from candlelake.functions.values import growth_text, investment_growth, only_value, ratio
+from candlelake.functions.values import growth_text, investment_growth, ratio
 from candlelake.operators import measures as m
 from candlelake.operators.series import downsample_minmax
 from candlelake.plans import report
@@ -89,10 +89,10 @@ def test_text_and_ratio(spark):
     assert one(spark, investment_growth(F.lit(None).cast("double"))) == 10000.0
 
 
-def test_only_value(spark):
+def test_selected_value(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (2, "b"), (3, None), (4, "a"), (4, None)], "k int, v string")
-    got = df.groupBy("k").agg(only_value(F.col("v"), F.lit("-")).alias("v")).collect()
-    assert {r.k: r.v for r in got} == {1: "a", 2: "-", 3: "-", 4: "-"}
+    got = m.selected_value(df, "v", ["k"], "-").collect()
+    assert {r.k: r.v for r in got} == {1: "a", 2: "-", 3: None, 4: "-"}
 
 
 def test_selected_range_and_slicers(spark):
