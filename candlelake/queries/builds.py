@@ -8,7 +8,8 @@ from candlelake.operators import dims, facts
 from candlelake.plans import market
 from candlelake.plans.silver import build_silver
 from candlelake.queries import ctes
-from candlelake.queries.common import BATCH_1, BATCH_2, as_doubles, calendar_of_trades, current, dim_symbol, fact_load, stored
+from candlelake.queries.common import (
+    BATCH_1, BATCH_2, as_doubles, calendar_of, current, dim_of, dim_symbol, fact_of, stored, stored_bars, trade_calendar)
 from candlelake.queries.ctes import sha, with_ctes
 from candlelake.queries.registry import query
 from candlelake.queries.scd import PRICES_SQL
@@ -17,7 +18,7 @@ from candlelake.schemas import empty_table
 
 @query("dim_date_build", with_ctes("SELECT * FROM cal"))
 def dim_date_build(spark, folder):
-    return calendar_of_trades(spark, folder)
+    return trade_calendar(spark, folder)
 
 
 @query("dim_date_extend", with_ctes("""
@@ -28,14 +29,14 @@ def dim_date_build(spark, folder):
         make_timestamp((SELECT CAST(year(max(ts)) AS BIGINT) FROM events), 12, 31, 0, 0, 0), INTERVAL 1 DAY) AS g(d)"""))
 def dim_date_extend(spark, folder):
     newer = market.table(spark, folder, "events").select(F.col("ts").cast("date").alias("Date"))
-    grown = dims.extend_calendar(calendar_of_trades(spark, folder), newer)
+    grown = dims.extend_calendar(trade_calendar(spark, folder), newer)
     return grown.select("DateID", "Date", "Year", "YearMonth")
 
 
 @query("dim_year_month", with_ctes("""
     SELECT Date, YearMonth, make_date(Year, MonthNumber, 1) AS YearMonthDate FROM cal"""))
 def dim_year_month(spark, folder):
-    return dims.with_first_of_month(calendar_of_trades(spark, folder)).select("Date", "YearMonth", "YearMonthDate")
+    return dims.with_first_of_month(trade_calendar(spark, folder)).select("Date", "YearMonth", "YearMonthDate")
 
 
 @query("dim_symbol_build", with_ctes(f"""
@@ -61,7 +62,8 @@ def fact_out(fact):
     SELECT {ctes.numbered('__FactKeyHash', 3)} AS TransactionSID, coalesce(SymbolSID, -1) AS SymbolSID,
            {PRICES_SQL}, DateID, __FactKeyHash, __FactSCD1Hash, __CreatedBatchLogId FROM fact1"""))
 def fact_daily_build(spark, folder):
-    return fact_out(fact_load(spark, folder))
+    rows = stored_bars(spark, folder)
+    return fact_out(fact_of(rows, dim_of(rows, market.lookup(spark, folder))))
 
 
 @query("fact_daily_rebuild", with_ctes(f"""
@@ -80,11 +82,11 @@ def fact_daily_build(spark, folder):
     fact2=ctes.CTES["fact1"].replace("factsrc", "factsrc2").replace(ctes.BATCH_1, ctes.BATCH_2).replace(ctes.LOAD_1, ctes.LOAD_2),
     factsrc2=ctes.CTES["factsrc"].replace("FROM bars b", "FROM corrected b") + " WHERE year(b.Date) >= 1998"))
 def fact_daily_rebuild(spark, folder):
-    rows = market.bars(spark, folder)
+    rows = stored_bars(spark, folder)
     later = current(market.corrected_bars(rows).filter(F.year("Date") >= 1998))
-    dim = dim_symbol(spark, folder)
+    dim = stored(dim_of(rows, market.lookup(spark, folder)), "dim")
     scope = facts.covered_dates(later.select(facts.date_id(F.col("Date")).alias("DateID")))
-    first = stored(fact_load(spark, folder), "fact")
+    first = stored(fact_of(rows, dim), "fact")
     return fact_out(facts.build_fact_daily(first, later, dim, BATCH_2, scope=scope))
 
 
@@ -103,4 +105,5 @@ def silver_build(spark, folder):
 
 @query("calc_open_dates", with_ctes("SELECT * FROM cal WHERE (SELECT sum(Open) FROM bars) > 0"))
 def calc_open_dates(spark, folder):
-    return dims.open_dates(calendar_of_trades(spark, folder), market.bars(spark, folder))
+    rows = stored_bars(spark, folder)
+    return dims.open_dates(calendar_of(rows), rows)

@@ -35,12 +35,28 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(F.col(name), digits) for name in columns})
 
 
-def silver_load(spark: SparkSession, folder: str) -> DataFrame:
-    return add_audit_columns(market.bars(spark, folder), SILVER_SPEC, BATCH_1)
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder, for inputs a query reads more than once.
+
+    Trades are then joined and aggregated once, and a lost executor re-reads the table
+    instead of recomputing it.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_bars(spark: SparkSession, folder: str) -> DataFrame:
+    return stored(market.bars(spark, folder), "bars")
+
+
+def silver_of(bars: DataFrame) -> DataFrame:
+    return add_audit_columns(bars, SILVER_SPEC, BATCH_1)
 
 
-def silver_reload(spark: SparkSession, folder: str) -> DataFrame:
-    return add_audit_columns(market.corrected_bars(market.bars(spark, folder)), SILVER_SPEC, BATCH_2)
+def silver_again(bars: DataFrame) -> DataFrame:
+    """The corrected second delivery of the same bars."""
+    return add_audit_columns(market.corrected_bars(bars), SILVER_SPEC, BATCH_2)
 
 
 def customer_load(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,39 +67,37 @@ def customer_reload(spark: SparkSession, folder: str) -> DataFrame:
     return add_audit_columns(market.second_customers(spark, folder), CUSTOMER_SPEC, BATCH_2)
 
 
-def dim_symbol(spark: SparkSession, folder: str) -> DataFrame:
-    """Symbol dimension after a first load."""
-    known = current(market.symbols(spark, folder))
-    trading = known.join(nations_with_trades(spark, folder), "s_nationkey")
-    return build_dim_symbol(empty_table(spark, "dim_symbol"), trading, market.lookup(spark, folder), BATCH_1)
+def current(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("__CurrentFlag", F.lit(True))
 
 
-def nations_with_trades(spark: SparkSession, folder: str) -> DataFrame:
-    """Distinct suppliers come first: they collapse before any row is shuffled."""
+def traded_symbols(spark: SparkSession, folder: str) -> DataFrame:
+    """Attributes of the symbols with a trade; suppliers collapse before any row is shuffled."""
     active = market.table(spark, folder, "lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
     suppliers = market.table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    return suppliers.join(active, "s_suppkey").select("s_nationkey").distinct()
+    nations = suppliers.join(active, "s_suppkey").select("s_nationkey").distinct()
+    return market.symbols(spark, folder).join(nations, "s_nationkey")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder, as each load leaves them behind."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def dim_of(rows: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Symbol dimension after a first load of rows with symbol attributes."""
+    return build_dim_symbol(empty_table(rows.sparkSession, "dim_symbol"), current(rows), lookup, BATCH_1)
 
 
-def current(bars: DataFrame) -> DataFrame:
-    return bars.withColumn("__CurrentFlag", F.lit(True))
+def dim_symbol(spark: SparkSession, folder: str) -> DataFrame:
+    return dim_of(traded_symbols(spark, folder), market.lookup(spark, folder))
 
 
-def fact_load(spark: SparkSession, folder: str) -> DataFrame:
+def fact_of(bars: DataFrame, dim: DataFrame) -> DataFrame:
     """Fact table after a first load."""
-    return build_fact_daily(empty_table(spark, "fact_daily"), current(market.bars(spark, folder)),
-                            dim_symbol(spark, folder), BATCH_1)
+    return build_fact_daily(empty_table(bars.sparkSession, "fact_daily"), current(bars), dim, BATCH_1)
 
 
-def calendar_of_trades(spark: SparkSession, folder: str) -> DataFrame:
-    """Calendar from the first to the last trading day."""
-    bounds = market.table(spark, folder, "lineitem").agg(
-        F.min("l_shipdate").cast("date").alias("start_date"), F.max("l_shipdate").cast("date").alias("end_date"))
+def calendar_of(days: DataFrame, column: str = "Date") -> DataFrame:
+    """Calendar from the first to the last day of a column."""
+    bounds = days.agg(F.min(column).cast("date").alias("start_date"), F.max(column).cast("date").alias("end_date"))
     return calendar(date_spine(bounds))
+
+
+def trade_calendar(spark: SparkSession, folder: str) -> DataFrame:
+    return calendar_of(market.table(spark, folder, "lineitem"), "l_shipdate")

@@ -13,8 +13,8 @@ from candlelake.operators.surrogate import assign_surrogates, with_position
 from candlelake.plans import market
 from candlelake.queries import ctes
 from candlelake.queries.common import (
-    BATCH_1, BATCH_2, CUSTOMER_SPEC, as_doubles, calendar_of_trades, current, customer_load, customer_reload, dim_symbol,
-    fact_load, silver_load, silver_reload)
+    BATCH_1, BATCH_2, CUSTOMER_SPEC, as_doubles, calendar_of, current, customer_load, customer_reload, dim_of, fact_of,
+    silver_again, silver_of, stored, stored_bars)
 from candlelake.queries.ctes import sha, with_ctes
 from candlelake.queries.registry import query
 
@@ -49,7 +49,8 @@ def join_lookup_enrich(spark, folder):
 @query("join_fact_to_dim_key", with_ctes(f"""
     SELECT coalesce(SymbolSID, -1) AS SymbolSID, {PRICES_SQL}, DateID FROM factsrc"""))
 def join_fact_to_dim_key(spark, folder):
-    keyed = facts.with_dim_key(current(market.bars(spark, folder)), dim_symbol(spark, folder))
+    rows = stored_bars(spark, folder)
+    keyed = facts.with_dim_key(current(rows), dim_of(rows, market.lookup(spark, folder)))
     return as_doubles(keyed.drop(DIM_SYMBOL_SPEC.key_hash).withColumn(
         "SymbolSID", F.coalesce("SymbolSID", F.lit(-1).cast("bigint"))))
 
@@ -83,7 +84,9 @@ def join_not_matched_by_source(spark, folder):
            CAST(Close AS DOUBLE) AS Close, Volume
     FROM fact1 f LEFT JOIN cal USING (DateID) LEFT JOIN dimsym d ON d.SymbolSID = f.SymbolSID"""))
 def join_star(spark, folder):
-    joined = facts.star(fact_load(spark, folder), calendar_of_trades(spark, folder), dims.current_dim(dim_symbol(spark, folder)))
+    rows = stored_bars(spark, folder)
+    dim = stored(dim_of(rows, market.lookup(spark, folder)), "dim")
+    joined = facts.star(fact_of(rows, dim), calendar_of(rows), dims.current_dim(dim))
     blank = {name: F.coalesce(name, F.lit("")) for name in ("Symbol", "Industry")}
     return as_doubles(joined.withColumns(blank).select(
         "DateID", "YearMonth", "DayOfWeek", "Symbol", "Industry", "Close", "Volume"))
@@ -123,7 +126,7 @@ def hash_type1(spark, folder):
     SELECT * REPLACE (CAST(High AS DOUBLE) AS High, CAST(Low AS DOUBLE) AS Low, CAST(Close AS DOUBLE) AS Close,
                       CAST(Open AS DOUBLE) AS Open) FROM silver1"""))
 def audit_stage(spark, folder):
-    return as_doubles(silver_load(spark, folder))
+    return as_doubles(silver_of(market.bars(spark, folder)))
 
 
 @query("audit_dim", with_ctes(f"SELECT {CUSTOMER_DIM_SQL} FROM dim1"))
@@ -154,7 +157,8 @@ def audit_fact(spark, folder):
            __lastmodified, __HashKey, __HashValue, __CreatedBatchLogId, __UpdatedBatchLogId, __UpdateDateTime
     FROM silver_merged"""))
 def scd2_stage_merge(spark, folder):
-    merged = merge.scd_merge(silver_load(spark, folder), silver_reload(spark, folder), SILVER_SPEC, BATCH_2)
+    rows = stored_bars(spark, folder)
+    merged = merge.scd_merge(silver_of(rows), silver_again(rows), SILVER_SPEC, BATCH_2)
     return as_doubles(merged.select(
         "Symbol", "Date", *facts.PRICE_COLUMNS, "__CurrentFlag", "__EffectiveStartDateTime",
         "__EffectiveEndDateTime", "__lastmodified", "__HashKey", "__HashValue", "__CreatedBatchLogId",
@@ -193,7 +197,7 @@ def scd2_dim_merge(spark, folder):
       SELECT t.* FROM facts_old t WHERE DateID NOT BETWEEN (SELECT min(DateID) FROM facts_new) AND (SELECT max(DateID) FROM facts_new))""",
     facts_old=FACTS_OLD, facts_new=FACTS_NEW + " WHERE year(Date) >= 1998"))
 def fact_sync_merge(spark, folder):
-    rows = market.bars(spark, folder)
+    rows = stored_bars(spark, folder)
     target = silver_fact(rows, BATCH_1)
     source = silver_fact(market.corrected_bars(rows).filter(F.year("Date") >= 1998), BATCH_2)
     return as_doubles(merge.fact_sync(target, source, FACT_DAILY_SPEC, facts.covered_dates(source)))
@@ -208,7 +212,7 @@ def fact_sync_merge(spark, folder):
         SELECT 1 FROM facts_old t WHERE s.__FactKeyHash = t.__FactKeyHash))""",
     facts_old=FACTS_OLD, facts_new=FACTS_NEW))
 def fact_sync_merge_strict(spark, folder):
-    rows = market.bars(spark, folder)
+    rows = stored_bars(spark, folder)
     target = silver_fact(rows, BATCH_1, STRICT_FACT_SPEC)
     source = silver_fact(market.corrected_bars(rows), BATCH_2, STRICT_FACT_SPEC)
     return as_doubles(merge.fact_sync(target, source, STRICT_FACT_SPEC))
@@ -217,14 +221,14 @@ def fact_sync_merge_strict(spark, folder):
 @query("surrogate_key_dense", with_ctes("""
     SELECT row_number() OVER (ORDER BY __HashKey) AS RowSID, Symbol, Date FROM silver1"""))
 def surrogate_key_dense(spark, folder):
-    numbered = with_position(silver_load(spark, folder), F.col("__HashKey"), "RowSID")
+    numbered = with_position(stored(silver_of(market.bars(spark, folder)), "silver"), F.col("__HashKey"), "RowSID")
     return numbered.select("RowSID", "Symbol", "Date")
 
 
 @query("surrogate_key", with_ctes(f"""
     SELECT {ctes.numbered('__HashKey', 3)} AS RowSID, Symbol, Date FROM silver1"""))
 def surrogate_key(spark, folder):
-    numbered = assign_surrogates(silver_load(spark, folder), "RowSID", F.col("__HashKey"))
+    numbered = assign_surrogates(silver_of(market.bars(spark, folder)), "RowSID", F.col("__HashKey"))
     return numbered.select("RowSID", "Symbol", "Date")
 
 

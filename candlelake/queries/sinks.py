@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from candlelake import schemas
 from candlelake.operators import conform, dims, flatten, merge, sinks
 from candlelake.plans import market
-from candlelake.queries.common import CREATED, as_doubles, dim_symbol, silver_load
+from candlelake.queries.common import CREATED, as_doubles, dim_symbol, silver_of, stored, stored_bars
 from candlelake.queries.ctes import with_ctes
 from candlelake.queries.registry import query
 from candlelake.session import scratch_path
@@ -27,7 +27,7 @@ def size():
     SELECT Symbol, Date, CAST(Close AS DOUBLE) FROM bars WHERE ExchangeName = 'EUROPE'"""))
 def sink_partition_overwrite(spark, folder):
     path = scratch_path(spark, "overwrite")
-    first = market.bars(spark, folder)
+    first = stored_bars(spark, folder)
     for batch in (first, market.corrected_bars(first)):
         rows = batch.select(F.col("Symbol").alias("symbol"), "Date", "Close")
         sinks.overwrite_partitions(rows, path)
@@ -63,7 +63,7 @@ LEGACY_DIM = """
 def sink_overwrite_evolve(spark, folder):
     path = scratch_path(spark, "legacy-dim")
     stamped = flatten.stamp_created(responses.accept(market.responses(spark, folder)), CREATED)
-    full = flatten.legacy_dim_stock(stamped)
+    full = stored(flatten.legacy_dim_stock(stamped), "legacy")
     sinks.overwrite_evolving(full.drop("mic_code", "created_date"), path)
     sinks.overwrite_evolving(full, path)
     return sinks.read_evolving(spark, path)
@@ -75,7 +75,7 @@ def sink_overwrite_evolve(spark, folder):
     SELECT Symbol, Date, CAST(Close AS DOUBLE), ExchangeName FROM corrected"""))
 def sink_append_evolve(spark, folder):
     path = scratch_path(spark, "legacy-fact")
-    first = market.bars(spark, folder)
+    first = stored_bars(spark, folder)
     keep = [F.col("Symbol").alias("symbol"), "Date", F.col("Close").cast("double").alias("close")]
     sinks.append_evolving(first.select(*keep), path)
     sinks.append_evolving(market.corrected_bars(first).select(*keep, F.col("ExchangeName").alias("exchange")), path)
@@ -87,7 +87,7 @@ def sink_append_evolve(spark, folder):
 def table_create(spark, folder):
     name = f"silver_{uuid.uuid4().hex}"
     sinks.create_known_table(spark, name, scratch_path(spark, "table"), "silver", replace=True)
-    rows = conform.conform(silver_load(spark, folder), schemas.SILVER)
+    rows = conform.conform(silver_of(market.bars(spark, folder)), schemas.SILVER)
     rows.write.insertInto(name)
     stored = spark.table(name).select("Symbol", "Date", "Volume", "Close", "__CurrentFlag", "__HashValue")
     return as_doubles(stored)
@@ -124,7 +124,7 @@ def view_current_dim(spark, folder):
     UNION ALL
     SELECT Date, 'added' FROM dates WHERE Date NOT IN (SELECT Date FROM bars WHERE ExchangeName = 'EUROPE')"""))
 def upsert_insert_only(spark, folder):
-    all_bars = market.bars(spark, folder)
+    all_bars = stored_bars(spark, folder)
     held = (all_bars.filter("ExchangeName = 'EUROPE'").select("Date").distinct()
             .withColumn("origin", F.lit("kept")))
     bounds = all_bars.agg(F.min("Date").alias("start_date"), F.max("Date").alias("end_date"))

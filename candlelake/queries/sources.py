@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from candlelake.operators import sinks
 from candlelake.plans import market
-from candlelake.queries.common import TODAY, as_doubles, fact_load, silver_load
+from candlelake.queries.common import TODAY, as_doubles, dim_of, fact_of, silver_of, stored_bars
 from candlelake.queries.ctes import numbered, with_ctes
 from candlelake.queries.registry import query
 from candlelake.session import scratch_path
@@ -37,10 +37,10 @@ def bronze_path(spark, folder):
     return path
 
 
-def overview(df):
+def overview(df, *columns):
     return df.select(
-        F.col("meta.symbol").alias("symbol"), F.col("meta.mic_code").alias("mic_code"), "status",
-        F.size("values").cast("bigint").alias("n_values"))
+        F.col("meta.symbol").alias("symbol"), F.col("meta.mic_code").alias("mic_code"),
+        F.size("values").cast("bigint").alias("n_values"), *columns)
 
 
 DOC_COLUMNS = """
@@ -50,20 +50,14 @@ DOC_COLUMNS = """
 
 @query("src_landed_responses", with_ctes(f"SELECT {DOC_COLUMNS}, status, n_values FROM landed"))
 def src_landed_responses(spark, folder):
-    return overview(landed(spark, folder))
+    return overview(landed(spark, folder), "status")
 
 
 @query("src_accept_responses", with_ctes(f"""
     SELECT {DOC_COLUMNS}, n_values, has_meta AND status = 'ok' AS accepted FROM landed"""))
 def src_accept_responses(spark, folder):
     docs = market.responses(spark, folder)
-    size = F.size("values").cast("bigint").alias("n_values")
-    good = responses.accept(docs).select(
-        "symbol", F.col("meta.mic_code").alias("mic_code"), size, F.lit(True).alias("accepted"))
-    bad = responses.reject(docs).select(
-        F.col("meta.symbol").alias("symbol"), F.col("meta.mic_code").alias("mic_code"), size,
-        F.lit(False).alias("accepted"))
-    return good.unionByName(bad)
+    return overview(docs.withColumn("accepted", responses.is_accepted()), "accepted")
 
 
 @query("src_bronze_parquet", with_ctes("SELECT Symbol AS symbol, n_values FROM accepted"))
@@ -82,7 +76,7 @@ def src_recursive_parquet(spark, folder):
     SELECT Symbol, Date, CAST(Close AS DOUBLE) AS Close, __CurrentFlag, __HashKey FROM silver1"""))
 def src_versioned_table(spark, folder):
     path = scratch_path(spark, "silver")
-    silver_load(spark, folder).write.parquet(path)
+    silver_of(market.bars(spark, folder)).write.parquet(path)
     table = tables.read_table(spark, f"parquet.`{path}`")
     return as_doubles(table.select("Symbol", "Date", "Close", "__CurrentFlag", "__HashKey"))
 
@@ -120,5 +114,6 @@ def src_refresh_stamp(spark, folder):
            CAST(Open AS DOUBLE) AS Open, DateID, __FactSCD1Hash
     FROM fact1"""))
 def src_model_import(spark, folder):
-    imported = tables.import_fact(fact_load(spark, folder))
+    rows = stored_bars(spark, folder)
+    imported = tables.import_fact(fact_of(rows, dim_of(rows, market.lookup(spark, folder))))
     return imported.withColumn("SymbolSID", F.coalesce("SymbolSID", F.lit(-1).cast("bigint")))
