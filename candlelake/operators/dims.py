@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlelake.context import DIM_SYMBOL_SPEC, BatchContext, TableSpec
 from candlelake.functions.dates import date_id
 from candlelake.operators.audit import add_audit_columns
 from candlelake.operators.merge import insert_only, scd_merge
-from candlelake.sources.generated import date_spine
+from candlelake.sources.generated import date_spine, spine_between
 
 # Fixed value: first day of a calendar built from nothing.
 CALENDAR_START = "2000-01-01"
@@ -51,6 +54,20 @@ def extend_calendar(dim: DataFrame, facts: DataFrame) -> DataFrame:
     return insert_only(dim, calendar(missing_days(dim, facts)), ["Date"])
 
 
+def update_calendar(spark: SparkSession, path: str, start: date | str = CALENDAR_START,
+                    end: date | str = "2010-12-31") -> None:
+    """Add the days of a range to a stored calendar, creating it on first use."""
+    days = calendar(spine_between(spark, start, end))
+    try:
+        held = spark.read.parquet(path).select("Date")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        days = days.join(held, "Date", "left_anti").select(*days.columns)
+    days.write.mode("append").parquet(path)
+
+
 def with_first_of_month(dim: DataFrame) -> DataFrame:
     return dim.withColumn("YearMonthDate", F.make_date("Year", "MonthNumber", F.lit(1)))
 

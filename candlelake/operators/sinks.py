@@ -52,11 +52,11 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
 
 def create_table(spark: SparkSession, name: str, ddl: str, path: str, replace: bool = False,
                  partition_by: str | None = None) -> None:
-    """Catalog table with a declared schema at a location."""
+    """Catalog table with a declared schema at a location; an existing one stays unless replaced."""
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     partitioned = f" PARTITIONED BY ({partition_by})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {name} ({ddl}) USING PARQUET{partitioned} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING PARQUET{partitioned} LOCATION '{path}'")
 
 
 def create_known_table(spark: SparkSession, name: str, path: str, kind: str, replace: bool = False) -> None:
@@ -79,22 +79,25 @@ def replace_partitions(spark: SparkSession, name: str, df: DataFrame, column: st
                        path: str) -> None:
     """Make ``df`` the content of the partitions in ``scope`` of a catalog table.
 
-    The new files go to a folder of their own; only then are the partitions pointed there,
-    and partitions left without rows dropped. ``df`` may read the table itself, a failed
-    write leaves it as it was, and no other partition is touched. ``scope`` lists the
-    partitions of one load, bounded by the calendar.
+    The new files go to a folder of their own; only then is each partition pointed there, and
+    those left without rows are dropped last. ``df`` may read the table itself, a failed write
+    leaves it as it was, a partition always holds either its old or its new rows, and no other
+    partition is touched. ``scope`` lists the partitions of one load, bounded by the calendar.
     """
-    scope = sorted(scope)
+    scope = set(scope)
     if not scope:
         return
     _clustered(df, column).write.partitionBy(column).parquet(path)
     filled = {row[0] for row in _partition_values(spark, path, column)}
-    dropped = ", ".join(f"PARTITION ({column} = {value})" for value in scope)
-    added = " ".join(f"PARTITION ({column} = {value}) LOCATION '{path}/{column}={value}'"
-                     for value in scope if value in filled)
-    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {dropped}")
-    if added:
-        spark.sql(f"ALTER TABLE {name} ADD {added}")
+    held = {int(row[0].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    new = [f"PARTITION ({column} = {value}) LOCATION '{path}/{column}={value}'" for value in sorted(filled - held)]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD {' '.join(new)}")
+    for value in sorted(filled & held):
+        spark.sql(f"ALTER TABLE {name} PARTITION ({column} = {value}) SET LOCATION '{path}/{column}={value}'")
+    emptied = [f"PARTITION ({column} = {value})" for value in sorted((scope & held) - filled)]
+    if emptied:
+        spark.sql(f"ALTER TABLE {name} DROP {', '.join(emptied)}")
     spark.catalog.refreshTable(name)
 
 

@@ -7,6 +7,7 @@ merging it alone gives the same result as merging the whole table.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,8 +55,7 @@ class Lake:
             sinks.create_known_table(self.spark, self.name(kind), self.path(kind, "empty"), kind, replace)
 
     def seed_lookup(self, lookup: DataFrame, batch: BatchContext) -> None:
-        sinks.switch_location(self.spark, self.name("symbol_lookup"), lookup,
-                              self.path("symbol_lookup", batch.batch_id))
+        self._switch("symbol_lookup", lookup, batch)
 
     # -- one load ---------------------------------------------------------------------------
 
@@ -64,9 +64,8 @@ class Lake:
         sinks.overwrite_partitions(responses.accept(landed), self.path("bronze"))
         responses.reject(landed).write.mode("overwrite").json(self.path("rejected", batch.batch_id))
 
-    def load_silver(self, bronze: DataFrame, batch: BatchContext) -> None:
-        """``bronze`` holds accepted responses."""
-        flat = self._staged(flat_bars(bronze.withColumn("status", F.lit("ok"))), "flat", batch)
+    def load_silver(self, landed: DataFrame, batch: BatchContext) -> None:
+        flat = self._staged(flat_bars(landed), "flat", batch)
         rejected_bars(flat).write.mode("overwrite").json(self.path("rejected_bars", batch.batch_id))
         source = check_source(silver_source(flat, batch), SILVER_SPEC)
         months = self._months(source.select(month_of(F.col("Date"))))
@@ -77,8 +76,7 @@ class Lake:
     def load_dim_symbol(self, batch: BatchContext) -> None:
         built = dims.build_dim_symbol(self.table("dim_symbol"), self._changed(batch),
                                       self.table("symbol_lookup"), batch)
-        sinks.switch_location(self.spark, self.name("dim_symbol"), built,
-                              self.path("dim_symbol", batch.batch_id))
+        self._switch("dim_symbol", built, batch)
 
     def load_facts(self, batch: BatchContext) -> None:
         """Sync every month with a changed silver row against all of that month's silver rows."""
@@ -95,11 +93,11 @@ class Lake:
     def load_dim_date(self, batch: BatchContext) -> None:
         dim = self.table("dim_date")
         grown = dims.extend_calendar(dim, self._changed(batch).select("Date"))
-        sinks.switch_location(self.spark, self.name("dim_date"), grown, self.path("dim_date", batch.batch_id))
+        self._switch("dim_date", grown, batch)
 
     def load(self, landed: DataFrame, batch: BatchContext) -> None:
         self.land(landed, batch)
-        self.load_silver(responses.read_bronze(self.spark, self.path("bronze")), batch)
+        self.load_silver(landed, batch)
         self.load_dim_symbol(batch)
         self.load_facts(batch)
         self.load_dim_date(batch)
@@ -132,7 +130,14 @@ class Lake:
 
     def _replace(self, kind: str, df: DataFrame, month: Column, months: list[int], batch: BatchContext) -> None:
         sinks.replace_partitions(self.spark, self.name(kind), df.withColumn(MONTH, month), MONTH, months,
-                                 self.path(kind, f"load-{batch.batch_id}"))
+                                 self._fresh(kind, batch))
+
+    def _switch(self, kind: str, df: DataFrame, batch: BatchContext) -> None:
+        sinks.switch_location(self.spark, self.name(kind), df, self._fresh(kind, batch))
+
+    def _fresh(self, kind: str, batch: BatchContext) -> str:
+        """A folder no earlier attempt of the same batch has used."""
+        return self.path(kind, f"{batch.batch_id}-{uuid.uuid4().hex[:8]}")
 
     def _top_id(self) -> int:
         """Highest fact id ever given out, kept with the table so that no load scans for it."""

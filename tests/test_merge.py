@@ -12,6 +12,7 @@ from candlelake.operators.audit import add_audit_columns
 from candlelake.operators.merge import (
     check_source, duplicate_keys, fact_sync, insert_only, not_matched, scd_merge, type1_update)
 from candlelake.operators.surrogate import assign_surrogates, with_position
+from candlelake.plans.handler import VersionedLoad
 
 DIM = TableSpec("Dim", ("k",), ("a",))
 STRICT_DIM = TableSpec("Dim", ("k",), ("a",), strict=True)
@@ -190,3 +191,51 @@ def test_numbering(spark):
     assert dense == list(range(1, 1001))
     sparse = [row[0] for row in assign_surrogates(df, "n", F.col("h"), F.lit(7), digits=1).select("n").collect()]
     assert len(set(sparse)) == 1000 and min(sparse) > 7 and max(sparse) < 7 + 16 * 200
+
+
+# -- against brute force --------------------------------------------------------------------
+
+def simulate(table, source, batch, strict):
+    """The merge statements one after the other on plain rows: type 1, type 2, insert."""
+    for row in table:
+        new = source.get(row["k"])
+        if row["current"] and new and new["a"] != row["h1"]:
+            row["a"] = new["a"]
+            if not strict:
+                row["h1"] = new["a"]
+    for row in table:
+        new = source.get(row["k"])
+        if row["current"] and new and new["b"] != row["b"]:
+            row.update(current=False, closed=batch)
+    held = {row["k"] for row in table if row["current"]}
+    return table + [{"k": k, "a": new["a"], "h1": new["a"], "b": new["b"], "current": True, "opened": batch, "closed": None}
+                    for k, new in source.items() if k not in held]
+
+
+@pytest.mark.parametrize("spec", [DIM, STRICT_DIM])
+def test_random_loads_match_sequential_statements(spark, spec):
+    import random
+    rng = random.Random(3)
+    expected, table = [], None
+    for n in range(4):
+        batch = BatchContext(f"load-{n}", datetime(2024, n + 1, 1))
+        source = {k: {"a": rng.randint(1, 3), "b": rng.choice("xyz")} for k in rng.sample(range(60), 40)}
+        audited = rows(spark, [(k, v["a"], v["b"]) for k, v in source.items()], spec, batch)
+        merged = audited if table is None else scd_merge(table, audited, spec, batch)
+        table = spark.createDataFrame(merged.collect(), merged.schema)
+        expected = simulate(expected, source, batch.batch_id, spec.strict)
+        got = {(r.k, r.a, r.b, r["__CurrentFlag"], r["__CreatedBatchLogId"]) for r in table.collect()}
+        assert got == {(r["k"], r["a"], r["b"], r["current"], r["opened"]) for r in expected}
+        assert table.count() == len(expected)
+
+
+def test_load_configured_by_parameters(spark, first):
+    load = VersionedLoad({"businessColumns": "k", "typeIColumns": "a", "tableType": "Dim"}, batch=first)
+    load.refresh_timestamp()
+    assert load.batch.batch_id == "first" and load.batch.effective_ts > first.effective_ts
+    source = load.add_audit_columns(spark.createDataFrame([(1, 1, "x")], "k int, a int, b string"))
+    assert content(load.merge(source.limit(0), source), "k", "__CreatedBatchLogId") == [(1, "first")]
+    sync = VersionedLoad({"businessColumns": "k,d", "typeIColumns": "v", "tableType": "Fact"}, batch=first)
+    held = sync.add_audit_columns(spark.createDataFrame([(1, 1, 1), (1, 2, 1)], "k int, d int, v int"))
+    new = sync.add_audit_columns(spark.createDataFrame([(1, 2, 5)], "k int, d int, v int"))
+    assert content(sync.merge(held, new, scope=F.col("d") == 2), "d", "v") == [(1, 1), (2, 5)]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from candlelake import schemas
 from candlelake.context import BatchContext
 from candlelake.operators import conform, dims, facts, flatten, sinks
+from candlelake.plans import legacy
 from candlelake.plans.silver import build_silver, flat_bars, rejected_bars
 from candlelake.schemas import empty_table
 from candlelake.session import scratch_path, shared_dir
@@ -202,3 +203,24 @@ def test_shared_dir_comes_from_the_session(spark):
 
 def test_batch_defaults_are_usable():
     assert BatchContext().batch_id != BatchContext().batch_id
+
+
+def test_calendar_updates_insert_new_days_only(spark):
+    path = scratch_path(spark, "calendar")
+    dims.update_calendar(spark, path, "2024-01-01", "2024-01-10")
+    dims.update_calendar(spark, path, date(2024, 1, 5), date(2024, 1, 12))
+    stored = spark.read.parquet(path)
+    assert stored.count() == stored.select("Date").distinct().count() == 12
+
+
+def test_older_layout(spark, tmp_path):
+    landed = documents(spark, tmp_path, {"meta": META, "values": [DAY, {**DAY, "volume": "?"}], "status": "ok"},
+                       {"meta": {**META, "symbol": "BBB"}, "values": [DAY], "status": "ok"})
+    bronze, silver, gold = (scratch_path(spark, label) for label in ("b", "s", "g"))
+    legacy.save_by_symbol(responses.accept(landed), bronze)
+    legacy.bronze_to_silver(spark, bronze, silver, datetime(2024, 1, 1))
+    for runs in (1, 2):
+        legacy.silver_to_gold(spark, silver, gold)
+        assert spark.read.parquet(f"{gold}/dim_stock").count() == 2
+        prices = spark.read.parquet(f"{gold}/fact_stock_price")
+        assert prices.count() == 3 * runs and prices.filter("volume is null").count() == runs
