@@ -53,6 +53,15 @@ def not_matched_by_source(target: DataFrame, source: DataFrame, spec: TableSpec)
     return target.join(source.select(spec.key_hash), spec.key_hash, "left_anti")
 
 
+def changed_rows(target: DataFrame, source: DataFrame, spec: TableSpec) -> DataFrame:
+    """Source rows that are new or differ from their current target row."""
+    hashes = [spec.key_hash, spec.value_hash]
+    if spec.table_type == "Dim" and spec.type1_columns:
+        hashes.append("__Hash1Type")
+    current = target.filter(is_current()) if "__CurrentFlag" in target.columns else target
+    return source.join(current.select(*hashes), hashes, "left_anti")
+
+
 def insert_only(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
     """Append the source rows whose key the target does not hold yet."""
     new = source.join(target.select(*on), list(on), "left_anti")

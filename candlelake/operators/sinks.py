@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,18 +76,20 @@ def switch_location(spark: SparkSession, name: str, df: DataFrame, path: str) ->
 
 
 def replace_partitions(spark: SparkSession, name: str, df: DataFrame, column: str, scope: Iterable[int],
-                       path: str) -> None:
+                       path: str, sort_by: Sequence[str] = ()) -> None:
     """Make ``df`` the content of the partitions in ``scope`` of a catalog table.
 
     The new files go to a folder of their own; only then is each partition pointed there, and
     those left without rows are dropped last. ``df`` may read the table itself, a failed write
     leaves it as it was, a partition always holds either its old or its new rows, and no other
     partition is touched. ``scope`` lists the partitions of one load, bounded by the calendar.
+    Files are sorted by ``sort_by``, so that filters on it skip most row groups.
     """
     scope = set(scope)
     if not scope:
         return
-    _clustered(df, column).write.partitionBy(column).parquet(path)
+    (_clustered(df, column).sortWithinPartitions(column, *sort_by)
+     .write.partitionBy(column).parquet(path))
     filled = {row[0] for row in _partition_values(spark, path, column)}
     held = {int(row[0].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     new = [f"PARTITION ({column} = {value}) LOCATION '{path}/{column}={value}'" for value in sorted(filled - held)]

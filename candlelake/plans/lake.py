@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from candlelake import schemas
 from candlelake.context import FACT_DAILY_SPEC, SILVER_SPEC, BatchContext
 from candlelake.operators import dims, facts, sinks
-from candlelake.operators.merge import check_source, scd_merge
+from candlelake.operators.merge import changed_rows, check_source, scd_merge
 from candlelake.plans.silver import flat_bars, rejected_bars, silver_source
 from candlelake.sources import responses, tables
 
 MONTH = "Month"
+SORT = {"silver": ("Symbol", "Date"), "fact_daily": ("SymbolSID", "DateID")}
 TOP_ID = "candlelake.top_id"
 
 
@@ -67,10 +68,12 @@ class Lake:
     def load_silver(self, landed: DataFrame, batch: BatchContext) -> None:
         flat = self._staged(flat_bars(landed), "flat", batch)
         rejected_bars(flat).write.mode("overwrite").json(self.path("rejected_bars", batch.batch_id))
-        source = check_source(silver_source(flat, batch), SILVER_SPEC)
-        months = self._months(source.select(month_of(F.col("Date"))))
-        target = self._months_of("silver", months)
-        merged = scd_merge(target, source, SILVER_SPEC, batch)
+        source = check_source(silver_source(flat, batch), SILVER_SPEC).withColumn(MONTH, month_of(F.col("Date")))
+        delivered = self._months_of("silver", self._months(source.select(MONTH)))
+        # a re-delivered month without any change is not rewritten
+        months = self._months(changed_rows(delivered, source, SILVER_SPEC).select(MONTH))
+        merged = scd_merge(self._months_of("silver", months),
+                           source.filter(F.col(MONTH).isin(months)).drop(MONTH), SILVER_SPEC, batch)
         self._replace("silver", merged, month_of(F.col("Date")), months, batch)
 
     def load_dim_symbol(self, batch: BatchContext) -> None:
@@ -130,7 +133,7 @@ class Lake:
 
     def _replace(self, kind: str, df: DataFrame, month: Column, months: list[int], batch: BatchContext) -> None:
         sinks.replace_partitions(self.spark, self.name(kind), df.withColumn(MONTH, month), MONTH, months,
-                                 self._fresh(kind, batch))
+                                 self._fresh(kind, batch), SORT[kind])
 
     def _switch(self, kind: str, df: DataFrame, batch: BatchContext) -> None:
         sinks.switch_location(self.spark, self.name(kind), df, self._fresh(kind, batch))

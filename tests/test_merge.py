@@ -10,7 +10,7 @@ from candlelake.context import BatchContext, TableSpec
 from candlelake.functions import keys
 from candlelake.operators.audit import add_audit_columns
 from candlelake.operators.merge import (
-    check_source, duplicate_keys, fact_sync, insert_only, not_matched, scd_merge, type1_update)
+    changed_rows, check_source, duplicate_keys, fact_sync, insert_only, not_matched, scd_merge, type1_update)
 from candlelake.operators.surrogate import assign_surrogates, with_position
 from candlelake.plans.handler import VersionedLoad
 
@@ -153,6 +153,12 @@ def test_duplicate_source_is_refused(spark, first):
     assert check_source(twice.filter("k = 2"), STAGE).count() == 1
 
 
+def test_changed_rows(spark, first):
+    target = rows(spark, [(1, 1, "x"), (2, 1, "x"), (3, 1, "x")], DIM, first)
+    source = rows(spark, [(1, 1, "x"), (2, 2, "x"), (3, 1, "y"), (4, 1, "x")], DIM, first)
+    assert content(changed_rows(target, source, DIM), "k") == [(2,), (3,), (4,)]
+
+
 def test_insert_only_and_not_matched(spark, first):
     held = spark.createDataFrame([(1, "old")], "k int, b string")
     new = spark.createDataFrame([("new", 1), ("new", 2)], "b string, k int")
