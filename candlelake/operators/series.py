@@ -18,7 +18,8 @@ def downsample_minmax(df: DataFrame, by: Sequence[str], axis: str, value: str,
     The date axis between the ends is cut into equal bins; each keeps its lowest and its
     highest point (the earlier one on ties). A series that is short enough comes back whole.
     ``(by, axis)`` must be unique. Bins are pre-aggregated, so a long series never meets in
-    one task; the join with the series' ends is broadcast or skew-split by its size.
+    one task; the join with the series' ends is broadcast or skew-split by its size. ``df`` is
+    read twice: pass a stored table or a cheap plan.
     """
     bins = max((max_points - 2) // 2, 1)
     ends = df.groupBy(*by).agg(

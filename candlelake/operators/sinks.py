@@ -65,7 +65,7 @@ def create_known_table(spark: SparkSession, name: str, path: str, kind: str, rep
 
 def empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:
     """No rows, same schema: what a table is reset to."""
-    return spark.createDataFrame([], df.schema)
+    return schemas.empty_of(spark, df.schema)
 
 
 def switch_location(spark: SparkSession, name: str, df: DataFrame, path: str) -> None:

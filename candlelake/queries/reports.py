@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from candlelake.operators import measures as m
 from candlelake.operators import series
 from candlelake.plans import market, report
-from candlelake.queries.common import as_doubles, dim_symbol, rounded
+from candlelake.queries.common import as_doubles, dim_symbol, rounded, stored
 from candlelake.queries.ctes import with_ctes
 from candlelake.queries.measures import GROWTH_TEXT_SQL, TREND_SQL
 from candlelake.queries.registry import query
@@ -53,7 +53,7 @@ POINTS = 350
     WHERE lowest = 1 OR highest = 1"""))
 def downsample_minmax(spark, folder):
     days = m.daily(market.bars(spark, folder), ["Symbol"]).select("Symbol", "Date", "SumOpen")
-    return as_doubles(series.downsample_minmax(days, ["Symbol"], "Date", "SumOpen", POINTS))
+    return as_doubles(series.downsample_minmax(stored(days, "days"), ["Symbol"], "Date", "SumOpen", POINTS))
 
 
 TOOLTIPS = """, CAST(so AS DOUBLE) AS SumOpen, CAST(lo AS DOUBLE) AS MinLow, CAST(hi AS DOUBLE) AS MaxHigh,

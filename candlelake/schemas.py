@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 VALUE_MAP = "MAP<STRING, STRING>"
@@ -52,5 +53,11 @@ def schema_of(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 
 
+def empty_of(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows under a schema, written so that the optimizer sees it: joins with it vanish."""
+    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+    return spark.range(1).select(*nulls).filter(F.lit(False))
+
+
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], schema_of(TABLES[name]))
+    return empty_of(spark, schema_of(TABLES[name]))
