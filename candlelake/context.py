@@ -46,7 +46,7 @@ class TableSpec:
         required = ("businessColumns", "typeIColumns", "tableType")
         missing = [name for name in required if name not in params]
         if missing:
-            raise ValueError(f"Missing required parameter: {', '.join(missing)}")
+            raise ValueError(f"parameters lack {', '.join(missing)}")
         return cls(params["tableType"], _names(params["businessColumns"]),
                    _names(params["typeIColumns"]), strict)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from candlelake import schemas
 from candlelake.context import FACT_DAILY_SPEC, SILVER_SPEC, BatchContext
 from candlelake.operators import dims, facts, sinks
-from candlelake.operators.merge import changed_rows, check_source, scd_merge
+from candlelake.operators.merge import changed_rows, check_source, fact_sync, scd_merge
 from candlelake.plans.silver import flat_bars, rejected_bars, silver_source
 from candlelake.sources import responses, tables
 
@@ -82,12 +82,16 @@ class Lake:
         self._switch("dim_symbol", built, batch)
 
     def load_facts(self, batch: BatchContext) -> None:
-        """Sync every month with a changed silver row against all of that month's silver rows."""
+        """Sync every month with a changed silver row against all of that month's silver rows.
+
+        Facts are daily: responses with several values per symbol and day are refused here.
+        """
         months = self._months(self._changed(batch).select(MONTH))
         silver = self._months_of("silver", months)
-        synced = facts.build_fact_daily(
-            self._months_of("fact_daily", months), silver, self.table("dim_symbol"), batch,
-            FACT_DAILY_SPEC, above=F.lit(self._top_id()))
+        source = self._staged(facts.fact_source(silver, self.table("dim_symbol"), batch), "facts", batch)
+        synced = fact_sync(
+            self._months_of("fact_daily", months), check_source(source, FACT_DAILY_SPEC), FACT_DAILY_SPEC,
+            id_column="TransactionSID", above=F.lit(self._top_id()))
         self._replace("fact_daily", synced, F.floor(F.col("DateID") / 100).cast("int"), months, batch)
         if months:
             newest = self._months_of("fact_daily", months).agg(F.max("TransactionSID")).head()[0]
@@ -99,6 +103,7 @@ class Lake:
         self._switch("dim_date", grown, batch)
 
     def load(self, landed: DataFrame, batch: BatchContext) -> None:
+        landed = self._staged(landed, "landed", batch)  # documents are parsed once
         self.land(landed, batch)
         self.load_silver(landed, batch)
         self.load_dim_symbol(batch)

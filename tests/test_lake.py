@@ -89,6 +89,21 @@ def test_changed_symbol_attribute_opens_a_version(spark, lake, tmp_path):
     assert [r.SymbolSID for r in lake.table("fact_daily").collect()] == [dim[1].SymbolSID]
 
 
+def test_intraday_values_do_not_become_daily_facts(spark, lake, tmp_path):
+    doc = document("A", {"2024-01-30 10:00:00": 1, "2024-01-30 11:00:00": 2})
+    landed = responses.read_landed(spark, land(tmp_path / "one", "a.json", doc))
+    with pytest.raises(ValueError, match="2 rows for key"):
+        lake.load(landed, BatchContext("b1", datetime(2024, 2, 1)))
+    assert lake.table("silver").count() == 2 and lake.table("fact_daily").count() == 0
+
+
+def test_failed_response_batch_changes_nothing(spark, lake, tmp_path):
+    landed = responses.read_landed(spark, land(tmp_path / "one", "a.json", document("A", {"2024-01-30": 1}, "error")))
+    lake.load(landed, BatchContext("b1", datetime(2024, 2, 1)))
+    assert all(lake.table(kind).count() == 0 for kind in ("silver", "dim_symbol", "dim_date", "fact_daily"))
+    assert spark.read.json(lake.path("rejected", "b1")).count() == 1
+
+
 def test_stream_loads_each_file_once(spark, lake, tmp_path):
     path = land(tmp_path / "in", "a.json", document("A", {"2024-01-30": 1}))
     checkpoint = str(tmp_path / "checkpoint")

@@ -42,7 +42,7 @@ def content(df, *columns):
 def test_params_are_checked():
     spec = TableSpec.from_params({"businessColumns": " x , y,", "typeIColumns": "", "tableType": "Dim"})
     assert spec.business_columns == ("x", "y") and spec.type1_columns == ()
-    with pytest.raises(ValueError, match="Missing required parameter: tableType"):
+    with pytest.raises(ValueError, match="lack tableType"):
         TableSpec.from_params({"businessColumns": "x", "typeIColumns": ""})
     with pytest.raises(ValueError, match="tableType"):
         TableSpec.from_params({"businessColumns": "x", "typeIColumns": "", "tableType": "View"})
