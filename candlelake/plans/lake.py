@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from candlelake import schemas
 from candlelake.context import FACT_DAILY_SPEC, SILVER_SPEC, BatchContext
 from candlelake.operators import dims, facts, sinks
-from candlelake.operators.merge import changed_rows, check_source, fact_sync, scd_merge
+from candlelake.operators.merge import changed_rows, check_source, fact_sync, not_matched_by_source, scd_merge
 from candlelake.plans.silver import flat_bars, rejected_bars, silver_source
 from candlelake.sources import responses, tables
 
@@ -89,10 +89,15 @@ class Lake:
         months = self._months(self._changed(batch).select(MONTH))
         silver = self._months_of("silver", months)
         source = self._staged(facts.fact_source(silver, self.table("dim_symbol"), batch), "facts", batch)
+        source = check_source(source, FACT_DAILY_SPEC)
+        stored, month = self._months_of("fact_daily", months), F.floor(F.col("DateID") / 100).cast("int")
+        differing = (changed_rows(stored, source, FACT_DAILY_SPEC).select(month)
+                     .union(not_matched_by_source(stored, source, FACT_DAILY_SPEC).select(month)))
+        months = self._months(differing)
         synced = fact_sync(
-            self._months_of("fact_daily", months), check_source(source, FACT_DAILY_SPEC), FACT_DAILY_SPEC,
+            self._months_of("fact_daily", months), source.filter(month.isin(months)), FACT_DAILY_SPEC,
             id_column="TransactionSID", above=F.lit(self._top_id()))
-        self._replace("fact_daily", synced, F.floor(F.col("DateID") / 100).cast("int"), months, batch)
+        self._replace("fact_daily", synced, month, months, batch)
         if months:
             newest = self._months_of("fact_daily", months).agg(F.max("TransactionSID")).head()[0]
             self._set_top_id(max(self._top_id(), newest or 0))
