@@ -72,6 +72,8 @@ class Lake:
         delivered = self._months_of("silver", self._months(source.select(MONTH)))
         # a re-delivered month without any change is not rewritten
         months = self._months(changed_rows(delivered, source, SILVER_SPEC).select(MONTH))
+        if not months:
+            return
         merged = scd_merge(self._months_of("silver", months),
                            source.filter(F.col(MONTH).isin(months)).drop(MONTH), SILVER_SPEC, batch)
         self._replace("silver", merged, month_of(F.col("Date")), months, batch)
@@ -94,13 +96,14 @@ class Lake:
         differing = (changed_rows(stored, source, FACT_DAILY_SPEC).select(month)
                      .union(not_matched_by_source(stored, source, FACT_DAILY_SPEC).select(month)))
         months = self._months(differing)
+        if not months:
+            return
         synced = fact_sync(
             self._months_of("fact_daily", months), source.filter(month.isin(months)), FACT_DAILY_SPEC,
             id_column="TransactionSID", above=F.lit(self._top_id()))
         self._replace("fact_daily", synced, month, months, batch)
-        if months:
-            newest = self._months_of("fact_daily", months).agg(F.max("TransactionSID")).head()[0]
-            self._set_top_id(max(self._top_id(), newest or 0))
+        newest = self._months_of("fact_daily", months).agg(F.max("TransactionSID")).head()[0]
+        self._set_top_id(max(self._top_id(), newest or 0))
 
     def load_dim_date(self, batch: BatchContext) -> None:
         dim = self.table("dim_date")
