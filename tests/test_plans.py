@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from candlelake.queries import QUERIES
 from candlelake.operators import measures as m
 from candlelake.plans import market
 
@@ -17,12 +17,12 @@ def exchanges(df):
     return len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition", plan(df)))
 
 
-LAZY = sorted(name for name in entry.queries() if not name.startswith("sink_"))
+LAZY = sorted(name for name in QUERIES if not name.startswith("sink_"))
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_and_no_python(spark, folder, name):
-    text = plan(entry.queries()[name](spark, folder))
+    text = plan(QUERIES[name](spark, folder))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert not re.search(r"PythonUDF|ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroups", text)
     # a sort before aggregation means a buffer that cannot be hashed; here only few rows are left
@@ -30,13 +30,13 @@ def test_no_cross_join_and_no_python(spark, folder, name):
 
 
 def test_scan_reads_only_used_columns(spark, folder):
-    text = plan(entry.queries()["agg_avg_volume"](spark, folder))
+    text = plan(QUERIES["agg_avg_volume"](spark, folder))
     schema = re.search(r"lineitem.*?ReadSchema: struct<([^>]*)>", text, re.S).group(1)
     assert {part.split(":")[0] for part in schema.split(",")} == {"l_suppkey", "l_quantity", "l_shipdate"}
 
 
 def test_incremental_bound_reaches_the_scan(spark, folder):
-    assert "GreaterThan(ts" in plan(entry.queries()["src_changed_since"](spark, folder))
+    assert "GreaterThan(ts" in plan(QUERIES["src_changed_since"](spark, folder))
 
 
 def test_growth_shuffles_days_once_per_step(spark, folder):
@@ -45,5 +45,5 @@ def test_growth_shuffles_days_once_per_step(spark, folder):
 
 
 def test_merge_joins_once(spark, folder):
-    text = plan(entry.queries()["scd2_dim_merge"](spark, folder))
-    assert text.count("FullOuter") == 1 and exchanges(entry.queries()["scd2_dim_merge"](spark, folder)) == 2
+    text = plan(QUERIES["scd2_dim_merge"](spark, folder))
+    assert text.count("FullOuter") == 1 and exchanges(QUERIES["scd2_dim_merge"](spark, folder)) == 2

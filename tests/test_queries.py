@@ -4,8 +4,9 @@ import pytest
 from check import compare, connect
 
 import __spark_entry__ as entry
+from candlelake.queries import ORACLES, QUERIES
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -14,12 +15,13 @@ def duck(folder):
 
 
 def test_each_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_matches_sql(spark, duck, folder, name):
-    assert compare(spark, duck, folder, name, entry.queries()[name], entry.oracle_sql()[name]) == ""
+    assert compare(spark, duck, folder, name, QUERIES[name], ORACLES[name]) == ""
 
 
 def test_entry(spark):
