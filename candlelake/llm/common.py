@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about so many text bytes, one row at least."""
     for batch in batches:
-        sizes = np.nan_to_num(pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+        sizes = np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
         step = np.cumsum(sizes) // limit
         edges = np.flatnonzero(np.diff(step)) + 1
         for low, high in zip([0, *edges], [*edges, batch.num_rows], strict=True):
