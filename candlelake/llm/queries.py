@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlelake.llm import chat, exact, mixing, pieces, token_counts
+from candlelake.llm import chat, exact, mixing, pieces, simhash, token_counts
 from candlelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_components(table(spark, folder, "documents"))
+
+
 def op2_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return chat.perspectives(table(spark, folder, "conversations"))
 
@@ -39,7 +43,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {run.__name__: run for run in (
-    op2_chat_perspectives, op4_exact_dedup, op7_token_counts, op8_sentencepiece, op10_mixing)}
+    op1_simhash_near_dedup, op2_chat_perspectives, op4_exact_dedup, op7_token_counts, op8_sentencepiece, op10_mixing)}
 
 ORACLES: dict[str, str] = {
     "op2_chat_perspectives": r"""
