@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlelake.llm import chat, exact, mixing, pieces, simhash, token_counts
+from candlelake.llm import chat, exact, mixing, pieces, sanitise, simhash, spotsigs, token_counts
 from candlelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,10 +26,18 @@ def op2_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return chat.perspectives(table(spark, folder, "conversations"))
 
 
+def op3_sanitise(spark: SparkSession, folder: str) -> DataFrame:
+    return sanitise.span_report(table(spark, folder, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_digests(table(spark, folder, "documents"))
 
 
+def op6_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.edited_report(table(spark, folder, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), piece_model())
 
@@ -43,7 +51,8 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {run.__name__: run for run in (
-    op1_simhash_near_dedup, op2_chat_perspectives, op4_exact_dedup, op7_token_counts, op8_sentencepiece, op10_mixing)}
+    op1_simhash_near_dedup, op2_chat_perspectives, op3_sanitise, op4_exact_dedup,
+    op6_spot_signatures, op7_token_counts, op8_sentencepiece, op10_mixing)}
 
 ORACLES: dict[str, str] = {
     "op2_chat_perspectives": r"""
