@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,6 +48,11 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def worker_state() -> dict:
+    """What a reused Python worker keeps between tasks; functions travel by value, globals do not stay."""
+    return vars(sys.modules.setdefault("candlelake_worker", types.ModuleType("candlelake_worker")))
+
+
 def utf8(texts: pa.Array) -> list[bytes]:
     """The texts as UTF-8, null as empty."""
     return [text or b"" for text in texts.cast(pa.binary()).to_pylist()]

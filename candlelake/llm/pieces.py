@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import slices
+from candlelake.llm.common import slices, worker_state
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
@@ -84,9 +83,11 @@ class ChunkTable:
         return self.processor.decode(lists, num_threads=1) if lists else []
 
 
-@lru_cache(maxsize=2)
 def chunk_table(model: str) -> ChunkTable:
-    return ChunkTable(model)
+    kept = worker_state()
+    if ("chunks", model) not in kept:
+        kept["chunks", model] = ChunkTable(model)
+    return kept["chunks", model]
 
 
 def encode_texts(docs: DataFrame, model: str, decode: bool = True) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlelake.llm import chat, exact, mixing, pieces, sanitise, simhash, spotsigs, token_counts
+from candlelake.llm import (
+    chat, exact, mixing, pieces, sanitise, simhash, spotsigs, substrings, token_counts, toxicity)
 from candlelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,10 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_digests(table(spark, folder, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeat_report(table(spark, folder, "documents"))
+
+
 def op6_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.edited_report(table(spark, folder, "documents"))
 
@@ -46,13 +51,17 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encoded_digests(table(spark, folder, "documents"), piece_model())
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {run.__name__: run for run in (
-    op1_simhash_near_dedup, op2_chat_perspectives, op3_sanitise, op4_exact_dedup,
-    op6_spot_signatures, op7_token_counts, op8_sentencepiece, op10_mixing)}
+    op1_simhash_near_dedup, op2_chat_perspectives, op3_sanitise, op4_exact_dedup, op5_substring_dedup,
+    op6_spot_signatures, op7_token_counts, op8_sentencepiece, op9_toxicity, op10_mixing)}
 
 ORACLES: dict[str, str] = {
     "op2_chat_perspectives": r"""

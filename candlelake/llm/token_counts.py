@@ -14,13 +14,13 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterable
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 from pyspark.sql import DataFrame
 
-from candlelake.llm.common import per_slice, utf8
+from candlelake.llm.common import per_slice, utf8, worker_state
 
 MARK = "▁"
 KNOWN_WORDS = 300_000
@@ -77,15 +77,15 @@ class LongestMatch:
         return total
 
 
-@lru_cache(maxsize=2)
 def automaton(model: str) -> tuple[LongestMatch, dict[bytes, int]]:
     """The automaton over a piece model's ordinary pieces, and the words counted so far."""
-    import sentencepiece
-
-    processor = sentencepiece.SentencePieceProcessor(model_file=model)
-    ordinary = (i for i in range(processor.get_piece_size())
-                if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i)))
-    return LongestMatch(map(processor.id_to_piece, ordinary)), {}
+    kept = worker_state()
+    if ("pieces", model) not in kept:
+        processor = sentencepiece.SentencePieceProcessor(model_file=model)
+        ordinary = (i for i in range(processor.get_piece_size())
+                    if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i)))
+        kept["pieces", model] = LongestMatch(map(processor.id_to_piece, ordinary)), {}
+    return kept["pieces", model]
 
 
 def token_counts(docs: DataFrame, model: str) -> DataFrame:
