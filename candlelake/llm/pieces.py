@@ -20,6 +20,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from candlelake.llm.common import slices, worker_state
 
@@ -104,7 +105,8 @@ def encode_texts(docs: DataFrame, model: str, decode: bool = True) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), lists, texts], ["row", "ids", "decoded"])
 
     rows = docs.select(F.struct("*").alias("row"), "text")
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>, decoded string")
+    return rows.mapInArrow(run, StructType([
+        rows.schema["row"], StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]))
 
 
 def encoded_digests(docs: DataFrame, model: str) -> DataFrame:
