@@ -39,6 +39,9 @@ class ChunkTable:
             raise ValueError("pieces of this model cross whitespace markers")
         if self.processor.normalize(" a  éﬁ ") != f"{MARK * 2}a{MARK * 2}éﬁ{MARK}":
             raise ValueError("this model normalises texts; chunks need a dummy prefix and nothing else")
+        self.marker = self.processor.piece_to_id(MARK)
+        if self.processor.is_unknown(self.marker):
+            raise ValueError("this model has no piece for a whitespace marker")
         self.limit = limit
         self.clear()
 
@@ -48,11 +51,12 @@ class ChunkTable:
         self.first = np.zeros(1025, np.int64)
 
     def learn(self, chunks: list[str]) -> None:
-        """Segments chunks not met before. The library puts the first marker back itself."""
+        """Segments chunks not met before. The library puts the first marker back itself, but for no text."""
         new = [chunk for chunk in dict.fromkeys(chunks) if chunk not in self.codes]
         if not new:
             return
         found = self.processor.encode([chunk[1:] for chunk in new], num_threads=1)
+        found = [ids or [self.marker] for ids in found]
         low, used = len(self.codes), int(self.first[len(self.codes)])
         ends = used + np.cumsum([len(ids) for ids in found])
         while ends[-1] > self.flat.size:
