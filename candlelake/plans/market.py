@@ -8,43 +8,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Room for a price in hundredths below the order number: 24 bits, which leaves 39 for orders.
-_PRICE_SPAN = 2 ** 24
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _decimal_price(thousandths: Column) -> Column:
-    return (thousandths.cast("decimal(18,0)") * F.lit("0.001").cast("decimal(4,3)")).cast("decimal(18,3)")
+def _tenth(price: Column) -> Column:
+    return (price * F.lit("0.1").cast("decimal(2,1)")).cast("decimal(18,3)")
 
 
 def daily_by_nation(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily prices per nation key.
+    """Daily prices per nation key; a day's trades follow each other by order, line, part, supplier and price.
 
-    The first trade of a day is the cheapest line of its lowest order, the last one the
-    dearest of its highest. Order and price are packed into one number, so open and close
-    are a plain min and max: all buffers have a fixed width, lines aggregate by hash before
-    they are shuffled, and a nation with a third of all lines costs no more than another.
+    Sums, extremes and the numbers of the first and last order come from one aggregation with
+    fixed-width buffers, by hash and on the map side, so a nation with a third of all lines costs no
+    more than another. Only the lines of those two orders are compared in full.
     """
-    price = F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("bigint")
     lines = table(spark, folder, "lineitem").select(
-        F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", F.col("l_shipdate").cast("date").alias("Date"),
-        F.col("l_quantity").cast("bigint").alias("quantity"), price.alias("price"))
-    fits = F.col("price") < _PRICE_SPAN
-    trade = F.when(fits, F.col("l_orderkey") * _PRICE_SPAN + F.col("price")).otherwise(
-        F.raise_error(F.lit("a line price exceeds the packed range")))
-    nations = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    days = lines.join(nations, "s_suppkey").groupBy("s_nationkey", "Date").agg(
-        F.sum("quantity").alias("Volume"),
-        F.max("price").alias("_high"), F.min("price").alias("_low"),
-        F.max(trade).alias("_last"), F.min(trade).alias("_first"))
-    return days.select(
-        "s_nationkey", "Volume",
-        _decimal_price(F.col("_high")).alias("High"), _decimal_price(F.col("_low")).alias("Low"),
-        _decimal_price(F.col("_last") % _PRICE_SPAN).alias("Close"),
-        _decimal_price(F.col("_first") % _PRICE_SPAN).alias("Open"), "Date")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+        F.col("l_shipdate").cast("date").alias("Date"), F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
+    nations = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    trades = lines.join(nations, "l_suppkey")
+    days = trades.groupBy("s_nationkey", "Date").agg(
+        F.sum("quantity").alias("Volume"), F.max("price").alias("High"), F.min("price").alias("Low"),
+        F.min("l_orderkey").alias("first"), F.max("l_orderkey").alias("last"))
+    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    same_day = (F.col("t.s_nationkey") == F.col("d.s_nationkey")) & F.col("t.Date").eqNullSafe(F.col("d.Date"))
+    ends = trades.alias("t").join(days.alias("d"), same_day).filter("l_orderkey in (first, last)")
+    bars = ends.groupBy("d.s_nationkey", "d.Date", "Volume", "High", "Low").agg(
+        F.max_by("price", order).alias("Close"), F.min_by("price", order).alias("Open"))
+    return bars.select("s_nationkey", "Volume", *(_tenth(F.col(name)).alias(name)
+                                                  for name in ("High", "Low", "Close", "Open")), "Date")
 
 
 def symbols(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,8 +69,8 @@ def lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def industry_star(spark: SparkSession, folder: str) -> DataFrame:
-    """Bars with the attributes of known symbols."""
-    return bars(spark, folder).join(lookup(spark, folder), "Symbol")
+    """Bars with the attributes of known symbols; the others stay under blank members."""
+    return bars(spark, folder).join(lookup(spark, folder), "Symbol", "left")
 
 
 def _text_map(**entries: Column) -> Column:

@@ -38,7 +38,7 @@ FACT_TRACKED = ("Close", "High", "Low", "Open", "Volume")
 def _growths(name: str, source: str, by: str) -> dict[str, str]:
     """daily / anchor / bounds / growth chain for one grouping."""
     def on(left: str, right: str) -> str:
-        return " AND ".join(f"{left}.{c.strip()} = {right}.{c.strip()}" for c in by.split(",")) if by else "true"
+        return " AND ".join(f"{left}.{c.strip()} IS NOT DISTINCT FROM {right}.{c.strip()}" for c in by.split(",")) if by else "true"
     lead = f"{by}, " if by else ""
     blead = "".join(f"b.{c.strip()}, " for c in by.split(",")) if by else ""
     return {
@@ -99,7 +99,7 @@ CTES: dict[str, str] = {
     "trades": """
         SELECT n_name AS Symbol, r_name AS ExchangeName, CAST(l_shipdate AS DATE) AS Date,
                CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) / 10, 3) AS DECIMAL(18,3)) AS px,
-               CAST(l_quantity AS BIGINT) AS qty, row(l_orderkey, l_extendedprice) AS ord
+               CAST(l_quantity AS BIGINT) AS qty, row(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS ord
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
              JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "bars": """
@@ -111,7 +111,7 @@ CTES: dict[str, str] = {
         SELECT CAST(n_nationkey AS INTEGER) AS Sort, r_name AS Industry, n_name AS Symbol,
                'https://example.org/' || n_name || '.svg' AS Logo
         FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'MIDDLE EAST'""",
-    "istar": "SELECT b.*, Sort, Industry, Logo FROM bars b JOIN lookup USING (Symbol)",
+    "istar": "SELECT b.*, Sort, Industry, Logo FROM bars b LEFT JOIN lookup USING (Symbol)",
     "ranges": """
         SELECT * FROM (VALUES ('30 Days', 1), ('90 Days', 2), ('YTD', 3), ('1Y', 4), ('5Y', 5), ('MAX', 6))
           AS v(RangeName, SortOrder)""",
@@ -195,7 +195,7 @@ CTES: dict[str, str] = {
     "symkeys": f"""
         SELECT DISTINCT Symbol, ExchangeName, Currency, Type, ExchangeTimeZone, Sort, Industry, Logo,
                {sha(*DIM_KEY)} AS __BusinessKeyHash
-        FROM istar""",
+        FROM bars JOIN lookup USING (Symbol)""",
     "dimsym": f"""
         SELECT {numbered('__BusinessKeyHash', 2)} AS SymbolSID, *,
                sha256('') AS __Hash1Type, {sha(*DIM_TRACKED)} AS __Hash2Type

@@ -40,7 +40,7 @@ def silver_fact(bars, batch, spec=FACT_DAILY_SPEC):
 
 # -- joins ----------------------------------------------------------------------------------
 
-@query("join_lookup_enrich", with_ctes("SELECT DISTINCT Symbol, ExchangeName, Currency, Sort, Industry, Logo FROM istar"))
+@query("join_lookup_enrich", with_ctes("SELECT DISTINCT Symbol, ExchangeName, Currency, Sort, Industry, Logo FROM bars JOIN lookup USING (Symbol)"))
 def join_lookup_enrich(spark, folder):
     rows = dims.symbol_candidates(current(market.bars(spark, folder)), market.lookup(spark, folder))
     return rows.select("Symbol", "ExchangeName", "Currency", "Sort", "Industry", "Logo")
