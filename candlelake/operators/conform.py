@@ -26,9 +26,11 @@ def conform(df: DataFrame, ddl: str | StructType, skip: tuple[str, ...] = ()) ->
         for field in _target(ddl, skip).fields))
 
 
-def _fails(df: DataFrame, ddl: str | StructType, skip: tuple[str, ...]) -> Column:
+def _fails(df: DataFrame, ddl: str | StructType, skip: tuple[str, ...], required: tuple[str, ...]) -> Column:
     have = {field.name.lower(): field.dataType for field in df.schema.fields}
     failing = F.lit(False)
+    for name in required:
+        failing = failing | F.col(name).isNull()
     for field in _target(ddl, skip).fields:
         if have.get(field.name.lower(), field.dataType) != field.dataType:
             value = F.col(field.name)
@@ -36,13 +38,15 @@ def _fails(df: DataFrame, ddl: str | StructType, skip: tuple[str, ...]) -> Colum
     return failing
 
 
-def unconvertible(df: DataFrame, ddl: str | StructType, skip: tuple[str, ...] = ()) -> DataFrame:
-    """Rows with a value that does not convert to the table's type."""
-    return df.filter(_fails(df, ddl, skip))
+def unconvertible(df: DataFrame, ddl: str | StructType, skip: tuple[str, ...] = (),
+                  required: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with a value that does not convert to the table's type, or without a required one."""
+    return df.filter(_fails(df, ddl, skip, required))
 
 
-def convertible(df: DataFrame, ddl: str | StructType, skip: tuple[str, ...] = ()) -> DataFrame:
-    return df.filter(~_fails(df, ddl, skip))
+def convertible(df: DataFrame, ddl: str | StructType, skip: tuple[str, ...] = (),
+                required: tuple[str, ...] = ()) -> DataFrame:
+    return df.filter(~_fails(df, ddl, skip, required))
 
 
 def add_columns(df: DataFrame, ddl: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlelake.context import DIM_SYMBOL_SPEC, BatchContext, TableSpec
@@ -36,18 +36,27 @@ def calendar(days: DataFrame) -> DataFrame:
 
 
 def missing_days(dim: DataFrame, facts: DataFrame) -> DataFrame:
-    """Days the calendar lacks up to the end of the newest data year.
+    """Days the calendar lacks to hold whole years around the data.
 
-    Starts at the calendar's origin when the dimension is empty; yields nothing when the data
-    is covered already or there is no data.
+    An empty dimension starts at the calendar's origin, or earlier with the first data year. A filled
+    one grows at the end that the data exceeds; without data nothing is missing.
     """
-    tops = (dim.agg(F.max("Date").alias("_dim"), F.lit(None).cast("date").alias("_data"))
-            .unionByName(facts.agg(F.lit(None).cast("date").alias("_dim"), F.max("Date").alias("_data")))
-            .agg(F.max("_dim").alias("_dim"), F.max("_data").alias("_data")))
-    bounds = tops.filter(F.col("_dim").isNull() | (F.col("_data") > F.col("_dim"))).select(
-        F.coalesce(F.date_add("_dim", 1), F.lit(CALENDAR_START).cast("date")).alias("start_date"),
-        F.make_date(F.year("_data"), F.lit(12), F.lit(31)).alias("end_date"))
-    return date_spine(bounds)
+    none = F.lit(None).cast("date")
+    first, last = F.min("Date"), F.max("Date")
+    spans = (dim.agg(first.alias("_first"), last.alias("_last"), none.alias("_from"), none.alias("_to"))
+             .unionByName(facts.agg(none.alias("_first"), none.alias("_last"), first.alias("_from"), last.alias("_to")))
+             .agg(*(F.max(name).alias(name) for name in ("_first", "_last", "_from", "_to"))))
+    new_year, year_end = F.trunc("_from", "year"), F.make_date(F.year("_to"), F.lit(12), F.lit(31))
+    empty, origin = F.col("_first").isNull(), F.lit(CALENDAR_START).cast("date")
+
+    def span(when: Column, start: Column, end: Column) -> Column:
+        return F.when(when, F.struct(start.alias("start_date"), end.alias("end_date")))
+
+    bounds = F.array_compact(F.array(
+        span(empty & F.col("_from").isNotNull(), F.least(origin, new_year), F.greatest(year_end, origin)),
+        span(F.col("_from") < F.col("_first"), new_year, F.date_sub("_first", 1)),
+        span(F.col("_to") > F.col("_last"), F.date_add("_last", 1), year_end)))
+    return date_spine(spans.select(F.inline(bounds)))
 
 
 def extend_calendar(dim: DataFrame, facts: DataFrame) -> DataFrame:
@@ -78,13 +87,21 @@ def open_dates(dim: DataFrame, fact: DataFrame) -> DataFrame:
 
 
 def symbol_candidates(silver: DataFrame, lookup: DataFrame, strict: bool = False) -> DataFrame:
-    """Distinct symbol attributes enriched from the lookup; unknown symbols drop out.
+    """Symbol attributes enriched from the lookup; unknown symbols drop out.
 
-    Only current rows count: an outdated attribute next to its successor would claim the
-    same key twice. Strict mode takes all versions.
+    A key has one candidate, its newest attributes by day and load among the current rows. Attributes
+    are collapsed with fixed-width buffers first. Strict mode takes all versions.
     """
-    rows = silver if strict else silver.filter("__CurrentFlag")
-    return rows.select(*SYMBOL_COLUMNS).distinct().join(lookup, "Symbol")
+    if strict:
+        return silver.select(*SYMBOL_COLUMNS).distinct().join(lookup, "Symbol")
+    dated = [name for name in ("Date", "__lastmodified") if name in silver.columns]
+    seen = silver.filter("__CurrentFlag").groupBy(*SYMBOL_COLUMNS).agg(
+        F.count(F.lit(1)).alias("_n"), *(F.max(name).alias(f"_{name}") for name in dated))
+    if dated:
+        newest = Window.partitionBy(*DIM_SYMBOL_SPEC.business_columns).orderBy(
+            *(F.desc(f"_{name}") for name in dated), "Type", "ExchangeTimeZone")
+        seen = seen.withColumn("_n", F.row_number().over(newest)).filter("_n = 1")
+    return seen.select(*SYMBOL_COLUMNS).join(lookup, "Symbol")
 
 
 def build_dim_symbol(target: DataFrame, silver: DataFrame, lookup: DataFrame, batch: BatchContext,
@@ -97,3 +114,11 @@ def current_dim(dim: DataFrame) -> DataFrame:
     """Open, undeleted versions with business columns only."""
     return (dim.filter(F.col("__CurrentFlag") & ~F.col("__DeletedFlag"))
             .select("SymbolSID", *SYMBOL_COLUMNS, "Sort", "Industry", "Logo"))
+
+
+def member_dim(dim: DataFrame) -> DataFrame:
+    """The id of every version with the attributes its symbol has now: facts keep the id they were loaded with."""
+    key = DIM_SYMBOL_SPEC.key_hash
+    now = dim.filter(F.col("__CurrentFlag") & ~F.col("__DeletedFlag")) \
+        .select(key, *SYMBOL_COLUMNS, "Sort", "Industry", "Logo")
+    return dim.select("SymbolSID", key).join(now, key, "left").drop(key)

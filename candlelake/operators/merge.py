@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlelake.context import BatchContext, TableSpec
 from candlelake.operators.audit import at
-from candlelake.operators.surrogate import assign_surrogates, highest_id
+from candlelake.operators.surrogate import fresh_id, highest_id, number_missing
 
-# Dimensions are far smaller than facts: 256 buckets keep their ids close together.
+# Dimensions are small: 256 buckets are enough to number them without gaps.
 DIM_DIGITS = 2
 
 
@@ -62,6 +62,14 @@ def changed_rows(target: DataFrame, source: DataFrame, spec: TableSpec) -> DataF
     return source.join(current.select(*hashes), hashes, "left_anti")
 
 
+def differing(target: DataFrame, source: DataFrame, spec: TableSpec, part: Column) -> DataFrame:
+    """Distinct values of ``part`` over rows that are new, changed or gone, from one join of narrow rows."""
+    sides = [side.select(spec.key_hash, spec.value_hash, part.alias("part")) for side in (target, source)]
+    pairs = _joined(*sides, spec, "full_outer")
+    same = F.col(f"t.{spec.value_hash}").eqNullSafe(F.col(f"s.{spec.value_hash}"))
+    return pairs.filter(~same).select(F.coalesce("t.part", "s.part").alias("part")).distinct()
+
+
 def insert_only(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
     """Append the source rows whose key the target does not hold yet."""
     new = source.join(target.select(*on), list(on), "left_anti")
@@ -84,6 +92,18 @@ def check_source(source: DataFrame, spec: TableSpec) -> DataFrame:
     return source
 
 
+def guarded(source: DataFrame, spec: TableSpec, column: str) -> DataFrame:
+    """The source, failing while it is read if two rows share a key; ``column`` must be one the merge uses.
+
+    Rows are counted within the partitioning the merge joins on, so the check costs no shuffle.
+    """
+    rows = F.count(F.lit(1)).over(Window.partitionBy(spec.key_hash))
+    problem = F.concat(F.lit("merge source holds "), F.col("_rows").cast("string"), F.lit(" rows for key "),
+                       F.col(spec.key_hash))
+    checked = F.when(F.col("_rows") > 1, F.raise_error(problem).cast("string")).otherwise(F.col(column))
+    return source.withColumn("_rows", rows).withColumn(column, checked).drop("_rows")
+
+
 # -- slowly changing versions ---------------------------------------------------------------
 
 def _side(side: str, columns: list[str]) -> dict[str, Column]:
@@ -132,15 +152,12 @@ def scd_merge(target: DataFrame, source: DataFrame, spec: TableSpec, batch: Batc
 
     ``target`` may be the whole table or any part of it that is closed under the business
     key (for example the date partitions a batch touches). Rows missing from the source are
-    left alone. With ``id_column`` every source row is given an unused id beforehand (greater
-    than ``above``, by default the target's highest); ids of rows that turn out to be stored
-    already simply stay unused.
+    left alone. A source with two rows for a key is refused. With ``id_column`` the inserted rows,
+    known only after the join, are numbered without gaps (above ``above``, by default the target's
+    highest id).
     """
     columns = target.columns
-    if id_column:
-        above = above if above is not None else highest_id(target, id_column)
-        source = assign_surrogates(source, id_column, F.col(spec.key_hash), above, DIM_DIGITS)
-    source = aligned(source, target)
+    source = guarded(aligned(source, target), spec, spec.value_hash)
     pairs = _joined(target.filter(is_current()), source, spec, "full_outer")
     has_target = F.col(f"t.{spec.key_hash}").isNotNull()
     has_source = F.col(f"s.{spec.key_hash}").isNotNull()
@@ -149,6 +166,9 @@ def scd_merge(target: DataFrame, source: DataFrame, spec: TableSpec, batch: Batc
     opened = F.when(has_source & (~has_target | expire),
                     F.struct(*(column.alias(name) for name, column in _side("s", columns).items())))
     merged = pairs.select(F.inline(F.array_compact(F.array(kept, opened))))
+    if id_column:
+        top = above if above is not None else highest_id(target, id_column)
+        merged = number_missing(merged, id_column, F.col(spec.key_hash), top, DIM_DIGITS)
     return target.filter(~is_current()).unionByName(merged)
 
 
@@ -156,7 +176,7 @@ def type1_update(target: DataFrame, source: DataFrame, spec: TableSpec, batch: B
     """Only the overwrite step: current rows take the source's type-1 values."""
     if not spec.type1_columns:
         return target
-    narrow = source.select(spec.key_hash, "__Hash1Type", *spec.type1_columns)
+    narrow = guarded(source.select(spec.key_hash, "__Hash1Type", *spec.type1_columns), spec, "__Hash1Type")
     pairs = _joined(target.filter(is_current()), narrow, spec, "left")
     updated = pairs.select(*_kept(target.columns, spec, batch, expire=F.lit(False)))
     return target.filter(~is_current()).unionByName(updated)
@@ -170,13 +190,11 @@ def fact_sync(target: DataFrame, source: DataFrame, spec: TableSpec, scope: Colu
 
     ``scope`` is a condition on key columns that every source row meets; facts outside it are
     neither joined nor deleted. Without it the source counts as the complete fact table.
-    A strict spec only deletes a changed fact, which then returns with the next load.
+    A strict spec only deletes a changed fact, which then returns with the next load. A source with
+    two rows for a key is refused. With ``id_column`` inserted facts get a fresh id after the join.
     """
     columns = target.columns
-    if id_column:
-        above = above if above is not None else highest_id(target, id_column)
-        source = assign_surrogates(source, id_column, F.col(spec.key_hash), above)
-    source = aligned(source, target)
+    source = guarded(aligned(source, target), spec, spec.value_hash)
     inside = target
     if scope is not None:
         inside = target.filter(F.coalesce(scope, F.lit(False)))
@@ -185,6 +203,8 @@ def fact_sync(target: DataFrame, source: DataFrame, spec: TableSpec, scope: Colu
     fresh = F.col(f"t.{spec.key_hash}").isNull() if spec.strict else ~same
     keep_new = F.col(f"s.{spec.key_hash}").isNotNull() & fresh
     stored, arriving = _side("t", columns), _side("s", columns)
+    if id_column:
+        arriving[id_column] = fresh_id(above if above is not None else highest_id(target, id_column))
     synced = pairs.filter(same | keep_new).select(*(
         F.when(same, stored[name]).otherwise(arriving[name]).alias(name) for name in columns))
     if scope is not None:

@@ -3,40 +3,64 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
 # Fixed value: most points a chart shows.
 MAX_POINTS = 3500
 
 
+def _offset(axis: Column, start: Column, kind: DataType) -> Column:
+    """Distance from the start in the axis's own unit: days, microseconds, or the number itself."""
+    if isinstance(kind, DateType):
+        return F.datediff(axis, start).cast("bigint")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(axis.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    return axis - start
+
+
 def downsample_minmax(df: DataFrame, by: Sequence[str], axis: str, value: str,
                       max_points: int = MAX_POINTS) -> DataFrame:
     """At most ``max_points`` rows per series, keeping both ends and local extremes.
 
-    The date axis between the ends is cut into equal bins; each keeps its lowest and its
-    highest point (the earlier one on ties). A series that is short enough comes back whole.
-    ``(by, axis)`` must be unique. Bins are pre-aggregated, so a long series never meets in
-    one task; the join with the series' ends is broadcast or skew-split by its size. ``df`` is
-    read twice: pass a stored table or a cheap plan.
+    The axis (dates, timestamps or numbers) between the ends is cut into equal bins; each keeps its
+    lowest and its highest point, the earlier one on ties. Points without a value are left out; a
+    series that is short enough comes back whole, blanks included. ``(by, axis)`` must be unique.
+
+    Extremes and their places are fixed-width aggregates over (series, bin), so points collapse on the
+    map side before they move and a long series never meets in one task. Only then are the few chosen
+    places joined with the points, which a skew split or a broadcast can serve. ``df`` is read three
+    times: pass a stored table or a cheap plan.
     """
     bins = max((max_points - 2) // 2, 1)
+    known, kind = F.col(value).isNotNull(), df.schema[axis].dataType
     ends = df.groupBy(*by).agg(
-        F.min(axis).alias("_from"), F.max(axis).alias("_to"), F.count(F.lit(1)).alias("_points"))
-    offset = F.datediff(axis, "_from")
-    width = F.datediff("_to", "_from") + 1
-    bin_no = (F.when(F.col("_points") <= max_points, offset)
-              .when(F.col(axis) == F.col("_from"), F.lit(-1))
+        F.min(F.when(known, F.col(axis))).alias("_from"), F.max(F.when(known, F.col(axis))).alias("_to"),
+        F.count(F.lit(1)).alias("_points"))
+    share = _offset(F.col(axis), F.col("_from"), kind) / _offset(F.col("_to"), F.col("_from"), kind)
+    bin_no = (F.when(F.col(axis) == F.col("_from"), F.lit(-1))
               .when(F.col(axis) == F.col("_to"), F.lit(bins))
-              .otherwise(F.floor(offset * F.lit(bins) / width)))
-    rest = [name for name in df.columns if name not in (*by, axis, value)]
-    point = [F.col(value), F.col(axis), *map(F.col, rest)]
-    extremes = (df.join(ends, list(by)).withColumn("_bin", bin_no.cast("bigint"))
-                .groupBy(*by, "_bin")
-                .agg(F.min(F.struct(*point)).alias("_low"),
-                     F.min(F.struct((-F.col(value)).alias("_negative"), F.col(axis), F.col(value),
-                                    *map(F.col, rest))).alias("_high")))
-    as_point = [F.struct(*(F.col(f"{side}.{name}").alias(name) for name in (value, axis, *rest)))
-                for side in ("_low", "_high")]
-    return extremes.select(*by, F.inline(F.array_distinct(F.array(*as_point)))).select(*df.columns)
+              .otherwise(F.least(F.floor(share * bins), F.lit(bins - 1)))).cast("bigint")
+    placed = _joined(df, ends, by)
+    short = placed.filter(F.col("_points") <= max_points).select(*df.columns)
+    long = placed.filter((F.col("_points") > max_points) & known).withColumn("_bin", bin_no)
+    keys = [*by, "_bin"]
+    extremes = long.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    hits = _joined(long, extremes, keys).filter(F.col(value).isin(F.col("_low"), F.col("_high")))
+    chosen = hits.groupBy(*keys).agg(
+        F.min(F.when(F.col(value) == F.col("_low"), F.col(axis))).alias("_low_at"),
+        F.min(F.when(F.col(value) == F.col("_high"), F.col(axis))).alias("_high_at"))
+    places = chosen.select(*by, F.explode(F.array_distinct(F.array("_low_at", "_high_at"))).alias(axis))
+    return short.unionByName(_joined(df, places, [*by, axis]).select(*df.columns))
+
+
+def _joined(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Left rows with the other columns of their group; blank groups match."""
+    renamed = right.withColumnsRenamed({name: f"_of_{name}" for name in by})
+    if not by:
+        return left.crossJoin(renamed)
+    same = (F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in by)
+    return left.join(renamed, reduce(lambda a, b: a & b, same)).drop(*(f"_of_{name}" for name in by))

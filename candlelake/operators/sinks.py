@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +37,11 @@ def append_by_symbol(responses: DataFrame, path: str) -> None:
     append_by(responses.withColumn("symbol", F.col("meta.symbol")), path)
 
 
-def overwrite_evolving(df: DataFrame, path: str) -> None:
-    """Replace the whole table; the new schema may add columns."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+def overwrite_evolving(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Replace the whole table, partitioned if wanted; the new schema may add columns."""
+    rows = _clustered(df, partition_by) if partition_by else df
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .parquet(path, partitionBy=[partition_by] if partition_by else None)
 
 
 def append_evolving(df: DataFrame, path: str) -> None:
@@ -52,9 +55,13 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
 
 def create_table(spark: SparkSession, name: str, ddl: str, path: str, replace: bool = False,
                  partition_by: str | None = None) -> None:
-    """Catalog table with a declared schema at a location; an existing one stays unless replaced."""
+    """Catalog table with a declared schema at a location; an existing one stays unless replaced.
+
+    A replaced table starts empty in a new folder beside the old one, whose files stay for running readers.
+    """
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        path = f"{path.rstrip('/')}-{uuid.uuid4().hex[:8]}"
     partitioned = f" PARTITIONED BY ({partition_by})" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING PARQUET{partitioned} LOCATION '{path}'")
 
@@ -76,20 +83,24 @@ def switch_location(spark: SparkSession, name: str, df: DataFrame, path: str) ->
 
 
 def replace_partitions(spark: SparkSession, name: str, df: DataFrame, column: str, scope: Iterable[int],
-                       path: str, sort_by: Sequence[str] = ()) -> None:
+                       path: str, sort_by: Sequence[str] = (),
+                       before_switch: Callable[[DataFrame], None] | None = None) -> None:
     """Make ``df`` the content of the partitions in ``scope`` of a catalog table.
 
     The new files go to a folder of their own; only then is each partition pointed there, and
     those left without rows are dropped last. ``df`` may read the table itself, a failed write
     leaves it as it was, a partition always holds either its old or its new rows, and no other
     partition is touched. ``scope`` lists the partitions of one load, bounded by the calendar.
-    Files are sorted by ``sort_by``, so that filters on it skip most row groups.
+    Files are sorted by ``sort_by``, so that filters on it skip most row groups. ``before_switch``
+    gets the written rows before any partition points to them.
     """
     scope = set(scope)
     if not scope:
         return
     (_clustered(df, column).sortWithinPartitions(column, *sort_by)
      .write.partitionBy(column).parquet(path))
+    if before_switch:
+        before_switch(spark.read.schema(df.schema).parquet(path))
     filled = {row[0] for row in _partition_values(spark, path, column)}
     held = {int(row[0].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     new = [f"PARTITION ({column} = {value}) LOCATION '{path}/{column}={value}'" for value in sorted(filled - held)]

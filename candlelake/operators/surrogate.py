@@ -5,46 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Hex digits of a hash that form a bucket: 3 digits give 4096 buckets of equal size.
+# Hex digits of a hash that form a bucket of a gapless numbering.
 BUCKET_DIGITS = 3
 
 
-def _bucket(hash_hex: Column, digits: int) -> Column:
-    return F.conv(F.substring(hash_hex, 1, digits), 16, 10).cast("bigint")
-
-
 def highest_id(table: DataFrame, id_column: str) -> Column:
     """The highest id in a table as a scalar subquery; 0 for an empty one."""
     return F.coalesce(table.agg(F.max(id_column)).scalar(), F.lit(0))
 
 
-def assign_surrogates(rows: DataFrame, id_column: str, hash_hex: Column,
-                      above: Column | None = None, digits: int = BUCKET_DIGITS) -> DataFrame:
-    """A new unique id for every row, greater than ``above``.
+def fresh_id(above: Column | None = None) -> Column:
+    """A new unique id for every row of the select it stands in, greater than ``above``.
 
-    Buckets of a hash prefix are numbered independently and their ids interleave: row r of
-    bucket b gets ``top + (r - 1) * buckets + b + 1``. That takes one pass and one evenly
-    spread shuffle. Ids are unique and repeatable but, like identity columns, not gapless.
-    ``hash_hex`` must be distinct per row, which also rules out a hot bucket.
+    Every task numbers its own rows inside a range of its own: no shuffle, no sort, no limit on tasks.
+    Like those of an identity column the ids have gaps, and they change when the rows are computed
+    anew: write them before they are read twice.
     """
     top = above if above is not None else F.lit(0)
-    inside = Window.partitionBy("_bucket").orderBy("_hash")
-    position = (F.row_number().over(inside) - 1) * F.lit(16 ** digits) + F.col("_bucket") + 1
-    return (rows.drop(id_column).withColumn("_hash", hash_hex)
-            .withColumn("_bucket", _bucket(F.col("_hash"), digits))
-            .withColumn("_position", position.cast("bigint"))
-            .withColumn(id_column, (F.col("_position") + top).cast("bigint"))
-            .drop("_hash", "_bucket", "_position"))
+    return (F.monotonically_increasing_id() + 1 + top).cast("bigint")
+
+
+def assign_surrogates(rows: DataFrame, id_column: str, above: Column | None = None) -> DataFrame:
+    return rows.withColumn(id_column, fresh_id(above))
 
 
 def with_position(rows: DataFrame, hash_hex: Column, name: str, digits: int = BUCKET_DIGITS) -> DataFrame:
     """Gapless ``row_number() over (order by hash_hex)``, computed bucket by bucket.
 
-    Rows are numbered inside their bucket and shifted by the rows of all earlier buckets.
-    Only the bucket counts, at most 16**digits rows, meet in one task; being that few they
-    are broadcast. Reads ``rows`` twice.
+    Rows are numbered inside their bucket and shifted by the rows of all earlier buckets. Only the
+    bucket counts, at most ``16**digits`` rows, meet in one task; being that few they are broadcast.
+    A bucket is sorted by one task, so pass the digits that make buckets small enough. Reads ``rows``
+    twice.
     """
-    hashed = rows.withColumn("_hash", hash_hex).withColumn("_bucket", _bucket(F.col("_hash"), digits))
+    bucket = F.conv(F.substring("_hash", 1, digits), 16, 10).cast("bigint")
+    hashed = rows.withColumn("_hash", hash_hex).withColumn("_bucket", bucket)
     counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
@@ -52,3 +46,10 @@ def with_position(rows: DataFrame, hash_hex: Column, name: str, digits: int = BU
     return (hashed.join(F.broadcast(offsets), "_bucket")
             .withColumn(name, (F.col("_offset") + F.row_number().over(inside)).cast("bigint"))
             .drop("_hash", "_bucket", "_offset"))
+
+
+def number_missing(rows: DataFrame, id_column: str, hash_hex: Column, above: Column, digits: int) -> DataFrame:
+    """Gapless ids above ``above`` for the rows without one, in order of their hash. Reads ``rows`` three times."""
+    new = with_position(rows.filter(F.col(id_column).isNull()), hash_hex, "_position", digits)
+    numbered = new.withColumn(id_column, (F.col("_position") + above).cast("bigint")).drop("_position")
+    return rows.filter(F.col(id_column).isNotNull()).unionByName(numbered)

@@ -8,21 +8,23 @@ merging it alone gives the same result as merging the whole table.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlelake import schemas
-from candlelake.context import FACT_DAILY_SPEC, SILVER_SPEC, BatchContext
+from candlelake.context import DIM_SYMBOL_SPEC, FACT_DAILY_SPEC, SILVER_SPEC, BatchContext
 from candlelake.operators import dims, facts, sinks
-from candlelake.operators.merge import changed_rows, check_source, fact_sync, not_matched_by_source, scd_merge
-from candlelake.plans.silver import flat_bars, rejected_bars, silver_source
-from candlelake.sources import responses, tables
+from candlelake.operators.merge import changed_rows, differing, fact_sync, scd_merge
+from candlelake.plans.silver import flat_bronze, rejected_bars, silver_source
+from candlelake.sources import responses
 
 MONTH = "Month"
 SORT = {"silver": ("Symbol", "Date"), "fact_daily": ("SymbolSID", "DateID")}
-TOP_ID = "candlelake.top_id"
+# Table properties: the highest fact id reserved, the last load whose gold steps all finished, the last lookup.
+TOP_ID, GOLD_MARK, LOOKUP_MARK = "candlelake.top_id", "candlelake.gold_mark", "candlelake.lookup_mark"
 
 
 def month_of(day: Column) -> Column:
@@ -57,6 +59,7 @@ class Lake:
 
     def seed_lookup(self, lookup: DataFrame, batch: BatchContext) -> None:
         self._switch("symbol_lookup", lookup, batch)
+        self._set_property("symbol_lookup", LOOKUP_MARK, batch.start)
 
     # -- one load ---------------------------------------------------------------------------
 
@@ -65,12 +68,16 @@ class Lake:
         sinks.overwrite_partitions(responses.accept(landed), self.path("bronze"))
         responses.reject(landed).write.mode("overwrite").json(self.path("rejected", batch.batch_id))
 
-    def load_silver(self, landed: DataFrame, batch: BatchContext) -> None:
-        flat = self._staged(flat_bars(landed), "flat", batch)
+    def load_silver(self, symbols: DataFrame, batch: BatchContext) -> None:
+        """Merge the stored bronze of the delivered symbols; months without any change are not rewritten."""
+        if symbols.isEmpty():
+            return
+        bronze = responses.read_bronze(self.spark, self.path("bronze"), symbols)
+        flat = self._staged(flat_bronze(bronze), "flat", batch)
         rejected_bars(flat).write.mode("overwrite").json(self.path("rejected_bars", batch.batch_id))
-        source = check_source(silver_source(flat, batch), SILVER_SPEC).withColumn(MONTH, month_of(F.col("Date")))
+        source = silver_source(flat, batch).withColumn(MONTH, month_of(F.col("Date")))
+        source = self._staged(source, "silver", batch)
         delivered = self._months_of("silver", self._months(source.select(MONTH)))
-        # a re-delivered month without any change is not rewritten
         months = self._months(changed_rows(delivered, source, SILVER_SPEC).select(MONTH))
         if not months:
             return
@@ -79,50 +86,55 @@ class Lake:
         self._replace("silver", merged, month_of(F.col("Date")), months, batch)
 
     def load_dim_symbol(self, batch: BatchContext) -> None:
-        built = dims.build_dim_symbol(self.table("dim_symbol"), self._changed(batch),
-                                      self.table("symbol_lookup"), batch)
+        """Versions from the rows changed since the last load; from all rows if the lookup is newer than that."""
+        mark, lookup = self._property("fact_daily", GOLD_MARK), self._property("symbol_lookup", LOOKUP_MARK)
+        renewed = mark and lookup and lookup >= mark
+        rows = self.table("silver").filter("__CurrentFlag") if renewed else self._changed(batch)
+        if rows.isEmpty():
+            return
+        built = dims.build_dim_symbol(self.table("dim_symbol"), rows, self.table("symbol_lookup"), batch)
         self._switch("dim_symbol", built, batch)
 
     def load_facts(self, batch: BatchContext) -> None:
-        """Sync every month with a changed silver row against all of that month's silver rows.
+        """Sync every month with a changed silver row, or with rows of a symbol that only now has an id.
 
-        Facts are daily: responses with several values per symbol and day are refused here.
+        A month is synced against all of its silver rows. Facts are daily: responses with several
+        values per symbol and day are refused here.
         """
-        months = self._months(self._changed(batch).select(MONTH))
+        months = sorted({*self._months(self._changed(batch).select(MONTH)), *self._months_of_new_symbols()})
+        if not months:
+            return
         silver = self._months_of("silver", months)
         source = self._staged(facts.fact_source(silver, self.table("dim_symbol"), batch), "facts", batch)
-        source = check_source(source, FACT_DAILY_SPEC)
-        stored, month = self._months_of("fact_daily", months), F.floor(F.col("DateID") / 100).cast("int")
-        differing = (changed_rows(stored, source, FACT_DAILY_SPEC).select(month)
-                     .union(not_matched_by_source(stored, source, FACT_DAILY_SPEC).select(month)))
-        months = self._months(differing)
+        month = F.floor(F.col("DateID") / 100).cast("int")
+        months = self._months(differing(self._months_of("fact_daily", months), source, FACT_DAILY_SPEC, month))
         if not months:
             return
         synced = fact_sync(
             self._months_of("fact_daily", months), source.filter(month.isin(months)), FACT_DAILY_SPEC,
             id_column="TransactionSID", above=F.lit(self._top_id()))
-        self._replace("fact_daily", synced, month, months, batch)
-        newest = self._months_of("fact_daily", months).agg(F.max("TransactionSID")).head()[0]
-        self._set_top_id(max(self._top_id(), newest or 0))
+        self._replace("fact_daily", synced, month, months, batch, self._reserve_ids)
 
     def load_dim_date(self, batch: BatchContext) -> None:
-        dim = self.table("dim_date")
-        grown = dims.extend_calendar(dim, self._changed(batch).select("Date"))
-        self._switch("dim_date", grown, batch)
+        changed = self._changed(batch).select("Date")
+        if not changed.isEmpty():
+            self._switch("dim_date", dims.extend_calendar(self.table("dim_date"), changed), batch)
 
     def load(self, landed: DataFrame, batch: BatchContext) -> None:
+        """One delivery. Gold steps cover everything since the last load that finished them all."""
         landed = self._staged(landed, "landed", batch)  # documents are parsed once
         self.land(landed, batch)
-        self.load_silver(landed, batch)
+        self.load_silver(responses.accept(landed).select("symbol").distinct(), batch)
         self.load_dim_symbol(batch)
         self.load_facts(batch)
         self.load_dim_date(batch)
+        self._set_property("fact_daily", GOLD_MARK, max(batch.start, self._property("fact_daily", GOLD_MARK) or ""))
 
     # -- reading ----------------------------------------------------------------------------
 
     def star(self) -> DataFrame:
-        """Facts under their current symbol and calendar attributes, for the measures."""
-        symbols = dims.current_dim(self.table("dim_symbol"))
+        """Facts under the attributes their symbols have now and the calendar, for the measures."""
+        symbols = dims.member_dim(self.table("dim_symbol"))
         return facts.star(self.table("fact_daily").drop(MONTH), self.table("dim_date"), symbols)
 
     # -- helpers ----------------------------------------------------------------------------
@@ -134,8 +146,25 @@ class Lake:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _changed(self, batch: BatchContext) -> DataFrame:
-        recent = tables.changed_since(self.table("silver"), "__lastmodified", batch.effective_ts.date())
-        return recent.filter("__CurrentFlag")
+        """Current silver rows of every load since the last one that finished its gold steps."""
+        rows, mark = self.table("silver").filter("__CurrentFlag"), self._property("fact_daily", GOLD_MARK)
+        if not mark:
+            return rows
+        # a load in the same second as the last one looks at that second again
+        fresh = F.col("__lastmodified") > mark if batch.start > mark else F.col("__lastmodified") >= batch.start
+        return rows.filter(fresh)
+
+    def _months_of_new_symbols(self) -> list[int]:
+        """Months with rows of symbols whose first version came after the last finished load."""
+        mark = self._property("fact_daily", GOLD_MARK)
+        if not mark:
+            return []
+        versions = self.table("dim_symbol").groupBy(*DIM_SYMBOL_SPEC.business_columns) \
+            .agg(F.min("__CreateDateTime").alias("since")).filter(F.col("since") > mark).drop("since")
+        if versions.isEmpty():
+            return []
+        rows = self.table("silver").filter("__CurrentFlag").join(versions, list(DIM_SYMBOL_SPEC.business_columns))
+        return self._months(rows.select(MONTH))
 
     def _months(self, months: DataFrame) -> list[int]:
         """Distinct months of a load; at most the calendar's length."""
@@ -144,9 +173,10 @@ class Lake:
     def _months_of(self, kind: str, months: list[int]) -> DataFrame:
         return self.table(kind).filter(F.col(MONTH).isin(months)).drop(MONTH)
 
-    def _replace(self, kind: str, df: DataFrame, month: Column, months: list[int], batch: BatchContext) -> None:
+    def _replace(self, kind: str, df: DataFrame, month: Column, months: list[int], batch: BatchContext,
+                 before_switch: Callable[[DataFrame], None] | None = None) -> None:
         sinks.replace_partitions(self.spark, self.name(kind), df.withColumn(MONTH, month), MONTH, months,
-                                 self._fresh(kind, batch), SORT[kind])
+                                 self._fresh(kind, batch), SORT[kind], before_switch)
 
     def _switch(self, kind: str, df: DataFrame, batch: BatchContext) -> None:
         sinks.switch_location(self.spark, self.name(kind), df, self._fresh(kind, batch))
@@ -156,10 +186,17 @@ class Lake:
         return self.path(kind, f"{batch.batch_id}-{uuid.uuid4().hex[:8]}")
 
     def _top_id(self) -> int:
-        """Highest fact id ever given out, kept with the table so that no load scans for it."""
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name('fact_daily')}").filter(F.col("key") == TOP_ID)
-        found = rows.collect()
-        return int(found[0]["value"]) if found else 0
+        """Highest fact id ever reserved, kept with the table so that no load scans for it."""
+        return int(self._property("fact_daily", TOP_ID) or 0)
+
+    def _reserve_ids(self, written: DataFrame) -> None:
+        """Note the ids of written facts before any reader can see them: no later load hands them out again."""
+        newest = written.agg(F.max("TransactionSID")).head()[0] or 0
+        self._set_property("fact_daily", TOP_ID, str(max(self._top_id(), newest)))
+
+    def _property(self, kind: str, key: str) -> str | None:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(kind)}").filter(F.col("key") == key).collect()
+        return rows[0]["value"] if rows else None
 
-    def _set_top_id(self, value: int) -> None:
-        self.spark.sql(f"ALTER TABLE {self.name('fact_daily')} SET TBLPROPERTIES ('{TOP_ID}' = '{value}')")
+    def _set_property(self, kind: str, key: str, value: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(kind)} SET TBLPROPERTIES ('{key}' = '{value}')")

@@ -79,6 +79,10 @@ def _text_map(**entries: Column) -> Column:
 
 
 def responses(spark: SparkSession, folder: str) -> DataFrame:
+    return responses_of(bars(spark, folder))
+
+
+def responses_of(daily_bars: DataFrame) -> DataFrame:
     """One vendor response per symbol and month, so a document holds at most 31 days.
 
     The usual faults are part of it: Asian Decembers failed, European Marches came without
@@ -86,7 +90,7 @@ def responses(spark: SparkSession, folder: str) -> DataFrame:
     """
     value = _text_map(datetime=F.col("Date"), open=F.col("Open"), high=F.col("High"),
                       low=F.col("Low"), close=F.col("Close"), volume=F.col("Volume"))
-    months = (bars(spark, folder)
+    months = (daily_bars
               .withColumn("Month", F.trunc("Date", "month"))
               .groupBy("Symbol", "ExchangeName", "Currency", "Type", "ExchangeTimeZone", "Month")
               .agg(F.collect_list(value).alias("values")))

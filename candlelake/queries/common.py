@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -46,6 +46,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def id_checks(id_column: str, above: int = 0) -> list[Column]:
+    """What holds for ids whose values are free: unique, and above the ones given out before."""
+    uses = F.count(F.lit(1)).over(Window.partitionBy(id_column))
+    return [(uses == 1).alias("IdIsUnique"), (F.col(id_column) > above).alias("IdIsAbove")]
+
+
 def stored_bars(spark: SparkSession, folder: str) -> DataFrame:
     return stored(market.bars(spark, folder), "bars")
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 
-from candlelake.context import NULL_TOKEN
-
 LOAD_1 = "2024-01-01 00:00:00"
 LOAD_2 = "2024-02-01 00:00:00"
 LOAD_2_END = "2024-01-31 23:59:59"
@@ -14,15 +12,8 @@ BATCH_1 = "batch-1"
 BATCH_2 = "batch-2"
 
 
-def numbered(hash_column: str, digits: int, top: str = "0") -> str:
-    """Id of a row: interleaved positions inside buckets of the hash prefix."""
-    bucket = f"CAST('0x' || substr({hash_column}, 1, {digits}) AS BIGINT)"
-    return (f"{top} + (row_number() OVER (PARTITION BY {bucket} ORDER BY {hash_column}) - 1) * {16 ** digits}"
-            f" + {bucket} + 1")
-
-
 def sha(*columns: str, prefix: str = "") -> str:
-    parts = ", ".join(f"coalesce(CAST({prefix}{name} AS VARCHAR), '{NULL_TOKEN}')" for name in columns)
+    parts = ", ".join(f"coalesce(CAST({prefix}{name} AS VARCHAR), '~null~')" for name in columns)
     return f"sha256(concat_ws('|', {parts}))" if columns else "sha256('')"
 
 
@@ -35,6 +26,11 @@ FACT_KEY = ("SymbolSID", "DateID")
 FACT_TRACKED = ("Close", "High", "Low", "Open", "Volume")
 
 
+#: Every column of the three versioned tables, in the order of their declarations.
+VERSION = "__CurrentFlag, __DeletedFlag, __EffectiveStartDateTime, __EffectiveEndDateTime"
+BATCH = "__CreatedBatchLogId, __UpdatedBatchLogId, __CreateDateTime, __UpdateDateTime"
+
+
 def _growths(name: str, source: str, by: str) -> dict[str, str]:
     """daily / anchor / bounds / growth chain for one grouping."""
     def on(left: str, right: str) -> str:
@@ -197,8 +193,12 @@ CTES: dict[str, str] = {
                {sha(*DIM_KEY)} AS __BusinessKeyHash
         FROM bars JOIN lookup USING (Symbol)""",
     "dimsym": f"""
-        SELECT {numbered('__BusinessKeyHash', 2)} AS SymbolSID, *,
-               sha256('') AS __Hash1Type, {sha(*DIM_TRACKED)} AS __Hash2Type
+        SELECT row_number() OVER (ORDER BY __BusinessKeyHash) AS SymbolSID, *,
+               sha256('') AS __Hash1Type, {sha(*DIM_TRACKED)} AS __Hash2Type,
+               true AS __CurrentFlag, false AS __DeletedFlag,
+               TIMESTAMP '{LOAD_1}' AS __EffectiveStartDateTime, TIMESTAMP '{OPEN_END}' AS __EffectiveEndDateTime,
+               '{BATCH_1}' AS __CreatedBatchLogId, CAST(NULL AS VARCHAR) AS __UpdatedBatchLogId,
+               TIMESTAMP '{LOAD_1}' AS __CreateDateTime, CAST(NULL AS TIMESTAMP) AS __UpdateDateTime
         FROM symkeys""",
     "factsrc": f"""
         SELECT d.SymbolSID, b.Volume, b.High, b.Low, b.Open, b.Close,

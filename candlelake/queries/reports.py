@@ -11,7 +11,7 @@ from candlelake.queries.common import as_doubles, dim_symbol, rounded, stored
 from candlelake.queries.ctes import with_ctes
 from candlelake.queries.measures import GROWTH_TEXT_SQL, TREND_SQL
 from candlelake.queries.registry import query
-from candlelake.sources.generated import refresh_stamp
+from candlelake.sources.generated import refresh_stamp, time_ranges
 
 
 @query("top_n", with_ctes("""
@@ -22,11 +22,9 @@ def top_n(spark, folder):
 
 
 @query("sort_by_column", with_ctes("""
-    SELECT Symbol, Sort, RangeName, SortOrder FROM dimsym, ranges ORDER BY Sort, SortOrder"""))
+    SELECT Symbol, Sort FROM dimsym ORDER BY Sort"""))
 def sort_by_column(spark, folder):
-    symbols = dim_symbol(spark, folder).withColumn("LastTradingDate", F.lit(None).cast("date"))
-    return (m.with_range_bounds(symbols).orderBy("Sort", "SortOrder")
-            .select("Symbol", "Sort", "RangeName", "SortOrder"))
+    return dim_symbol(spark, folder).orderBy("Sort").select("Symbol", "Sort")
 
 
 @query("summarize_series", with_ctes("""
@@ -38,22 +36,43 @@ def summarize_series(spark, folder):
     return rounded(points, "AvgVolume")
 
 
-POINTS = 350
-
-
-@query("downsample_minmax", with_ctes(f"""
-    SELECT DISTINCT Symbol, Date, CAST(v AS DOUBLE) AS SumOpen FROM (
+def sampled_sql(points, blank):
+    """Sampled days per symbol; ``blank`` is a condition on days without a value."""
+    bins = (points - 2) // 2
+    return with_ctes(f"""
+    SELECT Symbol, Date, CAST(v AS DOUBLE) AS SumOpen FROM placed WHERE n <= {points}
+    UNION ALL
+    SELECT DISTINCT Symbol, Date, CAST(v AS DOUBLE) FROM (
       SELECT *, row_number() OVER (PARTITION BY Symbol, bin ORDER BY v, Date) AS lowest,
              row_number() OVER (PARTITION BY Symbol, bin ORDER BY v DESC, Date) AS highest
-      FROM (SELECT Symbol, Date, v, CASE WHEN n <= {POINTS} THEN off WHEN Date = d0 THEN -1 WHEN Date = d1 THEN {(POINTS - 2) // 2}
-                   ELSE off * {(POINTS - 2) // 2} // (d1 - d0 + 1) END AS bin
-            FROM (SELECT Symbol, Date, so AS v, Date - d0 AS off, d0, d1, n
-                  FROM days_sym JOIN (SELECT Symbol, min(Date) AS d0, max(Date) AS d1, count(*) AS n
-                                      FROM days_sym GROUP BY Symbol) USING (Symbol))))
-    WHERE lowest = 1 OR highest = 1"""))
+      FROM (SELECT *, CASE WHEN Date = d0 THEN -1 WHEN Date = d1 THEN {bins}
+                   ELSE least(floor(CAST(Date - d0 AS DOUBLE) / (d1 - d0) * {bins}), {bins - 1}) END AS bin
+            FROM placed WHERE v IS NOT NULL AND n > {points}))
+    WHERE lowest = 1 OR highest = 1""", points=f"SELECT Symbol, Date, CASE WHEN {blank} THEN NULL ELSE so END AS v FROM days_sym",
+    placed="""
+    SELECT * FROM points JOIN (SELECT Symbol, min(Date) FILTER (v IS NOT NULL) AS d0, max(Date) FILTER (v IS NOT NULL) AS d1,
+                                      count(*) AS n FROM points GROUP BY Symbol) USING (Symbol)""")
+
+
+def sampled(spark, folder, points, blank):
+    days = m.daily(market.bars(spark, folder), ["Symbol"]).select(
+        "Symbol", "Date", F.when(~blank, F.col("SumOpen")).alias("SumOpen"))
+    return as_doubles(series.downsample_minmax(stored(days, "days"), ["Symbol"], "Date", "SumOpen", points))
+
+
+@query("downsample_minmax", sampled_sql(350, "false"))
 def downsample_minmax(spark, folder):
-    days = m.daily(market.bars(spark, folder), ["Symbol"]).select("Symbol", "Date", "SumOpen")
-    return as_doubles(series.downsample_minmax(stored(days, "days"), ["Symbol"], "Date", "SumOpen", POINTS))
+    return sampled(spark, folder, 350, F.lit(False))
+
+
+@query("downsample_minmax_blanks", sampled_sql(100, "day(Date) % 4 = 0"))
+def downsample_minmax_blanks(spark, folder):
+    return sampled(spark, folder, 100, F.dayofmonth("Date") % 4 == 0)
+
+
+@query("downsample_minmax_default", sampled_sql(3500, "month(Date) = 5"))
+def downsample_minmax_default(spark, folder):
+    return sampled(spark, folder, series.MAX_POINTS, F.month("Date") == 5)
 
 
 TOOLTIPS = """, CAST(so AS DOUBLE) AS SumOpen, CAST(lo AS DOUBLE) AS MinLow, CAST(hi AS DOUBLE) AS MaxHigh,
@@ -135,3 +154,17 @@ def report_industry_pivot(spark, folder):
     SELECT Symbol, Sort, Logo, Symbol = 'NATION_7' AS IsDefault FROM dimsym"""))
 def slicer_values(spark, folder):
     return report.slicer_values(dim_symbol(spark, folder), "NATION_7")
+
+
+@query("slicer_ranges", with_ctes("""
+    SELECT r.RangeName, r.SortOrder, r.RangeName = '30 Days' AS IsDefault, count(Date) AS n_days,
+           '30 Days' AS SelectedRange
+    FROM ranges r LEFT JOIN inrange_all i USING (RangeName) GROUP BY ALL"""))
+def slicer_ranges(spark, folder):
+    """The selectable ranges, the trading days each holds, and the choice when none is made."""
+    ranges = time_ranges(spark)
+    days = m.expand_ranges(m.daily(market.bars(spark, folder))).groupBy("RangeName").agg(F.count("Date").alias("n_days"))
+    chosen = report.selected_range(ranges)
+    return report.range_slicer(ranges).join(days, "RangeName", "left").select(
+        "RangeName", "SortOrder", "IsDefault", F.coalesce("n_days", F.lit(0)).alias("n_days"),
+        chosen.agg(F.max("SelectedRange")).scalar().alias("SelectedRange"))

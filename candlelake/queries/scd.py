@@ -13,7 +13,7 @@ from candlelake.operators.surrogate import assign_surrogates, with_position
 from candlelake.plans import market
 from candlelake.queries import ctes
 from candlelake.queries.common import (
-    BATCH_1, BATCH_2, CUSTOMER_SPEC, as_doubles, calendar_of, current, customer_load, customer_reload, dim_of, fact_of,
+    id_checks, BATCH_1, BATCH_2, CUSTOMER_SPEC, as_doubles, calendar_of, current, customer_load, customer_reload, dim_of, fact_of,
     silver_again, silver_of, stored, stored_bars)
 from candlelake.queries.ctes import sha, with_ctes
 from candlelake.queries.registry import query
@@ -225,11 +225,10 @@ def surrogate_key_dense(spark, folder):
     return numbered.select("RowSID", "Symbol", "Date")
 
 
-@query("surrogate_key", with_ctes(f"""
-    SELECT {ctes.numbered('__HashKey', 3)} AS RowSID, Symbol, Date FROM silver1"""))
+@query("surrogate_key", with_ctes("SELECT Symbol, Date, true AS IdIsUnique, true AS IdIsAbove FROM silver1"))
 def surrogate_key(spark, folder):
-    numbered = assign_surrogates(silver_of(market.bars(spark, folder)), "RowSID", F.col("__HashKey"))
-    return numbered.select("RowSID", "Symbol", "Date")
+    numbered = assign_surrogates(silver_of(market.bars(spark, folder)), "RowSID", F.lit(1000))
+    return stored(numbered, "numbered").select("Symbol", "Date", *id_checks("RowSID", 1000))
 
 
 @query("merge_source_check", with_ctes(f"""

@@ -64,8 +64,8 @@ def sink_overwrite_evolve(spark, folder):
     path = scratch_path(spark, "legacy-dim")
     stamped = flatten.stamp_created(responses.accept(market.responses(spark, folder)), CREATED)
     full = stored(flatten.legacy_dim_stock(stamped), "legacy")
-    sinks.overwrite_evolving(full.drop("mic_code", "created_date"), path)
-    sinks.overwrite_evolving(full, path)
+    sinks.overwrite_evolving(full.drop("mic_code", "created_date"), path, partition_by="symbol")
+    sinks.overwrite_evolving(full, path, partition_by="symbol")
     return sinks.read_evolving(spark, path)
 
 
@@ -87,10 +87,11 @@ def sink_append_evolve(spark, folder):
 def table_create(spark, folder):
     name = f"silver_{uuid.uuid4().hex}"
     sinks.create_known_table(spark, name, scratch_path(spark, "table"), "silver", replace=True)
-    rows = conform.conform(silver_of(market.bars(spark, folder)), schemas.SILVER)
+    rows = stored(conform.conform(silver_of(market.bars(spark, folder)), schemas.SILVER), "rows")
     rows.write.insertInto(name)
-    stored = spark.table(name).select("Symbol", "Date", "Volume", "Close", "__CurrentFlag", "__HashValue")
-    return as_doubles(stored)
+    sinks.create_known_table(spark, name, scratch_path(spark, "table"), "silver", replace=True)
+    rows.write.insertInto(name)
+    return as_doubles(spark.table(name).select("Symbol", "Date", "Volume", "Close", "__CurrentFlag", "__HashValue"))
 
 
 @query("table_conform", with_ctes("""

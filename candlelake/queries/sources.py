@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlelake import schemas
 from candlelake.operators import sinks
 from candlelake.plans import market
-from candlelake.queries.common import TODAY, as_doubles, dim_of, fact_of, silver_of, stored_bars
-from candlelake.queries.ctes import numbered, with_ctes
+from candlelake.queries.common import (
+    TODAY, as_doubles, dim_of, dim_symbol, fact_of, id_checks, silver_of, stored, stored_bars, trade_calendar)
+from candlelake.queries.ctes import with_ctes
 from candlelake.queries.registry import query
 from candlelake.session import scratch_path
 from candlelake.sources import generated, responses, tables
@@ -25,10 +30,19 @@ def src_request_plan(spark, folder):
 
 
 def landed(spark, folder):
-    """Responses written as JSON documents and read back under the declared schema."""
-    path = scratch_path(spark, "landed")
+    """Responses written as JSON documents and read back under the declared schema.
+
+    A broken document of every nation landed among them, and an indented one of every region beside them.
+    """
+    path, indented = scratch_path(spark, "landed"), scratch_path(spark, "landed-indented")
     market.responses(spark, folder).write.json(path)
-    return responses.read_landed(spark, path)
+    name = market.table(spark, folder, "nation").select(F.concat(F.lit('{"meta": {"symbol": "'), "n_name").alias("value"))
+    name.write.mode("append").text(path)
+    body = F.format_string('{\n "meta": {\n  "symbol": "%s"},\n "values": [],\n "status": "ok"}', F.col("r_name"))
+    regions = market.table(spark, folder, "region")
+    regions.select(body.alias("value"), "r_name").write.partitionBy("r_name").text(indented)
+    whole = responses.read_landed(spark, indented, multi_line=True)
+    return responses.read_landed(spark, path).unionByName(whole.select(*schemas.schema_of(schemas.LANDED).names))
 
 
 def bronze_path(spark, folder):
@@ -48,9 +62,12 @@ DOC_COLUMNS = """
     CASE WHEN has_meta AND ExchangeName <> 'ASIA' THEN 'X' || substr(ExchangeName, 1, 3) END AS mic_code"""
 
 
-@query("src_landed_responses", with_ctes(f"SELECT {DOC_COLUMNS}, status, n_values FROM landed"))
+@query("src_landed_responses", with_ctes(f"""
+    SELECT {DOC_COLUMNS}, status, n_values, CAST(NULL AS VARCHAR) AS broken FROM landed
+    UNION ALL SELECT NULL, NULL, NULL, NULL, '{{"meta": {{"symbol": "' || n_name FROM nation
+    UNION ALL SELECT r_name, NULL, 'ok', 0, NULL FROM region"""))
 def src_landed_responses(spark, folder):
-    return overview(landed(spark, folder), "status")
+    return overview(landed(spark, folder), "status", F.col(schemas.BROKEN).alias("broken"))
 
 
 @query("src_accept_responses", with_ctes(f"""
@@ -73,12 +90,17 @@ def src_recursive_parquet(spark, folder):
 
 
 @query("src_versioned_table", with_ctes("""
-    SELECT Symbol, Date, CAST(Close AS DOUBLE) AS Close, __CurrentFlag, __HashKey FROM silver1"""))
+    SELECT form, Symbol, Date, CAST(Close AS DOUBLE) AS Close, __CurrentFlag, __HashKey
+    FROM silver1, (VALUES ('path'), ('quoted path'), ('name')) AS forms(form)"""))
 def src_versioned_table(spark, folder):
-    path = scratch_path(spark, "silver")
-    silver_of(market.bars(spark, folder)).write.parquet(path)
-    table = tables.read_table(spark, f"parquet.`{path}`")
-    return as_doubles(table.select("Symbol", "Date", "Close", "__CurrentFlag", "__HashKey"))
+    path, name = scratch_path(spark, "silver"), f"silver_{uuid.uuid4().hex}"
+    rows = silver_of(market.bars(spark, folder))
+    rows.write.parquet(path)
+    sinks.create_table(spark, name, rows.schema.toDDL(), path)
+    refs = {"path": path, "quoted path": f"parquet.`{path}`", "name": name}
+    read = [tables.read_table(spark, ref).select(F.lit(form).alias("form"), "Symbol", "Date", "Close", "__CurrentFlag", "__HashKey")
+            for form, ref in refs.items()]
+    return as_doubles(reduce(DataFrame.unionByName, read))
 
 
 @query("src_changed_since", """
@@ -108,12 +130,38 @@ def src_refresh_stamp(spark, folder):
     return generated.refresh_stamp(newest, F.col("at"), "-06:00")
 
 
-@query("src_model_import", with_ctes(f"""
-    SELECT {numbered('__FactKeyHash', 3)} AS TransactionSID, coalesce(SymbolSID, -1) AS SymbolSID,
+@query("src_model_import", with_ctes("""
+    SELECT true AS IdIsUnique, true AS IdIsAbove, coalesce(SymbolSID, -1) AS SymbolSID,
            Volume, CAST(High AS DOUBLE) AS High, CAST(Low AS DOUBLE) AS Low, CAST(Close AS DOUBLE) AS Close,
            CAST(Open AS DOUBLE) AS Open, DateID, __FactSCD1Hash
     FROM fact1"""))
 def src_model_import(spark, folder):
     rows = stored_bars(spark, folder)
-    imported = tables.import_fact(fact_of(rows, dim_of(rows, market.lookup(spark, folder))))
-    return imported.withColumn("SymbolSID", F.coalesce("SymbolSID", F.lit(-1).cast("bigint")))
+    imported = tables.import_fact(stored(fact_of(rows, dim_of(rows, market.lookup(spark, folder))), "fact"))
+    return imported.select("*", *id_checks("TransactionSID")).drop("TransactionSID").withColumn(
+        "SymbolSID", F.coalesce("SymbolSID", F.lit(-1).cast("bigint")))
+
+
+@query("src_model_import_dim", with_ctes("""
+    SELECT SymbolSID, Symbol, ExchangeName, Currency, Type, ExchangeTimeZone, Sort, Industry, Logo FROM dimsym"""))
+def src_model_import_dim(spark, folder):
+    return tables.import_dim(dim_symbol(spark, folder))
+
+
+@query("src_model_import_date", with_ctes("SELECT * FROM cal"))
+def src_model_import_date(spark, folder):
+    path = scratch_path(spark, "dim-date")
+    trade_calendar(spark, folder).write.parquet(path)
+    return tables.import_dim(tables.read_table(spark, path))
+
+
+SEEDS_SQL = ", ".join(str(row) for row in generated.SYMBOL_LOOKUP_ROWS)
+
+
+@query("src_seed_symbols", f"""
+    SELECT Sort, Industry, Symbol, Logo, n_name AS Nation
+    FROM (VALUES {SEEDS_SQL}) AS seeds(Sort, Industry, Symbol, Logo) JOIN nation ON n_nationkey = Sort""")
+def src_seed_symbols(spark, folder):
+    nations = market.table(spark, folder, "nation").select(
+        F.col("n_nationkey").cast("int").alias("Sort"), F.col("n_name").alias("Nation"))
+    return generated.symbol_lookup(spark).join(nations, "Sort").select("Sort", "Industry", "Symbol", "Logo", "Nation")

@@ -8,6 +8,9 @@ from pyspark.sql.types import StructType
 
 VALUE_MAP = "MAP<STRING, STRING>"
 RESPONSE = f"meta {VALUE_MAP}, values ARRAY<{VALUE_MAP}>, status STRING"
+# Spark's name for the text of a document that is no JSON of the declared schema.
+BROKEN = "_corrupt_record"
+LANDED = f"{RESPONSE}, {BROKEN} STRING"
 BRONZE = f"meta {VALUE_MAP}, values ARRAY<{VALUE_MAP}>, symbol STRING"
 
 _VERSION_FLAGS = """

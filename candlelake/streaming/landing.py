@@ -7,6 +7,7 @@ corrected days need no watermark: the merge places them by key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -19,7 +20,7 @@ from candlelake.plans.lake import Lake
 
 
 def landed_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    return (spark.readStream.schema(schemas.RESPONSE)
+    return (spark.readStream.schema(schemas.LANDED)
             .option("maxFilesPerTrigger", max_files).json(path))
 
 
@@ -27,7 +28,7 @@ def load_available(lake: Lake, path: str, checkpoint: str, clock: Callable[[], d
                    max_files: int = 1000) -> StreamingQuery:
     """Load everything that has landed since the last run, then stop."""
     def load(responses: DataFrame, epoch: int) -> None:
-        lake.load(responses, BatchContext(f"stream-{epoch}", clock()))
+        lake.load(responses, BatchContext(f"stream-{uuid.uuid4().hex[:8]}-{epoch}", clock()))
 
     return (landed_stream(lake.spark, path, max_files).writeStream
             .foreachBatch(load)
