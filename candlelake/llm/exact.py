@@ -158,16 +158,21 @@ def bitmap_of(prints: DataFrame, most: int = BITMAP_BITS) -> np.ndarray:
     return out.ravel()
 
 
+def in_bitmap(prints: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Which fingerprints can be among those of the bitmap; none of those is missed."""
+    found = np.ones(prints.size, bool)
+    for at in _positions(prints, bitmap.size * 8):
+        found &= (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+    return found
+
+
 def may_repeat(spark: SparkSession, bitmap: np.ndarray) -> Column:
     """Whether a row's fingerprint can be one of those in the bitmap."""
-    shared, bits = spark.sparkContext.broadcast(bitmap), bitmap.size * 8
+    shared = spark.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
     def hit(prints: pd.Series) -> pd.Series:
-        found = np.ones(len(prints), bool)
-        for at in _positions(prints.to_numpy(), bits):
-            found &= (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-        return pd.Series(found)
+        return pd.Series(in_bitmap(prints.to_numpy(), shared.value))
 
     return hit(F.col("print"))
 
@@ -186,7 +191,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         .withColumn("text", normalised(F.coalesce("row.text", F.lit("")))) \
         .withColumn("print", F.xxhash64("text"))
     first = F.min(F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id").alias("id"), "at"))
-    groups = routed.groupBy("print", "text").agg(first.alias("first"), F.count("*").alias("group_size"))
+    groups = staged(routed.groupBy("print", "text").agg(first.alias("first"), F.count("*").alias("group_size")), "groups")
     verified = routed.join(groups, ["print", "text"]).select(
         "row", "text", F.col("first.id").alias("keep_id"), "group_size",
         (F.col("at") == F.col("first.at")).alias("kept"))
