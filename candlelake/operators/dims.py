@@ -53,7 +53,7 @@ def missing_days(dim: DataFrame, facts: DataFrame) -> DataFrame:
         return F.when(when, F.struct(start.alias("start_date"), end.alias("end_date")))
 
     bounds = F.array_compact(F.array(
-        span(empty & F.col("_from").isNotNull(), F.least(origin, new_year), F.greatest(year_end, origin)),
+        span(empty & F.col("_from").isNotNull(), F.least(origin, new_year), year_end),
         span(F.col("_from") < F.col("_first"), new_year, F.date_sub("_first", 1)),
         span(F.col("_to") > F.col("_last"), F.date_add("_last", 1), year_end)))
     return date_spine(spans.select(F.inline(bounds)))

@@ -9,7 +9,7 @@ from candlelake.functions.dates import range_start
 from candlelake.functions.values import growth_text, investment_growth, ratio
 from candlelake.operators import measures as m
 from candlelake.operators.series import downsample_minmax
-from candlelake.plans import report
+from candlelake.plans import market, report
 
 DDL = "Symbol string, Date date, Open decimal(18,3), High decimal(18,3), Low decimal(18,3), Close decimal(18,3), Volume long"
 
@@ -144,3 +144,34 @@ def test_downsampling_keeps_other_columns(spark):
                                "s string, d date, v int, note string")
     out = downsample_minmax(df, ["s"], "d", "v", 6)
     assert out.columns == df.columns and all(r.note == f"x{r.v}" for r in out.collect())
+
+
+def test_downsampling_skips_blanks_and_knows_other_axes(spark):
+    days = spark.createDataFrame(
+        [("A", date(2024, 1, 1 + i), None if i % 4 == 0 else float(i % 7)) for i in range(28)], "s string, d date, v double")
+    got = downsample_minmax(days, ["s"], "d", "v", 8).collect()
+    assert 2 <= len(got) <= 8 and all(r.v is not None for r in got)
+    assert {min(r.v for r in got), max(r.v for r in got)} == {0.0, 6.0}
+    hours = spark.createDataFrame([(None, datetime(2024, 1, 1, i), float(i)) for i in range(10)], "s string, d timestamp, v double")
+    assert downsample_minmax(hours, ["s"], "d", "v", 100).count() == 10
+    assert sorted(r.d.hour for r in downsample_minmax(hours, ["s"], "d", "v", 6).collect())[::5][:1] == [0]
+    numbers = spark.createDataFrame([("A", float(i), float((i * 37) % 101)) for i in range(500)], "s string, d double, v double")
+    out = downsample_minmax(numbers, ["s"], "d", "v", 50).collect()
+    assert len(out) <= 50 and {0.0, 499.0} <= {r.d for r in out}
+
+
+def lines_table(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double,"
+                                " l_quantity double, l_shipdate date").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 7), (2, 7)], "s_suppkey long, s_nationkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    return str(tmp_path)
+
+
+def test_trades_follow_all_five_fields(spark, tmp_path):
+    day = date(2024, 1, 2)
+    folder = lines_table(spark, tmp_path, [
+        (10**12, 2, 1, 1, 250_000.0, 1.0, day), (10**12, 1, 9, 1, -30.0, 1.0, day), (10**12, 1, 9, 1, -40.0, 1.0, day),
+        (6 * 10**18, 3, 5, 1, 70.0, 1.0, day), (6 * 10**18, 3, 5, 2, 60.0, 1.0, day), (5, 1, 1, 2, 10.0, 1.0, date(2024, 1, 3))])
+    bars = {r.Date: r for r in market.daily_by_nation(spark, folder).collect()}
+    assert tuple(map(float, (bars[day].Open, bars[day].Close, bars[day].High, bars[day].Low))) == (-4.0, 6.0, 25_000.0, -4.0)
+    assert float(bars[date(2024, 1, 3)].Open) == float(bars[date(2024, 1, 3)].Close) == 1.0

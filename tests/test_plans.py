@@ -6,6 +6,7 @@ import pytest
 
 from candlelake.queries import QUERIES
 from candlelake.operators import measures as m
+from candlelake.operators.series import downsample_minmax
 from candlelake.plans import market
 
 
@@ -17,6 +18,7 @@ def exchanges(df):
     return len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition", plan(df)))
 
 
+TEXT_MEMBERS = ("agg_max_logo", "selected_value", "selected_value_default", "slicer_ranges")
 LAZY = sorted(name for name in QUERIES if not name.startswith("sink_"))
 
 
@@ -25,8 +27,34 @@ def test_no_cross_join_and_no_python(spark, folder, name):
     text = plan(QUERIES[name](spark, folder))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert not re.search(r"PythonUDF|ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroups", text)
-    # a sort before aggregation means a buffer that cannot be hashed; here only few rows are left
-    assert "SortAggregate" not in text or name in ("downsample_minmax", "agg_max_logo", "selected_value")
+    # a sort before aggregation means a buffer that cannot be hashed: only the lines of a day's first and
+    # last order, and the members of a group (texts), are aggregated so
+    sorted_ = re.findall(r"SortAggregate\(key=\[.*?functions=\[(.*)\]", text)
+    assert all("l_linenumber" in functions or name in TEXT_MEMBERS for functions in sorted_)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+# Shuffles where nothing is small enough to broadcast. Bars take seven: trades and suppliers (2), days, and
+# the names of nation, region and symbol (4); growth adds days of a group and groups.
+@pytest.mark.parametrize("name, most", [
+    ("agg_avg_volume", 8), ("growth_pct", 9), ("report_symbol_cards", 9), ("fact_sync_merge", 4),
+    ("scd2_stage_merge", 4), ("scd2_dim_merge", 2), ("report_industry_pivot", 14)])
+def test_shuffles_without_broadcast(spark, folder, no_broadcast, name, most):
+    df = QUERIES[name](spark, folder)
+    assert "BroadcastExchange" not in plan(df) and exchanges(df) <= most
+
+
+def test_sampling_moves_points_only_after_they_collapsed_or_by_place(spark, no_broadcast):
+    """No aggregate reads a join without an exchange by bin between them, so no series meets in one task."""
+    df = spark.range(9).selectExpr("'a' as s", "id as d", "id as v")
+    text = plan(downsample_minmax(df, ["s"], "d", "v", 4))
+    assert "SortAggregate" not in text and "Window" not in text
 
 
 def test_scan_reads_only_used_columns(spark, folder):

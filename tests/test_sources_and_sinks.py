@@ -12,6 +12,7 @@ from candlelake.operators import conform, dims, facts, flatten, sinks
 from candlelake.plans import legacy
 from candlelake.plans.silver import build_silver, flat_bars, rejected_bars
 from candlelake.schemas import empty_table
+from candlelake.queries.common import stored
 from candlelake.session import scratch_path, shared_dir
 from candlelake.sources import generated, responses, tables
 
@@ -46,7 +47,7 @@ def test_acceptance(spark, tmp_path):
 def test_empty_landing_folder(spark, tmp_path):
     (tmp_path / "none").mkdir()
     landed = responses.read_landed(spark, str(tmp_path / "none"))
-    assert landed.count() == 0 and landed.columns == ["meta", "values", "status"]
+    assert landed.count() == 0 and landed.columns == ["meta", "values", "status", "_corrupt_record"]
 
 
 def test_bad_values_are_set_aside(spark, tmp_path, first):
@@ -107,6 +108,15 @@ def test_table_references_and_switch(spark):
         assert tables.read_table(spark, ref).count() == 2
 
 
+def test_replaced_table_is_empty(spark):
+    path = scratch_path(spark, "replaced")
+    for _ in range(2):
+        sinks.create_table(spark, "replaced", "a INT", path, replace=True)
+        assert spark.table("replaced").count() == 0
+        spark.createDataFrame([(1,), (2,)], "a int").write.insertInto("replaced")
+    assert spark.table("replaced").count() == 2
+
+
 def test_replace_partitions_only_touches_its_scope(spark):
     path = scratch_path(spark, "months")
     sinks.create_table(spark, "monthly", "v INT, m INT", path, replace=True, partition_by="m")
@@ -154,7 +164,8 @@ def test_calendar_rows(spark):
 @pytest.mark.parametrize("newest, held, expected", [
     ("2001-05-05", None, (date(2000, 1, 1), date(2001, 12, 31), 731)),
     ("2001-05-05", "2000-12-31", (date(2000, 12, 30), date(2001, 12, 31), 367)),
-    ("2000-06-01", "2000-12-31", (date(2000, 12, 30), date(2000, 12, 31), 2)),
+    ("2000-06-01", "2000-12-31", (date(2000, 1, 1), date(2000, 12, 31), 366)),
+    ("1999-03-01", None, (date(1999, 1, 1), date(1999, 12, 31), 365)),
     (None, "2000-12-31", (date(2000, 12, 30), date(2000, 12, 31), 2)),
     (None, None, (None, None, 0)),
 ])
@@ -182,7 +193,7 @@ def test_unknown_symbols_keep_their_facts(spark, first, second):
         "High double, Low double, Close double, Open double, Date date, __CurrentFlag boolean")
     lookup = spark.createDataFrame([(1, "I", "A", "l")], schemas.SYMBOL_LOOKUP)
     dim = dims.build_dim_symbol(empty_table(spark, "dim_symbol"), silver, lookup, first)
-    once = facts.build_fact_daily(empty_table(spark, "fact_daily"), silver, dim, first)
+    once = stored(facts.build_fact_daily(empty_table(spark, "fact_daily"), silver, dim, first), "fact")
     assert once.count() == 3 and once.filter("SymbolSID is null").count() == 2
     assert once.select("TransactionSID").distinct().count() == 3
     twice = facts.build_fact_daily(once, silver, dim, second)
