@@ -1,6 +1,6 @@
 """Time ranges, measures, sampling."""
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
