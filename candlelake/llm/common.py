@@ -58,12 +58,12 @@ def utf8(texts: pa.Array) -> list[bytes]:
     return [text or b"" for text in texts.cast(pa.binary()).to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
-           limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about so many text bytes, one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES,
+           row_bytes: int = 0) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about so many text bytes, one row at least; a row counts ``row_bytes`` besides."""
     for batch in batches:
         sizes = np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
-        step = np.cumsum(sizes) // limit
+        step = np.cumsum(sizes + row_bytes) // limit
         edges = np.flatnonzero(np.diff(step)) + 1
         for low, high in zip([0, *edges], [*edges, batch.num_rows], strict=True):
             if high > low:

@@ -27,11 +27,12 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import SLICE_BYTES, slices, staged
+from candlelake.llm.common import slices, staged
 
 SIZES = (3, 4, 5, 6)
 MOST_LABELLED, FEATURES, LEAST_DOCUMENTS, SMOOTHING = 12_000, 16_384, 3, 1.0
-WINDOW = 1 << 20
+# Text and rows a task works on at a time: a row of features takes 16 KB.
+WINDOW, BLOCK_BYTES, ROW_BYTES = 1 << 18, 1 << 20, 4096
 FOLDS, HELD_OUT = 5, 0
 MIX, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -81,7 +82,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
 def gram_counts(sample: DataFrame) -> DataFrame:
     """``gram, n_toxic, n_clean``: documents of the sample that have each n-gram, by class."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=BLOCK_BYTES):
             codes, owner = prepared(batch.column("text").to_pylist())
             toxic = batch.column("toxic").to_numpy()
             every, where = (np.concatenate(x) for x in zip(*grams(codes), strict=True))
@@ -156,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     names = np.array([str(i) for i in range(order.size)], object)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=BLOCK_BYTES, row_bytes=ROW_BYTES):
             found = chosen.present(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic").cast(pa.float64()),
@@ -177,7 +178,7 @@ def toxicity(model: Model, text: Column) -> Column:
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         values = texts.to_numpy()
-        step = np.cumsum([len(x) if x else 0 for x in values]) // SLICE_BYTES if len(values) else np.empty(0)
+        step = np.cumsum([len(x or "") + ROW_BYTES for x in values]) // BLOCK_BYTES if len(values) else np.empty(0)
         edges = [0, *(np.flatnonzero(np.diff(step)) + 1), len(values)]
         parts = [model.scores([x or "" for x in values[a:b]]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
         return pd.Series(np.concatenate(parts) if parts else np.empty(0))
