@@ -17,7 +17,7 @@ names; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -102,12 +102,20 @@ def block_bits(spark: SparkSession) -> int:
     return max(1, math.ceil(math.log2(shuffle_parts(spark)))) + 1
 
 
-def repeated_prints(prints: DataFrame) -> DataFrame:
-    """``print``: the fingerprints that more than one row has, by filters built and merged."""
-    bits = block_bits(prints.sparkSession)
+def first_column(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in batches:
+        yield batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def repeated_prints(rows: DataFrame, prints_of: Callable[..., Iterator[np.ndarray]] = first_column) -> DataFrame:
+    """``print``: the fingerprints that occur more than once, by filters built and merged.
+
+    ``prints_of`` gives the fingerprints of a task's batches, by default those in the first column.
+    """
+    bits = block_bits(rows.sparkSession)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for batch in batches if batch.num_rows]
+        parts = [prints for prints in prints_of(batches) if prints.size]
         if not parts:
             return
         whole = QuotientFilter.of(np.concatenate(parts))
@@ -123,7 +131,7 @@ def repeated_prints(prints: DataFrame) -> DataFrame:
         merged = QuotientFilter.merge([QuotientFilter.unpack(data, bits) for data in frame["filter"]])
         return pd.DataFrame({"print": merged.prints[merged.counts > 1].view(np.int64)})
 
-    return prints.mapInArrow(build, "block int, filter binary").groupBy("block").applyInPandas(merge, "print long")
+    return rows.mapInArrow(build, "block int, filter binary").groupBy("block").applyInPandas(merge, "print long")
 
 
 def _positions(prints: np.ndarray, bits: int) -> list[np.ndarray]:

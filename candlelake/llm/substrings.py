@@ -12,7 +12,9 @@ with more than one suffix are the deep internal nodes; all their suffixes but th
 and runs of them are the maximal repeats. Words are compared as words, not by hash.
 
 Each task first builds the subtree of its own block of documents and keeps back what repeats inside the
-block. A passage that a third of the documents share reaches its partition once per block.
+block. A passage that a third of the documents share reaches its partition once per block. Segments
+whose last group occurs only once in the corpus cannot repeat; the groups that occur more often are
+marked in a bitmap of bounded size, and only segments that hit it travel.
 
 Earlier means a smaller ``doc_id`` (null last), in one document an earlier place. Rows with the same id
 and different texts are ordered by a hash of the text; repeated rows are one document, whose words are
@@ -32,12 +34,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import shuffle_parts, slices, utf8
+from candlelake.llm.common import shuffle_parts, slices, staged, utf8
+from candlelake.llm.exact import bitmap_of, in_bitmap, repeated_prints
 
 DEPTH, SYNC = 20, 4
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES, SMALL_BLOCK = 4 << 20, 2 << 20
 RANGES, FULL, FULL_AT_LEAST = 1 << 16, 16, 2048
 RANGE_PIECE = 4096
+GROUPS_PER_PARTITION = 4
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 NO_ID = np.int64(2**63 - 1)
 HEADER = np.dtype([("doc", "<u4"), ("place", "<u4"), ("sync", "<u4"), ("windows", "u1")])
@@ -133,7 +137,7 @@ def overfull(docs: DataFrame) -> np.ndarray:
     """Hash ranges of word groups that hold far more than their share, over the whole corpus."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(RANGES, np.int64)
-        for batch in slices(batches, limit=BLOCK_BYTES):
+        for batch in slices(batches, limit=SMALL_BLOCK):
             split = [text.split() for text in utf8(batch.column("text"))]
             words = [word for part in split for word in part]
             if not words:
@@ -179,14 +183,35 @@ def repeats_of(node: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarr
     return out
 
 
-def _segments(block: Block, full: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes]]:
+def window_syncs(block: Block, full: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where the prefix of the window at each word ends; only meaningful where a window fits."""
+    rank = (hashes >> np.uint64(1)) | (full[(hashes >> np.uint64(48)).astype(np.int64)].astype(np.uint64) << np.uint64(63))
+    return first_sync(rank)
+
+
+def repeated_syncs(docs: DataFrame, full: np.ndarray) -> DataFrame:
+    """``print``: hashes of the prefix ends that occur more than once."""
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in slices(batches, limit=SMALL_BLOCK):
+            block = Block(batch)
+            start = np.flatnonzero(block.room >= DEPTH)
+            if start.size:
+                hashes = sync_hashes(block.codes, block.names)
+                places = np.unique(window_syncs(block, full, hashes)[start])
+                yield hashes[places]
+
+    return repeated_prints(_blocks(docs), ends)
+
+
+def _segments(block: Block, full: np.ndarray, shared: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes]]:
     """By partition the block's segments, and the runs of windows that repeat inside the block."""
-    compress = zstandard.ZstdCompressor(level=1).compress
+    compress = zstandard.ZstdCompressor(level=3).compress
     repeat = repeats_of(deep_nodes(block.codes, block.room), block.doc, block.place)
     start = np.flatnonzero((block.room >= DEPTH) & ~repeat)
     hashes = sync_hashes(block.codes, block.names)
-    rank = (hashes >> np.uint64(1)) | (full[(hashes >> np.uint64(48)).astype(np.int64)].astype(np.uint64) << np.uint64(63))
-    sync = first_sync(rank)[start] if start.size else start
+    sync = window_syncs(block, full, hashes)[start] if start.size else start
+    met = in_bitmap(hashes[sync], shared)
+    start, sync = start[met], sync[met]
     first = np.flatnonzero(np.concatenate([[True], (np.diff(sync) != 0) | (np.diff(start) != 1)])) if start.size else start
     size = np.diff(np.concatenate([first, [start.size]])) if start.size else start
     low, sync = start[first], sync[first]
@@ -284,12 +309,14 @@ def _subtree(frame: pd.DataFrame) -> pd.DataFrame:
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """``id, no_id, hash, runs``: runs of repeated windows (place and number, as bytes) by document and partition."""
+    spark = docs.sparkSession
     full = overfull(docs)
-    parts = shuffle_parts(docs.sparkSession)
+    shared = spark.sparkContext.broadcast(bitmap_of(staged(repeated_syncs(docs, full), "syncs")))
+    parts = GROUPS_PER_PARTITION * shuffle_parts(spark)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=BLOCK_BYTES):
-            rows = list(_segments(Block(batch), full, parts))
+            rows = list(_segments(Block(batch), full, shared.value, parts))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary()),
                  pa.array([x[2] for x in rows], pa.binary())], ["part", "segments", "runs"])
