@@ -14,6 +14,11 @@ All fingerprints of one variant are within the radius of each other, so linking
 one loses no link, and a bucket returns a spanning forest of its links (verified by distance) instead
 of all pairs. Equal fingerprints collapse before any of this.
 
+One fingerprint of 64 bits and a radius of 4 links texts that differ in little. To find all texts with a
+Jaccard likeness of 0.8 over five-word shingles, :func:`similar_groups` gives a text several independent
+fingerprints over shorter shingles, takes every pair that meets in one of them as a candidate, and verifies
+candidates by their five-word shingles.
+
 Texts are lower-cased (A-Z) and cut into shingles of words between ASCII white space, repeats
 included; fewer words make one shingle; a text without words (or null) has the fingerprint zero. A
 null ``doc_id`` is no candidate for the smallest id of its component.
@@ -32,43 +37,62 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import per_slice, staged, utf8
+from candlelake.llm.common import per_slice, small, staged, utf8
 from candlelake.llm.components import components
 
 SEED, SHINGLE, RADIUS = 42, 4, 4
+#: Similar texts: five-word shingles, likeness, and the fingerprints that find candidates for it.
+WORDS, LIKENESS, TABLES, CANDIDATE_WORDS = 5, 0.8, 6, 2
 HALF_CHUNK = 1 << 17
+ODD, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 VARIANTS_PER_BUCKET = 1 << 21
 
 
-def fingerprint(text: bytes, width: int = SHINGLE) -> int:
+def fingerprint(text: bytes, width: int = SHINGLE, tables: int = 1) -> np.ndarray:
+    """Fingerprints of a text; those after the first take their bits from hashes of the shingle hashes."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(tables, np.uint64)
+    hashes = shingle_hashes(words, width)
+    out = np.empty(tables, np.uint64)
+    for table in range(tables):
+        if table:
+            mixed = hashes * (np.uint64(2 * table + 1) * ODD)
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * MIX
+            bits_of = mixed ^ (mixed >> np.uint64(32))
+        else:
+            bits_of = hashes
+        ones = np.zeros(64, np.int64)
+        for low in range(0, hashes.size, HALF_CHUNK):
+            part = bits_of[low:low + HALF_CHUNK].view(np.uint8).reshape(-1, 8)
+            ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+        out[table] = np.packbits(2 * ones > hashes.size, bitorder="little").view("<u8")[0]
+    return out
+
+
+def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
+    """Hash of every shingle in order; a shorter text is one shingle."""
     line = b" ".join(words)
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     last = max(1, len(words) - width + 1)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in
-                       zip(starts[:last].tolist(), ends[-last:].tolist(), strict=True)], "<u8")
-    ones = np.zeros(64, np.int64)
-    for low in range(0, last, HALF_CHUNK):
-        part = hashes[low:low + HALF_CHUNK].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > last, bitorder="little").view("<u8")[0])
+    return np.array([digest(line[a:b], SEED) for a, b in
+                     zip(starts[:last].tolist(), ends[-last:].tolist(), strict=True)], "<u8")
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """``doc_id, body, print``: id, a hash of the text that tells repeated ids apart, and the fingerprint."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE, tables: int = 1) -> DataFrame:
+    """``doc_id, body, prints``: id, a hash of the text that tells repeated ids apart, and the fingerprints."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        prints = np.array([fingerprint(text, width) for text in utf8(batch.column("text"))], np.uint64)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("body"), pa.array(prints.view(np.int64))],
-            ["doc_id", "body", "print"])
+        prints = [fingerprint(text, width, tables) for text in utf8(batch.column("text"))]
+        flat = pa.array(np.concatenate(prints).view(np.int64))
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1) * tables, pa.int32()), flat)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("body"), lists],
+                                          ["doc_id", "body", "prints"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(per_slice(work), f"doc_id {kind}, body long, print long")
+    return rows.mapInArrow(per_slice(work), f"doc_id {kind}, body long, prints array<long>")
 
 
 def flips(groups: int, half: int = RADIUS // 2) -> dict[int, np.ndarray]:
@@ -108,8 +132,12 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def link_bucket(bucket: int, prints: np.ndarray, groups: int, masks: dict[int, np.ndarray],
-                radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Links between the fingerprints whose variants meet in the bucket, as a forest."""
+                radius: int = RADIUS, spanning: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the fingerprints whose variants meet in the bucket, as a forest.
+
+    Without ``spanning`` the links of every variant stay, each fingerprint's to the first and to the
+    one before: candidates for a verification that some of them may fail.
+    """
     prints = np.unique(prints)
     change = buckets_of(prints, groups) ^ bucket
     order = np.argsort(change, kind="stable")
@@ -132,43 +160,51 @@ def link_bucket(bucket: int, prints: np.ndarray, groups: int, masks: dict[int, n
     value, who = every[near], owner[near].astype(np.int64)
     first = np.maximum.accumulate(np.where(np.concatenate([[True], value[1:] != value[:-1]]), np.arange(near.size), 0))
     a, b = who[first], who
+    if not spanning:
+        a, b = np.concatenate([a, np.where(first == np.arange(who.size), who, np.roll(who, 1))]), np.concatenate([b, b])
     close = (a != b) & (np.bitwise_count(prints[a] ^ prints[b]) <= radius)
     pairs = np.unique(a[close] * prints.size + b[close])
+    if not spanning:
+        return prints[pairs // prints.size], prints[pairs % prints.size]
     root = forest(pairs // prints.size, pairs % prints.size, prints.size)
     other = np.flatnonzero(root != np.arange(prints.size))
     return prints[other], prints[root[other]]
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """``a, b``: links that connect the different fingerprints within the radius of each other."""
-    count = prints.count()
+def links(prints: DataFrame, spanning: bool = True) -> DataFrame:
+    """``tab, a, b``: links that connect the different fingerprints of a table within the radius of each other."""
+    count = prints.groupBy("tab").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
     groups = min(32, max(4, math.ceil(math.log2(max(1, count) * 2081 / VARIANTS_PER_BUCKET))))
     masks = flips(groups)
     changes = np.array(sorted(masks), np.int64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = batch.column(0).to_numpy(zero_copy_only=False)
+            own = batch.column("print").to_numpy(zero_copy_only=False)
             home = buckets_of(own.view(np.uint64), groups)
+            shelf = batch.column("tab").to_numpy(zero_copy_only=False).astype(np.int64) << 32
             for low in range(0, own.size, 4096):
-                where = home[low:low + 4096, None] ^ changes[None, :]
+                where = shelf[low:low + 4096, None] | (home[low:low + 4096, None] ^ changes[None, :])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(where.ravel()), pa.array(np.repeat(own[low:low + 4096], changes.size))],
                     ["bucket", "print"])
 
     def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        a, b = link_bucket(int(key[0]), frame["print"].to_numpy().view(np.uint64), groups, masks)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+        bucket = int(key[0])
+        a, b = link_bucket(bucket & 0xFFFFFFFF, frame["print"].to_numpy().view(np.uint64), groups, masks,
+                           spanning=spanning)
+        return pd.DataFrame({"tab": np.full(a.size, bucket >> 32, np.int32), "a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return prints.mapInArrow(deal, "bucket long, print long") \
-        .groupBy("bucket").applyInPandas(meet, "a long, b long")
+    return prints.select("tab", "print").mapInArrow(deal, "bucket long, print long") \
+        .groupBy("bucket").applyInPandas(meet, "tab int, a long, b long")
 
 
 def near_groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """``doc_id, body, print, root, component_id`` of every row; ``root`` names the group."""
-    rows = staged(fingerprints(docs, width), "prints")
+    rows = fingerprints(docs, width).select("doc_id", "body", F.col("prints")[0].alias("print"))
+    rows = staged(rows, "prints")
     prints = staged(rows.groupBy("print").agg(F.min("doc_id").alias("least")), "different")
-    found = components(links(prints.select("print")))
+    found = components(links(prints.select(F.lit(0).alias("tab"), "print")))
     rooted = prints.join(found.withColumnRenamed("node", "print"), "print", "left") \
         .withColumn("root", F.coalesce("root", "print"))
     rooted = staged(rooted, "rooted")
@@ -177,6 +213,54 @@ def near_groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     return rows.join(groups, "print")
 
 
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """``class, shingles``: the different hashed shingles of each text."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [np.unique(shingle_hashes(words, width)) if (words := text.lower().split()) else np.empty(0, np.uint64)
+                for text in utf8(batch.column("text"))]
+        bounds = np.cumsum([0, *(x.size for x in sets)])
+        flat = np.concatenate([np.empty(0, np.uint64), *sets]).astype(np.uint64).view(np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
+        return pa.RecordBatch.from_arrays([batch.column("class"), lists], ["class", "shingles"])
+
+    return docs.mapInArrow(per_slice(work), "class long, shingles array<long>")
+
+
+def similar_groups(docs: DataFrame, likeness: float = LIKENESS, width: int = WORDS, tables: int = TABLES,
+                   candidate_width: int = CANDIDATE_WORDS) -> DataFrame:
+    """``doc_id, body, class, root`` of every row: texts of one group are chained by a likeness of at least so much.
+
+    Rows with the same fingerprints in all tables are one class, represented by its smallest id; candidate
+    pairs of classes are verified by the shingles of their representatives.
+    """
+    rows = staged(fingerprints(docs, candidate_width, tables).withColumn("class", F.xxhash64("prints")), "prints")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
+    classes = staged(rows.groupBy("class").agg(F.min(own).alias("own"), F.first("prints").alias("prints")), "classes")
+    shelved = classes.select("class", F.posexplode("prints").alias("tab", "print"))
+    firsts = staged(shelved.groupBy("tab", "print").agg(F.min("class").alias("class")), "firsts")
+    met = staged(links(firsts, spanning=False).distinct(), "met")
+    left = firsts.select("tab", F.col("print").alias("a"), F.col("class").alias("left"))
+    right = firsts.select("tab", F.col("print").alias("b"), F.col("class").alias("right"))
+    equal = shelved.join(firsts.withColumnRenamed("class", "left"), ["tab", "print"]).filter("class <> left")
+    pairs = met.join(left, ["tab", "a"]).join(right, ["tab", "b"]).select("left", "right") \
+        .unionByName(equal.select("left", F.col("class").alias("right"))).filter("left <> right")
+    pairs = staged(pairs.select(F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b")).distinct(), "pairs")
+    needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    wanted = staged(classes.join(needed, "class").select(
+        "class", F.col("own.doc_id").alias("id"), F.col("own.body").alias("hash")), "wanted")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("body"), "text").join(
+        small(wanted), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("hash"))) \
+        .select("class", "text")
+    sets = staged(shingle_sets(texts, width).dropDuplicates(["class"]), "sets")
+    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("left")), "a") \
+        .join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("right")), "b")
+    shared = F.size(F.array_intersect("left", "right"))
+    alike = (shared >= likeness * (F.size("left") + F.size("right") - shared))
+    found = components(both.filter(alike).select("a", "b"))
+    return rows.select("doc_id", "body", "class").join(found.withColumnRenamed("node", "class"), "class", "left") \
+        .withColumn("root", F.coalesce("root", "class"))
+
+
 def near_components(docs: DataFrame) -> DataFrame:
     """One row per document: its fingerprint in hex and the smallest id in its component."""
     return near_groups(docs.select("doc_id", "text")).select(
@@ -184,9 +268,9 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one with the smallest id; columns as they were."""
+    """One document of each group of similar texts, the one with the smallest id; columns as they were."""
     own = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("body").alias("text_hash"))
-    stay = staged(near_groups(docs).groupBy("root").agg(F.min(own).alias("stay")).select("stay.*"), "stay")
+    stay = staged(similar_groups(docs).groupBy("root").agg(F.min(own).alias("stay")).select("stay.*"), "stay")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
     same = rows.join(stay.select(F.col("id").alias("of"), F.col("text_hash").alias("hash")),
                      F.col("id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("hash")))

@@ -104,7 +104,28 @@ def test_simhash_of_odd_rows(make):
     assert blank == {1}
     kept = simhash.drop_near_copies(make(ODD))
     assert kept.columns == make(ODD).columns
-    assert kept.count() == len({(r.component_id, r.fingerprint) for r in rows if r.doc_id == r.component_id})
+    assert kept.count() == len({tuple((t or "").split()) for _, t in ODD})
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_similar_texts_are_grouped_and_others_left_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
+    group = {r.doc_id: r.root for r in simhash.similar_groups(docs).collect()}
+    ids = sorted(sets)
+    alike = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if min(len(sets[a]), len(sets[b])) >= 0.8 * max(len(sets[a]), len(sets[b]))
+             and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want, got = joined(alike, ids), defaultdict(set)
+    for i in ids:
+        got[group[i]].add(want[i])
+    assert all(len(roots) == 1 for roots in got.values())
+    near = [(a, b) for a, b in alike if sets[a] != sets[b]]
+    assert near and sum(group[a] == group[b] for a, b in near) >= 0.9 * len(near)
+    assert all(group[a] == group[b] for a, b in alike if sets[a] == sets[b])
 
 
 @pytest.mark.parametrize("groups", [4, 8, 13])
