@@ -32,7 +32,7 @@ from candlelake.llm.common import slices, staged
 SIZES = (3, 4, 5, 6)
 MOST_LABELLED, FEATURES, LEAST_DOCUMENTS, SMOOTHING = 12_000, 16_384, 3, 1.0
 # Text and rows a task works on at a time: a row of features takes 16 KB.
-WINDOW, BLOCK_BYTES, ROW_BYTES = 1 << 18, 1 << 20, 4096
+WINDOW, BLOCK_BYTES, ROW_BYTES = 1 << 18, 1 << 19, 2048
 FOLDS, HELD_OUT = 5, 0
 MIX, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -75,8 +75,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
         .agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic")).filter(~held_out())
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    return staged(found.repartition(16, F.xxhash64("text")), "labelled")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return staged(found.repartition(16, "doc_id").select("text", "toxic"), "labelled")
 
 
 def gram_counts(sample: DataFrame) -> DataFrame:
