@@ -54,7 +54,7 @@ def request_plan(symbols: DataFrame, today: date, interval: str = "1day",
                  batch_size: int = 5, days_back: int = 10) -> DataFrame:
     """Symbols in numbered batches, each with the window to ask for."""
     if interval not in INTERVALS:
-        raise ValueError(f"Invalid interval {interval!r}. Allowed: {', '.join(INTERVALS)}")
+        raise ValueError(f"no such interval: {interval!r}; known are {', '.join(INTERVALS)}")
     distinct = symbols.select("symbol").distinct()
     placed = with_position(distinct, F.sha2(F.col("symbol"), 256), "position")
     return placed.select(
