@@ -57,7 +57,7 @@ def fingerprint(text: bytes, width: int = SHINGLE, tables: int = 1) -> np.ndarra
     out = np.empty(tables, np.uint64)
     for table in range(tables):
         if table:
-            mixed = hashes * (np.uint64(2 * table + 1) * ODD)
+            mixed = hashes * np.uint64((2 * table + 1) * int(ODD) % (1 << 64))
             mixed = (mixed ^ (mixed >> np.uint64(32))) * MIX
             bits_of = mixed ^ (mixed >> np.uint64(32))
         else:
@@ -135,8 +135,8 @@ def link_bucket(bucket: int, prints: np.ndarray, groups: int, masks: dict[int, n
                 radius: int = RADIUS, spanning: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Links between the fingerprints whose variants meet in the bucket, as a forest.
 
-    Without ``spanning`` the links of every variant stay, each fingerprint's to the first and to the
-    one before: candidates for a verification that some of them may fail.
+    Without ``spanning`` they are candidates for a verification that some may fail: each fingerprint's link
+    to the one it meets that meets most others, so that the copies of one text are held against that text.
     """
     prints = np.unique(prints)
     change = buckets_of(prints, groups) ^ bucket
@@ -156,16 +156,19 @@ def link_bucket(bucket: int, prints: np.ndarray, groups: int, masks: dict[int, n
     seen = np.zeros(1 << 22, bool)
     seen[met & np.uint64(seen.size - 1)] = True
     near = np.flatnonzero(seen[every & np.uint64(seen.size - 1)])
-    near = near[np.argsort(every[near], kind="stable")]
+    met_by = np.bincount(owner[near], minlength=prints.size)
+    hub_first = -met_by[owner[near]] if not spanning else np.zeros(near.size, np.int64)
+    near = near[np.lexsort((owner[near], hub_first, every[near]))]
     value, who = every[near], owner[near].astype(np.int64)
     first = np.maximum.accumulate(np.where(np.concatenate([[True], value[1:] != value[:-1]]), np.arange(near.size), 0))
     a, b = who[first], who
-    if not spanning:
-        a, b = np.concatenate([a, np.where(first == np.arange(who.size), who, np.roll(who, 1))]), np.concatenate([b, b])
     close = (a != b) & (np.bitwise_count(prints[a] ^ prints[b]) <= radius)
     pairs = np.unique(a[close] * prints.size + b[close])
     if not spanning:
-        return prints[pairs // prints.size], prints[pairs % prints.size]
+        hub, member = pairs // prints.size, pairs % prints.size
+        order = np.lexsort((hub, -met_by[hub], member))
+        best = order[np.concatenate([[True], np.diff(member[order]) != 0])] if order.size else order
+        return prints[hub[best]], prints[member[best]]
     root = forest(pairs // prints.size, pairs % prints.size, prints.size)
     other = np.flatnonzero(root != np.arange(prints.size))
     return prints[other], prints[root[other]]
