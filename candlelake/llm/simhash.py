@@ -81,18 +81,28 @@ def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
                      zip(starts[:last].tolist(), ends[-last:].tolist(), strict=True)], "<u8")
 
 
+def words_digest(text: bytes) -> tuple[int, int]:
+    """128-bit digest of the sequence of words, as two longs."""
+    digest = xxhash.xxh3_128_digest(b" ".join(text.lower().split()), SEED)
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+
+
 def fingerprints(docs: DataFrame, width: int = SHINGLE, tables: int = 1) -> DataFrame:
-    """``doc_id, body, prints``: id, a hash of the text that tells repeated ids apart, and the fingerprints."""
+    """``doc_id, body, class, other, prints``: id, a hash of the text that tells repeated ids apart, the two
+    halves of the digest of its words, and the fingerprints."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        prints = [fingerprint(text, width, tables) for text in utf8(batch.column("text"))]
+        texts = utf8(batch.column("text"))
+        prints = [fingerprint(text, width, tables) for text in texts]
+        halves = np.array([words_digest(text) for text in texts], np.int64).reshape(-1, 2)
         flat = pa.array(np.concatenate(prints).view(np.int64))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1) * tables, pa.int32()), flat)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("body"), lists],
-                                          ["doc_id", "body", "prints"])
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("body"), pa.array(halves[:, 0]), pa.array(halves[:, 1]), lists],
+            ["doc_id", "body", "class", "other", "prints"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(per_slice(work), f"doc_id {kind}, body long, prints array<long>")
+    return rows.mapInArrow(per_slice(work), f"doc_id {kind}, body long, class long, other long, prints array<long>")
 
 
 def flips(groups: int, half: int = RADIUS // 2) -> dict[int, np.ndarray]:
@@ -233,12 +243,14 @@ def similar_groups(docs: DataFrame, likeness: float = LIKENESS, width: int = WOR
                    candidate_width: int = CANDIDATE_WORDS) -> DataFrame:
     """``doc_id, body, class, root`` of every row: texts of one group are chained by a likeness of at least so much.
 
-    Rows with the same fingerprints in all tables are one class, represented by its smallest id; candidate
-    pairs of classes are verified by the shingles of their representatives.
+    Rows with the same sequence of words are one class, represented by its smallest id; candidate pairs of
+    classes are verified by the shingles of their representatives.
     """
-    rows = staged(fingerprints(docs, candidate_width, tables).withColumn("class", F.xxhash64("prints")), "prints")
+    rows = staged(fingerprints(docs, candidate_width, tables), "prints")
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
-    classes = staged(rows.groupBy("class").agg(F.min(own).alias("own"), F.first("prints").alias("prints")), "classes")
+    same = F.when(F.min("other") == F.max("other"), F.min(own)).otherwise(
+        F.raise_error(F.lit("two texts share half a digest: change SEED")))
+    classes = staged(rows.groupBy("class").agg(same.alias("own"), F.first("prints").alias("prints")), "classes")
     shelved = classes.select("class", F.posexplode("prints").alias("tab", "print"))
     firsts = staged(shelved.groupBy("tab", "print").agg(F.min("class").alias("class")), "firsts")
     met = staged(links(firsts, spanning=False).distinct(), "met")
