@@ -15,9 +15,14 @@ one loses no link, and a bucket returns a spanning forest of its links (verified
 of all pairs. Equal fingerprints collapse before any of this.
 
 One fingerprint of 64 bits and a radius of 4 links texts that differ in little. To find all texts with a
-Jaccard likeness of 0.8 over five-word shingles, :func:`similar_groups` gives a text several independent
-fingerprints over shorter shingles, takes every pair that meets in one of them as a candidate, and verifies
-candidates by their five-word shingles.
+Jaccard likeness of 0.8 over five-word shingles, :func:`similar_groups` first gives a text several independent
+fingerprints over shorter shingles, takes pairs that meet in one of them as candidates, and verifies them by
+their five-word shingles. That connects dense clusters cheaply but misses pairs. An exact search follows: in
+an order common to all texts, two similar texts share one of their first ``n - ceil(0.8 n) + 1`` shingles.
+Texts that share such a shingle and could still be similar by size and place are verified, unless they are
+connected already: in written rounds the first few texts of a shingle are held against all others, then
+eight times as many, until every text of it was. The order puts shingles that a sample of the texts repeats
+last; it decides how many pairs are verified, never which are found.
 
 Texts are lower-cased (A-Z) and cut into shingles of words between ASCII white space, repeats
 included; fewer words make one shingle; a text without words (or null) has the fingerprint zero. A
@@ -37,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import per_slice, small, staged, utf8
+from candlelake.llm.common import per_slice, shuffle_parts, small, staged, utf8
 from candlelake.llm.components import components
 
 SEED, SHINGLE, RADIUS = 42, 4, 4
@@ -46,6 +51,10 @@ WORDS, LIKENESS, TABLES, CANDIDATE_WORDS = 5, 0.8, 6, 2
 HALF_CHUNK = 1 << 17
 ODD, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 VARIANTS_PER_BUCKET = 1 << 21
+#: Order of shingles: hash bits of a counted slot, and one text in so many is counted.
+SLOT_BITS, COUNTED = 24, 8
+#: Texts of a shingle held against all others in the first round, and how many times more in the next.
+FIRST_HUBS, MORE_HUBS = 4, 8
 
 
 def fingerprint(text: bytes, width: int = SHINGLE, tables: int = 1) -> np.ndarray:
@@ -226,19 +235,140 @@ def near_groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     return rows.join(groups, "print")
 
 
+def shingle_set(text: bytes, width: int) -> np.ndarray:
+    """The different hashed shingles of a text, sorted; none without words."""
+    words = text.lower().split()
+    return np.unique(shingle_hashes(words, width)).astype(np.uint64) if words else np.empty(0, np.uint64)
+
+
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """``class, shingles``: the different hashed shingles of each text."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [np.unique(shingle_hashes(words, width)) if (words := text.lower().split()) else np.empty(0, np.uint64)
-                for text in utf8(batch.column("text"))]
+        sets = [shingle_set(text, width) for text in utf8(batch.column("text"))]
         bounds = np.cumsum([0, *(x.size for x in sets)])
-        flat = np.concatenate([np.empty(0, np.uint64), *sets]).astype(np.uint64).view(np.int64)
+        flat = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
         lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
         return pa.RecordBatch.from_arrays([batch.column("class"), lists], ["class", "shingles"])
 
     return docs.mapInArrow(per_slice(work), "class long, shingles array<long>")
 
 
+def repeat_levels(docs: DataFrame, width: int) -> np.ndarray:
+    """How often shingles of a slot of hashes occur in a sample of the texts, in steps of a fourth power of two."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted() -> pa.RecordBatch:
+            slots, times = np.unique(np.concatenate(held), return_counts=True)
+            more = times > 1
+            return pa.RecordBatch.from_arrays([pa.array(slots[more].astype(np.int32)), pa.array(times[more])], ["slot", "n"])
+
+        held, size = [np.empty(0, np.uint64)], 0
+        for batch in batches:
+            for text in utf8(batch.column("text")):
+                held.append(shingle_set(text, width) >> np.uint64(64 - SLOT_BITS))
+                size += held[-1].size
+                if size > 1 << 22:
+                    yield counted()
+                    held, size = [np.empty(0, np.uint64)], 0
+        yield counted()
+
+    sample = docs.filter(F.pmod(F.xxhash64("text"), F.lit(COUNTED)) == 0).select("text")
+    slots = sample.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).filter("n > 3").toArrow()
+    levels = np.zeros(1 << SLOT_BITS, np.uint8)
+    levels[slots.column("slot").to_numpy()] = 4 * np.log2(slots.column("n").to_numpy())
+    return levels
+
+
+def prefixes(docs: DataFrame, width: int, likeness: float) -> DataFrame:
+    """``shingle, class, size, place``: the first shingles of each text, one of which every similar text has among its own."""
+    shared = docs.sparkSession.sparkContext.broadcast(repeat_levels(docs, width))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        levels, none = shared.value, np.empty(0, np.int64)
+        found, classes, sizes, places = [none.view(np.uint64)], [none], [none], [none]
+        for text in utf8(batch.column("text")):
+            own = shingle_set(text, width)
+            n = own.size
+            if n:
+                first = np.argsort(levels[own >> np.uint64(64 - SLOT_BITS)], kind="stable")
+                first = first[:n - math.ceil(likeness * n - 1e-9) + 1]
+                found.append(own[first])
+                classes.append(np.full(first.size, words_digest(text)[0]))
+                sizes.append(np.full(first.size, n))
+                places.append(np.arange(first.size))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(classes)),
+             pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(np.concatenate(places).astype(np.int32))],
+            ["shingle", "class", "size", "place"])
+
+    return docs.select("text").mapInArrow(per_slice(work), "shingle long, class long, size int, place int")
+
+
+def by_shingle(posts: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """The rows by shingle and class without repeats, the place of each row's first of the shingle, and its last."""
+    shingle, owner = (posts.column(name).to_numpy() for name in ("shingle", "class"))
+    order = np.lexsort((owner, shingle))
+    shingle, owner = shingle[order], owner[order]
+    once = np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (owner[1:] != owner[:-1])])[:shingle.size]
+    order, shingle = order[once], shingle[once]
+    edges = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1], [True]])) if shingle.size else np.zeros(1, np.int64)
+    counts = np.diff(edges)
+    return posts.take(pa.array(order)), np.repeat(edges[:-1], counts), np.repeat(edges[1:] - 1, counts)
+
+
+def met_posts(docs: DataFrame, width: int, likeness: float) -> DataFrame:
+    """Stored rows of :func:`prefixes` whose shingle several classes have, with ``bucket`` and the ``many`` that have it."""
+    def meet(posts: pa.Table) -> pa.Table:
+        posts, first, last = by_shingle(posts)
+        posts = posts.append_column("many", pa.array((last - first + 1).astype(np.int32)))
+        return posts.filter(pa.array(last > first))
+
+    parts = 4 * shuffle_parts(docs.sparkSession)
+    posts = prefixes(docs, width, likeness).withColumn("bucket", F.pmod(F.xxhash64("shingle"), F.lit(parts)))
+    return staged(posts.groupBy("bucket").applyInArrow(
+        meet, "shingle long, class long, size int, place int, bucket long, many int"), "posts")
+
+
+def meetings(posts: DataFrame, found: DataFrame, low: int, high: int, likeness: float) -> DataFrame:
+    """``a, b``: pairs not connected yet that may be similar, of texts ``low`` to ``high - 1`` of a shingle with later ones."""
+    least = likeness / (1 + likeness)
+
+    def meet(rows: pa.Table) -> pa.Table:
+        rows, first, _ = by_shingle(rows)
+        owner, root, size, place = (rows.column(name).to_numpy().astype(np.int64) for name in ("class", "root", "size", "place"))
+        rank, pairs = np.arange(first.size) - first, [np.empty((0, 2), np.int64)]
+        for hub in range(low, high):
+            b = np.flatnonzero(rank > hub)
+            if not b.size:
+                break
+            a = first[b] + hub
+            # of the shingles from the common one on, enough must be common
+            rest = np.minimum(size[a] - place[a], size[b] - place[b])
+            may = (root[a] != root[b]) & (rest >= least * (size[a] + size[b]) - 1e-9)
+            pairs.append(np.unique(np.stack([owner[a[may]], owner[b[may]]], axis=1), axis=0))
+        every = np.unique(np.concatenate(pairs), axis=0)
+        return pa.table({"a": every[:, 0], "b": every[:, 1]})
+
+    rooted = posts.filter(F.col("many") > low + 1).join(
+        small(found.withColumnRenamed("node", "class")), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    return rooted.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
+
+
+def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, likeness: float, width: int) -> DataFrame:
+    """The pairs of classes whose representatives are similar, stored."""
+    needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    wanted = staged(classes.join(needed, "class").select(
+        "class", F.col("own.doc_id").alias("id"), F.col("own.body").alias("hash")), "wanted")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("body"), "text").join(
+        small(wanted), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("hash"))) \
+        .select("class", "text")
+    sets = staged(shingle_sets(texts, width).dropDuplicates(["class"]), "sets")
+    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("left")), "a") \
+        .join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("right")), "b")
+    shared = F.size(F.array_intersect("left", "right"))
+    alike = (shared >= likeness * (F.size("left") + F.size("right") - shared))
+    return staged(both.filter(alike).select("a", "b"), "alike")
+
+
 def similar_groups(docs: DataFrame, likeness: float = LIKENESS, width: int = WORDS, tables: int = TABLES,
                    candidate_width: int = CANDIDATE_WORDS) -> DataFrame:
     """``doc_id, body, class, root`` of every row: texts of one group are chained by a likeness of at least so much.
@@ -251,6 +381,22 @@ def similar_groups(docs: DataFrame, likeness: float = LIKENESS, width: int = WOR
     same = F.when(F.min("other") == F.max("other"), F.min(own)).otherwise(
         F.raise_error(F.lit("two texts share half a digest: change SEED")))
     classes = staged(rows.groupBy("class").agg(same.alias("own"), F.first("prints").alias("prints")), "classes")
+    found = components(verified(docs, classes, fingerprint_pairs(classes), likeness, width))
+    posts = met_posts(docs, width, likeness)
+    most = posts.agg(F.coalesce(F.max("many"), F.lit(0))).first()[0]
+    low, high = 0, FIRST_HUBS
+    while low + 1 < most:
+        pairs = staged(meetings(posts, found, low, high, likeness), "meetings")
+        if not pairs.isEmpty():
+            alike = verified(docs, classes, pairs, likeness, width)
+            found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(alike))
+        low, high = high, high * MORE_HUBS
+    return rows.select("doc_id", "body", "class").join(found.withColumnRenamed("node", "class"), "class", "left") \
+        .withColumn("root", F.coalesce("root", "class"))
+
+
+def fingerprint_pairs(classes: DataFrame) -> DataFrame:
+    """``a, b``: stored pairs of classes that meet in a fingerprint, one for each fingerprint and bucket."""
     shelved = classes.select("class", F.posexplode("prints").alias("tab", "print"))
     firsts = staged(shelved.groupBy("tab", "print").agg(F.min("class").alias("class")), "firsts")
     met = staged(links(firsts, spanning=False).distinct(), "met")
@@ -259,21 +405,7 @@ def similar_groups(docs: DataFrame, likeness: float = LIKENESS, width: int = WOR
     equal = shelved.join(firsts.withColumnRenamed("class", "left"), ["tab", "print"]).filter("class <> left")
     pairs = met.join(left, ["tab", "a"]).join(right, ["tab", "b"]).select("left", "right") \
         .unionByName(equal.select("left", F.col("class").alias("right"))).filter("left <> right")
-    pairs = staged(pairs.select(F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b")).distinct(), "pairs")
-    needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = staged(classes.join(needed, "class").select(
-        "class", F.col("own.doc_id").alias("id"), F.col("own.body").alias("hash")), "wanted")
-    texts = docs.select("doc_id", F.xxhash64("text").alias("body"), "text").join(
-        small(wanted), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("hash"))) \
-        .select("class", "text")
-    sets = staged(shingle_sets(texts, width).dropDuplicates(["class"]), "sets")
-    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("left")), "a") \
-        .join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("right")), "b")
-    shared = F.size(F.array_intersect("left", "right"))
-    alike = (shared >= likeness * (F.size("left") + F.size("right") - shared))
-    found = components(both.filter(alike).select("a", "b"))
-    return rows.select("doc_id", "body", "class").join(found.withColumnRenamed("node", "class"), "class", "left") \
-        .withColumn("root", F.coalesce("root", "class"))
+    return staged(pairs.select(F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b")).distinct(), "pairs")
 
 
 def near_components(docs: DataFrame) -> DataFrame:
