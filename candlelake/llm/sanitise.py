@@ -4,11 +4,12 @@ Base spans are four kinds of personal data found by pattern and checked (parts o
 check sum). Their positions come from splitting the text at the matches: pieces and matches alternate,
 so lengths add up to positions, in code points, end exclusive.
 
-The corpus then says what else gives them away. A base value is a protected entity; the terms close to
-it are counted with it, document by document. With ``IC(e) = -log p(e)`` and
+The corpus then says what else gives them away. A base value is a protected entity; all terms of the
+documents that hold it are counted with it, document by document. With ``IC(e) = -log p(e)`` and
 ``PMI(e, t) = log p(e, t) / (p(e) p(t))``, a term discloses the share ``PMI / IC`` of an entity: 1 if
-the term occurs nowhere but with it. A term that ``MIN_SUPPORT`` documents or more have close to an
-entity is generalised there if it discloses ``GENERALISE`` of it, and removed from ``REMOVE`` on.
+the term occurs nowhere but with it. Wherever it stands in a document that holds the entity (but inside a
+base span), a term is generalised if it discloses ``GENERALISE`` of it, and removed from ``REMOVE`` on. One
+document is enough: an entity of a single document has all terms that hardly any other document has.
 
 A null text counts as empty and has no spans. Repeated rows are documents of their own. A null id is
 returned as it is. An entity that every document has carries no information and discloses nothing.
@@ -23,8 +24,7 @@ from pyspark.sql import functions as F
 
 from candlelake.llm.common import staged, text_or_empty
 
-NEAR_TERMS, NEAR_CHARS = 6, 160
-MIN_SUPPORT, GENERALISE, REMOVE = 3, 0.6, 0.9
+MIN_SUPPORT, GENERALISE, REMOVE = 1, 0.6, 0.9
 
 # Possessive forms, and a start only where a run of the first class starts (or the last match ended):
 # the same matches as the plain patterns, in time linear in the text.
@@ -97,51 +97,34 @@ def _entity_of(kind: str) -> Callable[[Column], Column]:
     return entity
 
 
-def _near(text: Column, span: Column) -> Column:
-    """Terms on both sides of a span, no more than ``NEAR_TERMS`` each, with their places."""
-    low = F.greatest(span["start"] - NEAR_CHARS, F.lit(0))
-    before, after = F.substring(text, low + 1, span["start"] - low), F.substring(text, span["end"] + 1, F.lit(NEAR_CHARS))
-    # a word cut by the edge of the window is no term
-    left = F.filter(matches(before, TERM), lambda x: (x["start"] > 0) | (low == 0))
-    right = F.filter(matches(after, TERM), lambda x: x["end"] < NEAR_CHARS)
-
-    def placed(terms: Column, shift: Column) -> Column:
-        return F.transform(terms, lambda x: F.struct(
-            (x["start"] + shift).alias("start"), (x["end"] + shift).alias("end"), F.lower(x["value"]).alias("value")))
-
-    last = F.greatest(F.size(left) - NEAR_TERMS, F.lit(0)) + 1
-    return F.concat(placed(F.slice(left, last, F.lit(NEAR_TERMS)), low), placed(F.slice(right, 1, NEAR_TERMS), span["end"]))
-
-
-def _terms_near(kind: str) -> Column:
-    """For each span of a kind, the terms near it with the span's entity."""
-    entity = _entity_of(kind)
-    return F.transform(kind, lambda span: F.transform(_near(F.col("text"), span), lambda term: F.struct(
-        entity(span).alias("entity"), term["value"].alias("term"),
-        term["start"].alias("start"), term["end"].alias("end"))))
+def _terms(text: Column) -> Column:
+    """The different terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
-    """Stored table with a row per document: ``at, doc_id, body``, base spans by kind, terms near them."""
+    """Stored table with a row per document: ``at, doc_id, body``, base spans by kind, and its text if it has any."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("body"), text_or_empty().alias("text"))
     rows = rows.select("*", *(base_spans(F.col("text"), kind).alias(kind) for kind in PATTERNS))
-    near = F.flatten(F.concat(*map(_terms_near, PATTERNS)))
     entities = F.array_distinct(F.concat(*(F.transform(kind, _entity_of(kind)) for kind in PATTERNS)))
     return staged(rows.select(
         F.monotonically_increasing_id().alias("at"), "doc_id", "body",
         *(F.transform(kind, lambda span: F.struct(span["start"], span["end"])).alias(kind) for kind in PATTERNS),
-        entities.alias("entities"), near.alias("near")), "spans")
+        entities.alias("entities"), F.when(F.size(entities) > 0, F.col("text")).alias("text")), "spans")
+
+
+def held_pairs(found: DataFrame) -> DataFrame:
+    """``at, entity, term``: every term of a document with every entity of it, once."""
+    return found.filter("text is not null").select("at", "entities", F.explode(_terms(F.col("text"))).alias("term")) \
+        .select("at", F.explode("entities").alias("entity"), "term")
 
 
 def disclosures(docs: DataFrame, found: DataFrame, support: int = MIN_SUPPORT) -> DataFrame:
-    """``entity, term, disclosed``: share of an entity's information that a term near it gives away."""
+    """``entity, term, disclosed``: share of an entity's information that a term of its documents gives away."""
     total = found.count()
     entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = found.select(F.explode(F.array_distinct(F.transform(
-        "near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("pair")) \
-        .groupBy("pair.entity", "pair.term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support)
-    terms = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(text_or_empty()), F.lit(TERM), F.lit(0)))).alias("term")) \
+    pairs = held_pairs(found).groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support)
+    terms = docs.select(F.explode(_terms(text_or_empty())).alias("term")) \
         .groupBy("term").agg(F.count("*").alias("n_term"))
     information = -F.log(F.col("n_entity") / F.lit(total))
     shared = F.log(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term").cast("double")))
@@ -152,13 +135,19 @@ def disclosures(docs: DataFrame, found: DataFrame, support: int = MIN_SUPPORT) -
 def term_spans(found: DataFrame, disclosed: DataFrame, generalise: float = GENERALISE,
                remove: float = REMOVE) -> DataFrame:
     """``at, generalise, remove``: arrays of the spans to generalise and to remove, by row of ``found``."""
-    near = found.select("at", F.explode("near").alias("x")).select("at", "x.entity", "x.term", "x.start", "x.end")
-    level = near.join(disclosed.filter(F.col("disclosed") >= generalise), ["entity", "term"]) \
-        .groupBy("at", "start", "end").agg(F.max("disclosed").alias("disclosed"))
-    span = F.struct("start", "end")
-    return level.groupBy("at").agg(
-        F.sort_array(F.collect_list(F.when(F.col("disclosed") < remove, span))).alias("generalise"),
-        F.sort_array(F.collect_list(F.when(F.col("disclosed") >= remove, span))).alias("remove"))
+    level = held_pairs(found).join(disclosed.filter(F.col("disclosed") >= generalise), ["entity", "term"]) \
+        .groupBy("at", "term").agg(F.max("disclosed").alias("disclosed"))
+    levels = level.groupBy("at").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosed"))).alias("levels"))
+    base = F.concat(*PATTERNS)
+    marked = F.filter(matches(F.col("text"), TERM, lambda value: F.map_contains_key("levels", F.lower(value))),
+                      lambda x: ~F.exists(base, lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"])))
+
+    def spans(keep: Callable[[Column], Column]) -> Column:
+        chosen = F.filter("marked", lambda x: keep(F.element_at("levels", F.lower(x["value"]))))
+        return F.transform(chosen, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+
+    return found.join(levels, "at").withColumn("marked", marked).select(
+        "at", spans(lambda share: share < remove).alias("generalise"), spans(lambda share: share >= remove).alias("remove"))
 
 
 def all_spans(docs: DataFrame) -> DataFrame:
@@ -167,7 +156,7 @@ def all_spans(docs: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<start:int,end:int>>")
     terms = term_spans(found, disclosures(docs, found))
     return found.join(terms, "at", "left").withColumns({
-        name: F.coalesce(name, none) for name in ("generalise", "remove")}).drop("entities", "near")
+        name: F.coalesce(name, none) for name in ("generalise", "remove")}).drop("entities", "text")
 
 
 def _written(*kinds: str) -> Column:
