@@ -63,3 +63,15 @@ def test_large_groups_are_searched_to_the_end(make, monkeypatch):
     alike = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     want, got = joined(alike, sets), {r.doc_id: r.root for r in simhash.similar_groups(make(rows)).collect()}
     assert len({(want[i], got[i]) for i in sets}) == len(set(want.values())) == len(set(got.values()))
+
+
+def test_one_text_of_each_group_of_the_sample_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets = {r.doc_id: shingles(r.text or "") for r in docs.collect()}
+    ids = sorted(sets)
+    root = joined([(a, b) for k, a in enumerate(ids) for b in ids[k + 1:]
+                   if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])], ids)
+    least = {}
+    for i in ids:
+        least.setdefault(root[i], i)
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == sorted(least.values())
