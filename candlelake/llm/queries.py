@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from candlelake.llm import (
-    chat, exact, mixing, pieces, sanitise, simhash, spotsigs, substrings, token_counts, toxicity)
+    chat, exact, mixing, periodic, pieces, sanitise, simhash, spotsigs, substrings, token_counts, toxicity)
 from candlelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,9 +59,14 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(table(spark, folder, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.run_report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {run.__name__: run for run in (
     op1_simhash_near_dedup, op2_chat_perspectives, op3_sanitise, op4_exact_dedup, op5_substring_dedup,
-    op6_spot_signatures, op7_token_counts, op8_sentencepiece, op9_toxicity, op10_mixing)}
+    op6_spot_signatures, op7_token_counts, op8_sentencepiece, op9_toxicity, op10_mixing,
+    op13_periodic_runs)}
 
 ORACLES: dict[str, str] = {
     "op2_chat_perspectives": r"""
