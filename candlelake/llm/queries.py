@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from candlelake.llm import (
-    chat, exact, mixing, periodic, pieces, sanitise, simhash, spotsigs, substrings, token_counts, toxicity)
+    byte_bpe, chat, exact, mixing, periodic, pieces, sanitise, simhash, spotsigs, substrings, token_counts,
+    toxicity)
 from candlelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def piece_model() -> str:
@@ -59,6 +61,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(table(spark, folder, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.encoded_digests(table(spark, folder, "documents"), public_tokenizers.path(BYTE_RANKS),
+                                    public_tokenizers.PATTERN)
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.run_report(table(spark, folder, "documents"))
 
@@ -66,7 +73,7 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {run.__name__: run for run in (
     op1_simhash_near_dedup, op2_chat_perspectives, op3_sanitise, op4_exact_dedup, op5_substring_dedup,
     op6_spot_signatures, op7_token_counts, op8_sentencepiece, op9_toxicity, op10_mixing,
-    op13_periodic_runs)}
+    op11_byte_bpe, op13_periodic_runs)}
 
 ORACLES: dict[str, str] = {
     "op2_chat_perspectives": r"""
