@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from candlelake.llm import (
-    byte_bpe, chat, exact, mixing, periodic, pieces, sanitise, simhash, spotsigs, substrings, token_counts,
-    toxicity)
+    byte_bpe, chat, exact, mixing, periodic, pieces, repair, sanitise, simhash, spotsigs, substrings,
+    token_counts, toxicity)
 from candlelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
                                     public_tokenizers.PATTERN)
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair_report(table(spark, folder, "conversations"))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.run_report(table(spark, folder, "documents"))
 
@@ -73,7 +77,7 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {run.__name__: run for run in (
     op1_simhash_near_dedup, op2_chat_perspectives, op3_sanitise, op4_exact_dedup, op5_substring_dedup,
     op6_spot_signatures, op7_token_counts, op8_sentencepiece, op9_toxicity, op10_mixing,
-    op11_byte_bpe, op13_periodic_runs)}
+    op11_byte_bpe, op12_conversation_repair, op13_periodic_runs)}
 
 ORACLES: dict[str, str] = {
     "op2_chat_perspectives": r"""
