@@ -58,6 +58,13 @@ def build_fact_daily(target: DataFrame, silver: DataFrame, dim: DataFrame, batch
     return fact_sync(target, source, spec, scope, id_column="TransactionSID", above=above)
 
 
-def star(fact: DataFrame, dim_date: DataFrame, dim_symbol: DataFrame) -> DataFrame:
-    """Fact with its two dimensions; facts without a match stay, under blank members."""
-    return fact.join(dim_date, "DateID", "left").join(dim_symbol, "SymbolSID", "left")
+def star(fact: DataFrame, dim_date: DataFrame, dim_symbol: DataFrame, month: str | None = None) -> DataFrame:
+    """Fact with its two dimensions; facts without a match stay, under blank members.
+
+    ``month`` names the column a stored fact is partitioned by, the calendar's ``YearMonth``. It then is part of
+    the join, so that a condition on the calendar prunes partitions while the query runs.
+    """
+    if not month:
+        return fact.join(dim_date, "DateID", "left").join(dim_symbol, "SymbolSID", "left")
+    days = dim_date.withColumn(month, F.col("YearMonth"))
+    return fact.join(days, ["DateID", month], "left").drop(month).join(dim_symbol, "SymbolSID", "left")

@@ -131,9 +131,13 @@ def _overwritten(spec: TableSpec) -> list[str]:
 def _kept(columns: list[str], spec: TableSpec, batch: BatchContext, expire: Column) -> list[Column]:
     """The stored row after the batch: type-1 values overwritten, closed where a new version opens."""
     overwrite = _type1_changed(spec)
+    late = F.concat(F.lit(f"batch {batch.batch_id} is older than the current version of key "),
+                    F.col(f"t.{spec.key_hash}"), F.lit("; it needs splice_merge"))
+    end = F.when(F.col("t.__EffectiveStartDateTime") > at(batch.start), F.raise_error(late).cast("timestamp")) \
+        .otherwise(at(batch.end))
     changes = {
         "__CurrentFlag": (expire, F.lit(False)),
-        "__EffectiveEndDateTime": (expire, at(batch.end)),
+        "__EffectiveEndDateTime": (expire, end),
         "__lastmodified": (expire, at(batch.start)),
         "__UpdatedBatchLogId": (expire | overwrite, F.lit(batch.batch_id)),
         "__UpdateDateTime": (expire | overwrite, at(batch.start)),
@@ -152,7 +156,8 @@ def scd_merge(target: DataFrame, source: DataFrame, spec: TableSpec, batch: Batc
 
     ``target`` may be the whole table or any part of it that is closed under the business
     key (for example the date partitions a batch touches). Rows missing from the source are
-    left alone. A source with two rows for a key is refused. With ``id_column`` the inserted rows,
+    left alone. A source with two rows for a key is refused, and so is a change older than the version
+    it would close (:func:`candlelake.operators.history.splice_merge` takes those). With ``id_column`` the inserted rows,
     known only after the join, are numbered without gaps (above ``above``, by default the target's
     highest id).
     """

@@ -3,13 +3,18 @@
 Silver and facts are partitioned by month. A load reads and rewrites only the months its
 rows fall in; the business keys contain the date, so a month is closed under its keys and
 merging it alone gives the same result as merging the whole table.
+
+A delivery is noted in a journal before anything else happens to it. A load that stopped is picked up by
+the next one, delivery after delivery; one that is older than what silver holds is spliced into the
+versions, from the rows of the deliveries since.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +22,14 @@ from pyspark.sql import functions as F
 from candlelake import schemas
 from candlelake.context import DIM_SYMBOL_SPEC, FACT_DAILY_SPEC, SILVER_SPEC, BatchContext
 from candlelake.operators import dims, facts, sinks
+from candlelake.operators.history import splice_merge
 from candlelake.operators.merge import changed_rows, differing, fact_sync, scd_merge
 from candlelake.plans.silver import flat_bronze, rejected_bars, silver_source
 from candlelake.sources import responses
 
 MONTH = "Month"
 SORT = {"silver": ("Symbol", "Date"), "fact_daily": ("SymbolSID", "DateID")}
+LANDED, SILVER, GOLD = "landed", "silver", "gold"
 # Table properties: the highest fact id reserved, the last load whose gold steps all finished, the last lookup.
 TOP_ID, GOLD_MARK, LOOKUP_MARK = "candlelake.top_id", "candlelake.gold_mark", "candlelake.lookup_mark"
 
@@ -31,6 +38,15 @@ def month_of(day: Column) -> Column:
     return F.year(day) * 100 + F.month(day)
 
 
+@dataclass(frozen=True)
+class Delivery:
+    """One delivery as the journal knows it: the folder every finished step left."""
+
+    number: int
+    batch: BatchContext
+    paths: dict[str, str] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class Lake:
     """Table names and folders of one lake; ``root`` is a folder all executors can reach."""
@@ -54,6 +70,8 @@ class Lake:
         for kind in ("silver", "fact_daily"):
             ddl = f"{schemas.TABLES[kind]}, {MONTH} INT"
             sinks.create_table(self.spark, self.name(kind), ddl, self.path(kind), replace, partition_by=MONTH)
+        self.spark.createDataFrame([], schemas.JOURNAL).write.mode("overwrite" if replace else "append") \
+            .parquet(self.path("journal"))
         for kind in ("dim_symbol", "dim_date", "symbol_lookup"):
             sinks.create_known_table(self.spark, self.name(kind), self.path(kind, "empty"), kind, replace)
 
@@ -64,32 +82,54 @@ class Lake:
     # -- one load ---------------------------------------------------------------------------
 
     def land(self, landed: DataFrame, batch: BatchContext) -> None:
-        """Good responses replace their symbols' bronze; the others are kept for inspection."""
-        sinks.overwrite_partitions(responses.accept(landed), self.path("bronze"))
+        """Keep the good responses for the load and the others for inspection, then note the delivery."""
+        path = self._fresh("deliveries", batch)
+        responses.accept(landed).write.parquet(path)
         responses.reject(landed).write.mode("overwrite").json(self.path("rejected", batch.batch_id))
-
-    def load_silver(self, symbols: DataFrame, batch: BatchContext) -> None:
-        """Merge the stored bronze of the delivered symbols; months without any change are not rewritten."""
+        number = max((delivery.number for delivery in self.deliveries()), default=0) + 1
+        self._note(Delivery(number, batch), LANDED, path)
+
+    def replay(self) -> None:
+        """Bring every landed delivery that has not reached silver there, in the order they came."""
+        for delivery in self.deliveries():
+            if SILVER not in delivery.paths:
+                landed = self.spark.read.schema(schemas.BRONZE).parquet(delivery.paths[LANDED])
+                sinks.overwrite_partitions(landed, self.path("bronze"))
+                rows = self.load_silver(landed.select("symbol").distinct(), delivery.batch)
+                self._note(delivery, SILVER, rows)
+
+    def load_silver(self, symbols: DataFrame, batch: BatchContext) -> str | None:
+        """Merge the stored bronze of the delivered symbols; months without any change are not rewritten.
+
+        Returns the folder with the delivered rows.
+        """
         if symbols.isEmpty():
-            return
+            return None
         bronze = responses.read_bronze(self.spark, self.path("bronze"), symbols)
         flat = self._staged(flat_bronze(bronze), "flat", batch)
         rejected_bars(flat).write.mode("overwrite").json(self.path("rejected_bars", batch.batch_id))
-        source = silver_source(flat, batch).withColumn(MONTH, month_of(F.col("Date")))
-        source = self._staged(source, "silver", batch)
-        delivered = self._months_of("silver", self._months(source.select(MONTH)))
-        months = self._months(changed_rows(delivered, source, SILVER_SPEC).select(MONTH))
-        if not months:
-            return
-        merged = scd_merge(self._months_of("silver", months),
-                           source.filter(F.col(MONTH).isin(months)).drop(MONTH), SILVER_SPEC, batch)
+        path = self._fresh("observed", batch)
+        silver_source(flat, batch).withColumn(MONTH, month_of(F.col("Date"))).write.parquet(path)
+        source = self._observed([path])
+        months = self._months(source.select(MONTH))
+        since = [delivery.paths[SILVER] for delivery in self.deliveries() if delivery.paths.get(SILVER)]
+        if any(delivery.batch.start > batch.start for delivery in self.deliveries() if SILVER in delivery.paths):
+            inside = F.col(MONTH).isin(months)
+            merged = splice_merge(self._months_of("silver", months), source.drop(MONTH), SILVER_SPEC,
+                                  self._observed(since).filter(inside).drop(MONTH) if since else None)
+        else:
+            delivered = self._months_of("silver", months)
+            months = self._months(changed_rows(delivered, source, SILVER_SPEC).select(MONTH))
+            merged = scd_merge(self._months_of("silver", months),
+                               source.filter(F.col(MONTH).isin(months)).drop(MONTH), SILVER_SPEC, batch)
         self._replace("silver", merged, month_of(F.col("Date")), months, batch)
+        return path
 
     def load_dim_symbol(self, batch: BatchContext) -> None:
         """Versions from the rows changed since the last load; from all rows if the lookup is newer than that."""
         mark, lookup = self._property("fact_daily", GOLD_MARK), self._property("symbol_lookup", LOOKUP_MARK)
         renewed = mark and lookup and lookup >= mark
-        rows = self.table("silver").filter("__CurrentFlag") if renewed else self._changed(batch)
+        rows = self.table("silver").filter("__CurrentFlag") if renewed else self._changed()
         if rows.isEmpty():
             return
         built = dims.build_dim_symbol(self.table("dim_symbol"), rows, self.table("symbol_lookup"), batch)
@@ -101,7 +141,7 @@ class Lake:
         A month is synced against all of its silver rows. Facts are daily: responses with several
         values per symbol and day are refused here.
         """
-        months = sorted({*self._months(self._changed(batch).select(MONTH)), *self._months_of_new_symbols()})
+        months = sorted({*self._months(self._changed().select(MONTH)), *self._months_of_new_symbols()})
         if not months:
             return
         silver = self._months_of("silver", months)
@@ -116,26 +156,64 @@ class Lake:
         self._replace("fact_daily", synced, month, months, batch, self._reserve_ids)
 
     def load_dim_date(self, batch: BatchContext) -> None:
-        changed = self._changed(batch).select("Date")
+        changed = self._changed().select("Date")
         if not changed.isEmpty():
             self._switch("dim_date", dims.extend_calendar(self.table("dim_date"), changed), batch)
 
     def load(self, landed: DataFrame, batch: BatchContext) -> None:
-        """One delivery. Gold steps cover everything since the last load that finished them all."""
+        """One delivery, after those that earlier loads left behind.
+
+        Gold steps cover every delivery that has not been through them, and are dated no earlier than the last
+        of them: a late delivery changes silver's past, while gold changes now.
+        """
         landed = self._staged(landed, "landed", batch)  # documents are parsed once
         self.land(landed, batch)
-        self.load_silver(responses.accept(landed).select("symbol").distinct(), batch)
-        self.load_dim_symbol(batch)
-        self.load_facts(batch)
-        self.load_dim_date(batch)
-        self._set_property("fact_daily", GOLD_MARK, max(batch.start, self._property("fact_daily", GOLD_MARK) or ""))
+        self.replay()
+        mark = self._property("fact_daily", GOLD_MARK) or ""
+        now = batch if batch.start >= mark else BatchContext(batch.batch_id, datetime.fromisoformat(mark))
+        self.load_dim_symbol(now)
+        self.load_facts(now)
+        self.load_dim_date(now)
+        self._set_property("fact_daily", GOLD_MARK, now.start)
+        for delivery in self.deliveries():
+            if GOLD not in delivery.paths:
+                self._note(delivery, GOLD)
+
+    # -- journal ----------------------------------------------------------------------------
+
+    def deliveries(self) -> list[Delivery]:
+        """All deliveries in the order they came; a few lines each."""
+        found: dict[int, Delivery] = {}
+        for row in self.spark.read.schema(schemas.JOURNAL).parquet(self.path("journal")).collect():
+            batch = BatchContext(row["BatchId"], row["Start"])
+            found.setdefault(row["Delivery"], Delivery(row["Delivery"], batch)).paths[row["Step"]] = row["Path"]
+        return [found[number] for number in sorted(found)]
+
+    def _note(self, delivery: Delivery, step: str, path: str | None = None) -> None:
+        line = (delivery.number, delivery.batch.batch_id, delivery.batch.effective_ts, step, path)
+        self.spark.createDataFrame([line], schemas.JOURNAL).coalesce(1).write.mode("append").parquet(self.path("journal"))
+
+    def _observed(self, paths: Iterable[str]) -> DataFrame:
+        """Audited rows as deliveries brought them."""
+        return self.spark.read.schema(f"{schemas.SILVER}, {MONTH} INT").parquet(*paths)
 
     # -- reading ----------------------------------------------------------------------------
 
-    def star(self) -> DataFrame:
-        """Facts under the attributes their symbols have now and the calendar, for the measures."""
-        symbols = dims.member_dim(self.table("dim_symbol"))
-        return facts.star(self.table("fact_daily").drop(MONTH), self.table("dim_date"), symbols)
+    def star(self, first: date | None = None, last: date | None = None) -> DataFrame:
+        """Facts under the attributes their symbols have now and the calendar, for the measures.
+
+        Only months from the day ``first`` to the day ``last`` are read; a condition on the calendar prunes
+        months as well, while the query runs.
+        """
+        rows = self.table("fact_daily")
+        for day, inside in ((first, F.col(MONTH).__ge__), (last, F.col(MONTH).__le__)):
+            if day:
+                rows = rows.filter(inside(day.year * 100 + day.month))
+        star = facts.star(rows, self.table("dim_date"), dims.member_dim(self.table("dim_symbol")), MONTH)
+        bounds = [F.col("Date") >= F.lit(first)] * bool(first) + [F.col("Date") <= F.lit(last)] * bool(last)
+        for bound in bounds:
+            star = star.filter(bound)
+        return star
 
     # -- helpers ----------------------------------------------------------------------------
 
@@ -145,14 +223,11 @@ class Lake:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _changed(self, batch: BatchContext) -> DataFrame:
-        """Current silver rows of every load since the last one that finished its gold steps."""
-        rows, mark = self.table("silver").filter("__CurrentFlag"), self._property("fact_daily", GOLD_MARK)
-        if not mark:
-            return rows
-        # a load in the same second as the last one looks at that second again
-        fresh = F.col("__lastmodified") > mark if batch.start > mark else F.col("__lastmodified") >= batch.start
-        return rows.filter(fresh)
+    def _changed(self) -> DataFrame:
+        """Current silver rows of every delivery that has not been through gold."""
+        waiting = [delivery.batch.start for delivery in self.deliveries() if GOLD not in delivery.paths]
+        rows = self.table("silver").filter("__CurrentFlag")
+        return rows.filter(F.col("__lastmodified") >= min(waiting)) if waiting else rows.limit(0)
 
     def _months_of_new_symbols(self) -> list[int]:
         """Months with rows of symbols whose first version came after the last finished load."""
