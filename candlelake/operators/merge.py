@@ -110,9 +110,11 @@ def _side(side: str, columns: list[str]) -> dict[str, Column]:
     return {name: F.col(f"{side}.{name}") for name in columns}
 
 
-def _joined(target: DataFrame, source: DataFrame, spec: TableSpec, how: str) -> DataFrame:
-    return target.alias("t").join(
-        source.alias("s"), F.col(f"t.{spec.key_hash}") == F.col(f"s.{spec.key_hash}"), how)
+def _joined(target: DataFrame, source: DataFrame, spec: TableSpec, how: str, current_only: bool = False) -> DataFrame:
+    same = F.col(f"t.{spec.key_hash}") == F.col(f"s.{spec.key_hash}")
+    if current_only:
+        same &= F.coalesce(F.col("t.__CurrentFlag"), F.lit(False))
+    return target.alias("t").join(source.alias("s"), same, how)
 
 
 def _type1_changed(spec: TableSpec) -> Column:
@@ -151,7 +153,7 @@ def _kept(columns: list[str], spec: TableSpec, batch: BatchContext, expire: Colu
 
 
 def scd_merge(target: DataFrame, source: DataFrame, spec: TableSpec, batch: BatchContext,
-              id_column: str | None = None, above: Column | None = None) -> DataFrame:
+              id_column: str | None = None, above: Column | None = None, one_scan: bool = False) -> DataFrame:
     """Type-1 overwrite, type-2 expiry and insertion in one full outer join.
 
     ``target`` may be the whole table or any part of it that is closed under the business
@@ -159,11 +161,12 @@ def scd_merge(target: DataFrame, source: DataFrame, spec: TableSpec, batch: Batc
     left alone. A source with two rows for a key is refused, and so is a change older than the version
     it would close (:func:`candlelake.operators.history.splice_merge` takes those). With ``id_column`` the inserted rows,
     known only after the join, are numbered without gaps (above ``above``, by default the target's
-    highest id).
+    highest id). With ``one_scan`` closed versions go through the join unmatched instead of past it: right for
+    a target that lies dealt by its key.
     """
     columns = target.columns
     source = guarded(aligned(source, target), spec, spec.value_hash)
-    pairs = _joined(target.filter(is_current()), source, spec, "full_outer")
+    pairs = _joined(target if one_scan else target.filter(is_current()), source, spec, "full_outer", one_scan)
     has_target = F.col(f"t.{spec.key_hash}").isNotNull()
     has_source = F.col(f"s.{spec.key_hash}").isNotNull()
     expire = F.coalesce(F.col(f"t.{spec.value_hash}") != F.col(f"s.{spec.value_hash}"), F.lit(False))
@@ -174,7 +177,7 @@ def scd_merge(target: DataFrame, source: DataFrame, spec: TableSpec, batch: Batc
     if id_column:
         top = above if above is not None else highest_id(target, id_column)
         merged = number_missing(merged, id_column, F.col(spec.key_hash), top, DIM_DIGITS)
-    return target.filter(~is_current()).unionByName(merged)
+    return merged if one_scan else target.filter(~is_current()).unionByName(merged)
 
 
 def type1_update(target: DataFrame, source: DataFrame, spec: TableSpec, batch: BatchContext) -> DataFrame:

@@ -15,13 +15,15 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlelake import schemas
 from candlelake.context import DIM_SYMBOL_SPEC, FACT_DAILY_SPEC, SILVER_SPEC, BatchContext
-from candlelake.operators import dims, facts, sinks
+from candlelake.operators import dims, facts, sinks, states
 from candlelake.operators.history import splice_merge
 from candlelake.operators.merge import changed_rows, differing, fact_sync, scd_merge
 from candlelake.plans.silver import flat_bronze, rejected_bars, silver_source
@@ -30,8 +32,10 @@ from candlelake.sources import responses
 MONTH = "Month"
 SORT = {"silver": ("Symbol", "Date"), "fact_daily": ("SymbolSID", "DateID")}
 LANDED, SILVER, GOLD = "landed", "silver", "gold"
-# Table properties: the highest fact id reserved, the last load whose gold steps all finished, the last lookup.
+# Table properties: the highest fact id reserved, the last load whose gold steps all finished, the last lookup,
+# months whose states are older than their facts.
 TOP_ID, GOLD_MARK, LOOKUP_MARK = "candlelake.top_id", "candlelake.gold_mark", "candlelake.lookup_mark"
+STALE_MONTHS = "candlelake.stale_months"
 
 
 def month_of(day: Column) -> Column:
@@ -49,11 +53,15 @@ class Delivery:
 
 @dataclass(frozen=True)
 class Lake:
-    """Table names and folders of one lake; ``root`` is a folder all executors can reach."""
+    """Table names and folders of one lake; ``root`` is a folder all executors can reach.
+
+    ``groupings`` names the groups, by columns of the star, whose month states are kept with the facts.
+    """
 
     spark: SparkSession
     root: str
     prefix: str = "lake"
+    groupings: tuple[tuple[str, ...], ...] = ()
 
     def name(self, kind: str) -> str:
         return f"{self.prefix}_{kind}"
@@ -70,6 +78,9 @@ class Lake:
         for kind in ("silver", "fact_daily"):
             ddl = f"{schemas.TABLES[kind]}, {MONTH} INT"
             sinks.create_table(self.spark, self.name(kind), ddl, self.path(kind), replace, partition_by=MONTH)
+        for by in self.groupings:
+            kind = self.states_kind(by)
+            sinks.create_table(self.spark, self.name(kind), states.state_ddl(by), self.path(kind), replace, MONTH)
         self.spark.createDataFrame([], schemas.JOURNAL).write.mode("overwrite" if replace else "append") \
             .parquet(self.path("journal"))
         for kind in ("dim_symbol", "dim_date", "symbol_lookup"):
@@ -132,8 +143,13 @@ class Lake:
         rows = self.table("silver").filter("__CurrentFlag") if renewed else self._changed()
         if rows.isEmpty():
             return
+        before = dims.member_dim(self.table("dim_symbol")) if self.groupings else None
+        if before is not None:
+            before = self._staged(before, "members", batch)
         built = dims.build_dim_symbol(self.table("dim_symbol"), rows, self.table("symbol_lookup"), batch)
         self._switch("dim_symbol", built, batch)
+        if before is not None:
+            self._note_renamed(before)
 
     def load_facts(self, batch: BatchContext) -> None:
         """Sync every month with a changed silver row, or with rows of a symbol that only now has an id.
@@ -153,13 +169,30 @@ class Lake:
         synced = fact_sync(
             self._months_of("fact_daily", months), source.filter(month.isin(months)), FACT_DAILY_SPEC,
             id_column="TransactionSID", above=F.lit(self._top_id()))
-        self._replace("fact_daily", synced, month, months, batch, self._reserve_ids)
+
+        def before_switch(written: DataFrame) -> None:
+            self._reserve_ids(written)
+            self._note_stale(months)
+
+        self._replace("fact_daily", synced, month, months, batch, before_switch)
 
     def load_dim_date(self, batch: BatchContext) -> None:
         changed = self._changed().select("Date")
         if not changed.isEmpty():
             self._switch("dim_date", dims.extend_calendar(self.table("dim_date"), changed), batch)
 
+    def refresh_states(self, batch: BatchContext) -> None:
+        """Make the states of the months whose facts changed anew, also those an earlier load did not get to."""
+        months = self._stale()
+        if not self.groupings or not months:
+            return
+        star = facts.star(self.table("fact_daily").filter(F.col(MONTH).isin(months)), self.table("dim_date"),
+                          dims.member_dim(self.table("dim_symbol")), MONTH)
+        for by in self.groupings:
+            kind, made = self.states_kind(by), states.month_states(star, by)
+            sinks.replace_partitions(self.spark, self.name(kind), made, MONTH, months, self._fresh(kind, batch), by)
+        self._set_property("fact_daily", STALE_MONTHS, "")
+
     def load(self, landed: DataFrame, batch: BatchContext) -> None:
         """One delivery, after those that earlier loads left behind.
 
@@ -174,6 +207,7 @@ class Lake:
         self.load_dim_symbol(now)
         self.load_facts(now)
         self.load_dim_date(now)
+        self.refresh_states(now)
         self._set_property("fact_daily", GOLD_MARK, now.start)
         for delivery in self.deliveries():
             if GOLD not in delivery.paths:
@@ -215,6 +249,13 @@ class Lake:
             star = star.filter(bound)
         return star
 
+    def states(self, by: tuple[str, ...] = ()) -> DataFrame:
+        """Month states of one of the groupings, for :mod:`candlelake.operators.states`."""
+        return self.table(self.states_kind(by))
+
+    def states_kind(self, by: tuple[str, ...]) -> str:
+        return "_".join(["states", *(name.lower() for name in by)])
+
     # -- helpers ----------------------------------------------------------------------------
 
     def _staged(self, df: DataFrame, label: str, batch: BatchContext) -> DataFrame:
@@ -269,6 +310,24 @@ class Lake:
         newest = written.agg(F.max("TransactionSID")).head()[0] or 0
         self._set_property("fact_daily", TOP_ID, str(max(self._top_id(), newest)))
 
+    def _stale(self) -> list[int]:
+        return [int(month) for month in (self._property("fact_daily", STALE_MONTHS) or "").split(",") if month]
+
+    def _note_stale(self, months: Iterable[int]) -> None:
+        """Remember months for the states before their facts change; at most the calendar's length."""
+        if self.groupings:
+            known = ",".join(map(str, sorted({*self._stale(), *months})))
+            self._set_property("fact_daily", STALE_MONTHS, known)
+
+    def _note_renamed(self, before: DataFrame) -> None:
+        """Months with facts of symbols whose attributes are not what they were: their states change groups."""
+        now = dims.member_dim(self.table("dim_symbol"))
+        same = [F.col(f"b.{name}").eqNullSafe(F.col(f"n.{name}")) for name in now.columns]
+        changed = now.alias("n").join(before.alias("b"), F.col("b.SymbolSID") == F.col("n.SymbolSID")) \
+            .filter(~reduce(and_, same)).select("n.SymbolSID")
+        if not changed.isEmpty():
+            self._note_stale(self._months(self.table("fact_daily").join(changed, "SymbolSID").select(MONTH)))
+
     def _property(self, kind: str, key: str) -> str | None:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(kind)}").filter(F.col("key") == key).collect()
         return rows[0]["value"] if rows else None

@@ -5,14 +5,18 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.errors import SparkRuntimeException
+from pyspark.sql import functions as F
 from test_lake import document, facts_of, lake, loaded  # noqa: F401
 
+from candlelake import schemas
 from candlelake.context import BatchContext, TableSpec
 from candlelake.operators.audit import add_audit_columns
 from candlelake.operators.history import fold_versions, splice_merge
+from candlelake.operators import measures as m
+from candlelake.operators import states
 from candlelake.operators.merge import scd_merge
 from candlelake.plans.lake import Lake
-from candlelake.sources import responses
+from candlelake.session import scratch_path
 
 DIM = TableSpec("Dim", ("k",), ("t",))
 STAGE = TableSpec("Stage", ("k",))
@@ -180,3 +184,56 @@ def test_conditions_on_the_calendar_prune_months(spark, lake, tmp_path):  # noqa
     rows, read = partitions_read(spark, some)
     assert read == [3] and (min(r.Date for r in rows), max(r.Date for r in rows)) == (date(2024, 3, 10), date(2024, 5, 10))
     assert {r.Symbol for r in rows} == {"A", None}
+
+
+# -- month states ---------------------------------------------------------------------------
+
+GROUPINGS = (("Symbol",), ("Industry",), ())
+
+
+@pytest.fixture
+def grouped(spark, request, first):
+    grouped = Lake(spark, scratch_path(spark, "lake"), "t_" + request.node.name, GROUPINGS)
+    grouped.create(replace=True)
+    grouped.seed_lookup(spark.createDataFrame(
+        [(1, "Tech", "A", "a.svg"), (2, "Tech", "B", "b.svg"), (3, "Oil", "C", "c.svg")], schemas.SYMBOL_LOOKUP), first)
+    return grouped
+
+
+def same_measures(lake, by):
+    by = list(by)
+    want, got = m.growth_by_range(lake.star(), by), states.growth_from_states(lake.states(tuple(by)), by)
+    assert "fact_daily" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, got.select(*(F.col(c).cast("string") for c in sorted(got.columns))).collect())) == sorted(
+        map(repr, want.select(*(F.col(c).cast(got.schema[c].dataType).cast("string") for c in sorted(got.columns))).collect()))
+    days = m.daily(lake.star(), by)
+    want = m.reaggregate(m.expand_ranges(days, by), [*by, "RangeName", "SortOrder"])
+    got = states.sums_from_states(lake.states(tuple(by)), by)
+    names = sorted(got.columns)
+    assert sorted(map(repr, got.select(names).collect())) == sorted(map(repr, want.select(names).collect()))
+
+
+def test_states_follow_the_loads(spark, grouped, tmp_path, monkeypatch):
+    draw = random.Random(2)
+    days = [str(date(2022, 11, 1) + timedelta(days=n)) for n in range(0, 480, 5)]
+    docs = [document(s, {day: draw.choice([0, 1, 2, 5]) for day in draw.sample(days, 60)}) for s in "ABCD"]
+    loaded(spark, grouped, tmp_path, "one", datetime(2024, 3, 1), *docs)
+    for by in GROUPINGS:
+        same_measures(grouped, by)
+    # a later load stops before the states: the next one makes up for it, months without changes keep their files
+    january = set(grouped.states(("Symbol",)).filter("Month = 202301").inputFiles())
+    with monkeypatch.context() as patch:
+        patch.setattr(Lake, "refresh_states", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            loaded(spark, grouped, tmp_path, "two", datetime(2024, 4, 1), document("A", {"2024-03-20": 9}))
+    renamed = document("C", {"2024-03-25": 4})
+    loaded(spark, grouped, tmp_path, "three", datetime(2024, 5, 1), renamed)
+    for by in GROUPINGS:
+        same_measures(grouped, by)
+    assert set(grouped.states(("Symbol",)).filter("Month = 202301").inputFiles()) == january
+    # a symbol that changes its industry takes its past along
+    lookup = spark.createDataFrame([(1, "Tech", "A", "a.svg"), (2, "Oil", "B", "b.svg"), (3, "Oil", "C", "c.svg")],
+                                   schemas.SYMBOL_LOOKUP)
+    grouped.seed_lookup(lookup, BatchContext("seed", datetime(2024, 5, 20)))
+    loaded(spark, grouped, tmp_path, "four", datetime(2024, 6, 1), document("A", {"2024-05-25": 4}))
+    same_measures(grouped, ("Industry",))
