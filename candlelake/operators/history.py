@@ -74,18 +74,17 @@ def _type1(spec: TableSpec) -> list[str]:
 def splice_merge(target: DataFrame, source: DataFrame, spec: TableSpec, delivered: DataFrame | None = None) -> DataFrame:
     """The target after a delivery of any age: versions of the delivered keys are folded anew.
 
-    ``source`` holds the audited rows of the new delivery, ``delivered`` those of earlier ones, of any keys; it
-    must reach back to some time without a gap. Versions from before that take part as what was known then;
-    without ``delivered`` all do, so that the delivery is placed between the versions, but a value that was only
-    confirmed after it does not come back. Versions of other keys pass through. ``target`` may be a part of the
+    ``source`` holds the audited rows of the new delivery, ``delivered`` those of earlier ones as far as they are
+    kept, of any keys. Versions that a delivery no longer kept has opened take part as what was known then;
+    without ``delivered`` all do, so that the new rows are placed between the versions, but a value that was only
+    confirmed after them does not come back. Versions of other keys pass through. ``target`` may be a part of the
     table that is closed under the key. A source with two rows for a key is refused.
     """
     source = guarded(aligned(source, target), spec, spec.value_hash)
     kept = aligned(delivered, target) if delivered is not None else empty_of(target.sparkSession, target.schema)
     touched = source.groupBy(spec.key_hash).agg(F.count(F.lit(1)).alias("_rows"))
     kept = kept.join(touched, spec.key_hash, "left_semi")
-    oldest = kept.groupBy(spec.key_hash).agg(F.min(START).alias("_oldest"))
-    known = target.join(touched, spec.key_hash).join(oldest, spec.key_hash, "left") \
-        .filter(F.col("_oldest").isNull() | (F.col(START) < F.col("_oldest"))).select(*target.columns)
+    known = target.join(touched, spec.key_hash, "left_semi") \
+        .join(kept.select(spec.key_hash, START), [spec.key_hash, START], "left_anti").select(*target.columns)
     folded = fold_versions(known.unionByName(kept).unionByName(source), spec)
     return target.join(touched, spec.key_hash, "left_anti").select(*target.columns).unionByName(folded)

@@ -15,9 +15,6 @@ from candlelake.context import BatchContext, TableSpec
 from candlelake.operators.audit import at
 from candlelake.operators.surrogate import fresh_id, highest_id, number_missing
 
-# Dimensions are small: 256 buckets are enough to number them without gaps.
-DIM_DIGITS = 2
-
 
 def is_current() -> Column:
     return F.coalesce(F.col("__CurrentFlag"), F.lit(False))
@@ -176,7 +173,7 @@ def scd_merge(target: DataFrame, source: DataFrame, spec: TableSpec, batch: Batc
     merged = pairs.select(F.inline(F.array_compact(F.array(kept, opened))))
     if id_column:
         top = above if above is not None else highest_id(target, id_column)
-        merged = number_missing(merged, id_column, F.col(spec.key_hash), top, DIM_DIGITS)
+        merged = number_missing(merged, id_column, F.col(spec.key_hash), top)
     return merged if one_scan else target.filter(~is_current()).unionByName(merged)
 
 

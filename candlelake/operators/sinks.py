@@ -84,7 +84,7 @@ def switch_location(spark: SparkSession, name: str, df: DataFrame, path: str) ->
 
 def replace_partitions(spark: SparkSession, name: str, df: DataFrame, column: str, scope: Iterable[int],
                        path: str, sort_by: Sequence[str] = (),
-                       before_switch: Callable[[DataFrame], None] | None = None) -> None:
+                       before_switch: Callable[[DataFrame], None] | None = None, clustered: bool = False) -> None:
     """Make ``df`` the content of the partitions in ``scope`` of a catalog table.
 
     The new files go to a folder of their own; only then is each partition pointed there, and
@@ -92,12 +92,12 @@ def replace_partitions(spark: SparkSession, name: str, df: DataFrame, column: st
     leaves it as it was, a partition always holds either its old or its new rows, and no other
     partition is touched. ``scope`` lists the partitions of one load, bounded by the calendar.
     Files are sorted by ``sort_by``, so that filters on it skip most row groups. ``before_switch``
-    gets the written rows before any partition points to them.
+    gets the written rows before any partition points to them. ``clustered`` rows are written as they are dealt.
     """
     scope = set(scope)
     if not scope:
         return
-    (_clustered(df, column).sortWithinPartitions(column, *sort_by)
+    ((df if clustered else _clustered(df, column)).sortWithinPartitions(column, *sort_by)
      .write.partitionBy(column).parquet(path))
     if before_switch:
         before_switch(spark.read.schema(df.schema).parquet(path))

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Hex digits of a hash that form a bucket of a gapless numbering.
-BUCKET_DIGITS = 3
+from candlelake.session import stored
 
 
 def highest_id(table: DataFrame, id_column: str) -> Column:
@@ -29,27 +28,37 @@ def assign_surrogates(rows: DataFrame, id_column: str, above: Column | None = No
     return rows.withColumn(id_column, fresh_id(above))
 
 
-def with_position(rows: DataFrame, hash_hex: Column, name: str, digits: int = BUCKET_DIGITS) -> DataFrame:
-    """Gapless ``row_number() over (order by hash_hex)``, computed bucket by bucket.
+def positions(rows: DataFrame, order: Column, name: str, ranges: int | None = None) -> DataFrame:
+    """Gapless ``row_number() over (order by order)`` for any number of rows.
 
-    Rows are numbered inside their bucket and shifted by the rows of all earlier buckets. Only the
-    bucket counts, at most ``16**digits`` rows, meet in one task; being that few they are broadcast.
-    A bucket is sorted by one task, so pass the digits that make buckets small enough. Reads ``rows``
-    twice.
+    Rows are dealt to ranges whose bounds Spark samples (as many as shuffle partitions unless ``ranges`` says
+    so), sorted inside them and written once, each with its place in its range. What meets in one task are the
+    counts of the ranges, one row per written range; they shift the places. Rows of equal order follow each
+    other in no fixed way. Reads ``rows`` once; the result is a plan over the written table.
     """
-    bucket = F.conv(F.substring("_hash", 1, digits), 16, 10).cast("bigint")
-    hashed = rows.withColumn("_hash", hash_hex).withColumn("_bucket", bucket)
-    counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_bucket").orderBy("_hash")
-    return (hashed.join(F.broadcast(offsets), "_bucket")
-            .withColumn(name, (F.col("_offset") + F.row_number().over(inside)).cast("bigint"))
-            .drop("_hash", "_bucket", "_offset"))
-
-
-def number_missing(rows: DataFrame, id_column: str, hash_hex: Column, above: Column, digits: int) -> DataFrame:
-    """Gapless ids above ``above`` for the rows without one, in order of their hash. Reads ``rows`` three times."""
-    new = with_position(rows.filter(F.col(id_column).isNull()), hash_hex, "_position", digits)
+    spark = rows.sparkSession
+    dealt = rows.withColumn("_order", order)
+    dealt = dealt.repartitionByRange(ranges, "_order") if ranges else dealt.repartitionByRange("_order")
+    kept = stored(dealt.sortWithinPartitions("_order").withColumn("_place", F.monotonically_increasing_id())
+                  .drop("_order"), "positions")
+    inside = (1 << 33) - 1
+    numbered = kept.withColumn("_range", F.shiftright("_place", 33))
+    counts = numbered.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    limit = int(spark.conf.get("spark.sql.shuffle.partitions")) if ranges is None else ranges
+    offsets = F.broadcast(offsets) if limit <= 100_000 else offsets
+    number = F.col("_offset") + F.col("_place").bitwiseAND(F.lit(inside)) + 1
+    return numbered.join(offsets, "_range").withColumn(name, number.cast("bigint")) \
+        .select(*rows.columns, *([] if name in rows.columns else [name]))
+
+
+def number_missing(rows: DataFrame, id_column: str, order: Column, above: Column) -> DataFrame:
+    """Gapless ids above ``above`` for the rows without one, in the given order.
+
+    Rows are computed and written once; those without an id, which are few, are then sorted by ranges.
+    """
+    kept = stored(rows, "unnumbered")
+    new = positions(kept.filter(F.col(id_column).isNull()), order, "_position")
     numbered = new.withColumn(id_column, (F.col("_position") + above).cast("bigint")).drop("_position")
-    return rows.filter(F.col(id_column).isNotNull()).unionByName(numbered)
+    return kept.filter(F.col(id_column).isNotNull()).unionByName(numbered)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from candlelake import schemas
 from candlelake.context import DIM_SYMBOL_SPEC, FACT_DAILY_SPEC, SILVER_SPEC, BatchContext
-from candlelake.operators import dims, facts, sinks, states
+from candlelake.operators import dims, facts, sinks, states, upkeep
 from candlelake.operators.history import splice_merge
 from candlelake.operators.merge import changed_rows, differing, fact_sync, scd_merge
 from candlelake.plans.silver import flat_bronze, rejected_bars, silver_source
@@ -31,11 +31,12 @@ from candlelake.sources import responses
 
 MONTH = "Month"
 SORT = {"silver": ("Symbol", "Date"), "fact_daily": ("SymbolSID", "DateID")}
-LANDED, SILVER, GOLD = "landed", "silver", "gold"
+LANDED, SILVER, GOLD, RETIRED = "landed", "silver", "gold", "retired"
 # Table properties: the highest fact id reserved, the last load whose gold steps all finished, the last lookup,
 # months whose states are older than their facts.
 TOP_ID, GOLD_MARK, LOOKUP_MARK = "candlelake.top_id", "candlelake.gold_mark", "candlelake.lookup_mark"
 STALE_MONTHS = "candlelake.stale_months"
+STAGED = ("landed", "flat", "facts", "members")
 
 
 def month_of(day: Column) -> Column:
@@ -97,7 +98,7 @@ class Lake:
         path = self._fresh("deliveries", batch)
         responses.accept(landed).write.parquet(path)
         responses.reject(landed).write.mode("overwrite").json(self.path("rejected", batch.batch_id))
-        number = max((delivery.number for delivery in self.deliveries()), default=0) + 1
+        number = max((delivery.number for delivery in self._journal()), default=0) + 1
         self._note(Delivery(number, batch), LANDED, path)
 
     def replay(self) -> None:
@@ -124,7 +125,7 @@ class Lake:
         source = self._observed([path])
         months = self._months(source.select(MONTH))
         since = [delivery.paths[SILVER] for delivery in self.deliveries() if delivery.paths.get(SILVER)]
-        if any(delivery.batch.start > batch.start for delivery in self.deliveries() if SILVER in delivery.paths):
+        if any(delivery.batch.start > batch.start for delivery in self._journal() if SILVER in delivery.paths):
             inside = F.col(MONTH).isin(months)
             merged = splice_merge(self._months_of("silver", months), source.drop(MONTH), SILVER_SPEC,
                                   self._observed(since).filter(inside).drop(MONTH) if since else None)
@@ -216,7 +217,11 @@ class Lake:
     # -- journal ----------------------------------------------------------------------------
 
     def deliveries(self) -> list[Delivery]:
-        """All deliveries in the order they came; a few lines each."""
+        """The deliveries whose rows are kept, in the order they came."""
+        return [delivery for delivery in self._journal() if RETIRED not in delivery.paths]
+
+    def _journal(self) -> list[Delivery]:
+        """All deliveries there have been; a few lines each."""
         found: dict[int, Delivery] = {}
         for row in self.spark.read.schema(schemas.JOURNAL).parquet(self.path("journal")).collect():
             batch = BatchContext(row["BatchId"], row["Start"])
@@ -231,6 +236,33 @@ class Lake:
         """Audited rows as deliveries brought them."""
         return self.spark.read.schema(f"{schemas.SILVER}, {MONTH} INT").parquet(*paths)
 
+    # -- upkeep -----------------------------------------------------------------------------
+
+    def compact(self, batch: BatchContext, target_bytes: int = upkeep.TARGET_BYTES) -> dict[str, list[int]]:
+        """Pack months that loads have left in too many files; returns the months by table."""
+        return {kind: upkeep.compact(self.spark, self.name(kind), MONTH, self._fresh(kind, batch), target_bytes, SORT[kind])
+                for kind in SORT}
+
+    def sweep(self, before: datetime) -> list[str]:
+        """Delete replaced folders last written before a time, and the rows of deliveries that went through before.
+
+        A delivery that arrives after that and is older than the retired ones still finds its place between the
+        versions, but cannot tell any more what they only confirmed.
+        """
+        kinds = [*SORT, "dim_symbol", "dim_date", "symbol_lookup", *(self.states_kind(by) for by in self.groupings)]
+        inputs = [self.path(kind) for kind in ("deliveries", "observed")]
+        old = {name.rsplit("/", 1)[1] for folder in inputs for name in upkeep.older_folders(self.spark, folder, before)}
+        kept: list[str] = []
+        for delivery in self.deliveries():
+            paths = [path for path in delivery.paths.values() if path]
+            if GOLD in delivery.paths and all(path.rsplit("/", 1)[1] in old for path in paths):
+                self._note(delivery, RETIRED)
+            else:
+                kept += paths
+        kept += upkeep.live_locations(self.spark, map(self.name, kinds))
+        folders = [*map(self.path, kinds), *inputs, *(self.path("stage", label) for label in STAGED)]
+        return upkeep.sweep(self.spark, folders, kept, before)
+
     # -- reading ----------------------------------------------------------------------------
 
     def star(self, first: date | None = None, last: date | None = None) -> DataFrame:

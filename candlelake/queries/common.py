@@ -15,7 +15,7 @@ from candlelake.operators.facts import build_fact_daily
 from candlelake.plans import market
 from candlelake.queries import ctes
 from candlelake.schemas import empty_table
-from candlelake.session import scratch_path
+from candlelake.session import stored
 from candlelake.sources.generated import date_spine
 
 BATCH_1 = BatchContext(ctes.BATCH_1, datetime.fromisoformat(ctes.LOAD_1))
@@ -35,17 +35,6 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(F.col(name), digits) for name in columns})
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder, for inputs a query reads more than once.
-
-    Trades are then joined and aggregated once, and a lost executor re-reads the table
-    instead of recomputing it.
-    """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def id_checks(id_column: str, above: int = 0) -> list[Column]:
     """What holds for ids whose values are free: unique, and above the ones given out before."""
     uses = F.count(F.lit(1)).over(Window.partitionBy(id_column))

@@ -9,7 +9,7 @@ from candlelake.functions import keys
 from candlelake.functions.dates import RANGE_NAMES
 from candlelake.operators import dims, facts, measures, merge
 from candlelake.operators.audit import add_audit_columns
-from candlelake.operators.surrogate import assign_surrogates, with_position
+from candlelake.operators.surrogate import assign_surrogates, positions
 from candlelake.plans import market
 from candlelake.queries import ctes
 from candlelake.queries.common import (
@@ -221,7 +221,7 @@ def fact_sync_merge_strict(spark, folder):
 @query("surrogate_key_dense", with_ctes("""
     SELECT row_number() OVER (ORDER BY __HashKey) AS RowSID, Symbol, Date FROM silver1"""))
 def surrogate_key_dense(spark, folder):
-    numbered = with_position(stored(silver_of(market.bars(spark, folder)), "silver"), F.col("__HashKey"), "RowSID")
+    numbered = positions(silver_of(market.bars(spark, folder)), F.col("__HashKey"), "RowSID")
     return numbered.select("RowSID", "Symbol", "Date")
 
 

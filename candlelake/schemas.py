@@ -43,7 +43,7 @@ FACT_DAILY = f"""
 SYMBOL_LOOKUP = "Sort INT, Industry STRING, Symbol STRING, Logo STRING"
 TIME_RANGE = "RangeName STRING, SortOrder INT"
 
-# One line per finished step of a delivery; ``Path`` is what the step wrote.
+# One line per finished step of a delivery; ``Path`` is what the step wrote. The last step is its retirement.
 JOURNAL = "Delivery BIGINT, BatchId STRING, Start TIMESTAMP, Step STRING, Path STRING"
 
 TABLES = {

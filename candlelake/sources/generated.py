@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from candlelake import schemas
 from candlelake.functions.dates import TIME_RANGES
-from candlelake.operators.surrogate import with_position
+from candlelake.operators.surrogate import positions
 
 # Granularities a request may ask for.
 INTERVALS = ("1min", "1h", "1day", "1week", "1month")
@@ -56,7 +56,7 @@ def request_plan(symbols: DataFrame, today: date, interval: str = "1day",
     if interval not in INTERVALS:
         raise ValueError(f"no such interval: {interval!r}; known are {', '.join(INTERVALS)}")
     distinct = symbols.select("symbol").distinct()
-    placed = with_position(distinct, F.sha2(F.col("symbol"), 256), "position")
+    placed = positions(distinct, F.sha2(F.col("symbol"), 256), "position")
     return placed.select(
         (F.floor((F.col("position") - 1) / batch_size) + 1).cast("bigint").alias("batch_no"),
         "symbol",

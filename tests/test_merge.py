@@ -12,7 +12,7 @@ from candlelake.functions import keys
 from candlelake.operators.audit import add_audit_columns
 from candlelake.operators.merge import (
     changed_rows, check_source, duplicate_keys, fact_sync, insert_only, not_matched, scd_merge, type1_update)
-from candlelake.operators.surrogate import assign_surrogates, with_position
+from candlelake.operators.surrogate import assign_surrogates, number_missing, positions
 from candlelake.plans.handler import VersionedLoad
 
 DIM = TableSpec("Dim", ("k",), ("a",))
@@ -204,8 +204,17 @@ def test_strict_fact_sync_loses_changed_rows_until_the_next_run(spark, first, se
 
 def test_numbering(spark):
     df = spark.range(1000).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
-    dense = [row[0] for row in with_position(df, F.col("h"), "n").orderBy("h").select("n").collect()]
-    assert dense == list(range(1, 1001))
+    for ranges in (None, 1, 300):
+        dense = [row[0] for row in positions(df, F.col("h"), "n", ranges).orderBy("h").select("n").collect()]
+        assert dense == list(range(1, 1001))
+    assert positions(df.limit(0), F.col("h"), "n").collect() == []
+    some = df.withColumn("id", F.when(F.col("h") < "8", F.crc32("h") + 10 ** 10))
+    rows = number_missing(some, "id", F.col("h"), F.lit(50)).orderBy("h").collect()
+    assert [row.id for row in rows if row.h >= "8"] == list(range(51, 51 + sum(row.h >= "8" for row in rows)))
+    assert all(row.id >= 10 ** 10 for row in rows if row.h < "8")
+    # ties share no number
+    equal = positions(spark.range(100).withColumn("h", F.lit("x")), F.col("h"), "n").select("n").collect()
+    assert sorted(row[0] for row in equal) == list(range(1, 101))
     sparse = [row[0] for row in assign_surrogates(df.repartition(5), "n", F.lit(7)).select("n").collect()]
     assert len(set(sparse)) == 1000 and min(sparse) > 7
 
