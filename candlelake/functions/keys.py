@@ -13,7 +13,8 @@ from candlelake.context import AUDIT_COLUMNS, TableSpec
 def joined_hash(columns: Sequence[str], null_token: str | None = None) -> Column:
     """SHA-256 hex of the columns' text joined by ``|`` in the given order.
 
-    ``concat_ws`` drops NULLs, so without a token ('a', NULL, 'b') and ('a', 'b') collide.
+    ``concat_ws`` drops NULLs, so without a token ('a', NULL, 'b') and ('a', 'b') collide. So do values that
+    hold the separator, ('a|b', 'c') and ('a', 'b|c'); keys that may hold it need another column to differ in.
     """
     parts = [F.col(name).cast("string") for name in columns]
     if null_token is not None:

@@ -155,7 +155,18 @@ def src_model_import_date(spark, folder):
     return tables.import_dim(tables.read_table(spark, path))
 
 
-SEEDS_SQL = ", ".join(str(row) for row in generated.SYMBOL_LOOKUP_ROWS)
+# The seeded rows, written out so that the check does not lean on the table it checks.
+SEEDS_SQL = """
+    (0, 'No Industry', 'VOO', 'https://upload.wikimedia.org/wikipedia/commons/8/81/Vanguard.svg'),
+    (1, 'Tech', 'AAPL', 'https://upload.wikimedia.org/wikipedia/commons/f/fa/Apple_logo_black.svg'),
+    (2, 'Tech', 'MSFT', 'https://upload.wikimedia.org/wikipedia/commons/4/44/Microsoft_logo.svg'),
+    (3, 'Tech', 'NVDA', 'https://upload.wikimedia.org/wikipedia/commons/2/21/Nvidia_logo.svg'),
+    (4, 'Automotive', 'TSLA', 'https://upload.wikimedia.org/wikipedia/commons/b/bd/Tesla_Motors.svg'),
+    (5, 'Automotive', 'TM', 'https://upload.wikimedia.org/wikipedia/commons/7/78/Toyota_Logo.svg'),
+    (6, 'Automotive', 'F', 'https://upload.wikimedia.org/wikipedia/commons/3/3e/Ford_logo_flat.svg'),
+    (7, 'Finance', 'JPM', 'https://upload.wikimedia.org/wikipedia/commons/0/07/J_P_Morgan_Chase_Logo_2008_1.svg'),
+    (8, 'Finance', 'GS', 'https://upload.wikimedia.org/wikipedia/commons/6/61/Goldman_Sachs.svg'),
+    (9, 'Finance', 'MS', 'https://upload.wikimedia.org/wikipedia/commons/3/34/Morgan_Stanley_Logo_1.svg')"""
 
 
 @query("src_seed_symbols", f"""
