@@ -17,7 +17,7 @@ whose last group occurs only once in the corpus cannot repeat; the groups that o
 marked in a bitmap of bounded size, and only segments that hit it travel.
 
 Earlier means a smaller ``doc_id`` (null last), in one document an earlier place. Rows with the same id
-and different texts are ordered by a hash of the text; repeated rows are one document, whose words are
+and different texts are ordered by a digest of 127 bits of the text; repeated rows are one document, whose words are
 not repeats of themselves. A null text has no words.
 """
 
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -43,7 +44,7 @@ RANGES, FULL, FULL_AT_LEAST = 1 << 16, 16, 2048
 RANGE_PIECE = 4096
 GROUPS_PER_PARTITION = 4
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
-NO_ID = np.int64(2**63 - 1)
+NO_ID = 2**63 - 1
 HEADER = np.dtype([("doc", "<u4"), ("place", "<u4"), ("sync", "<u4"), ("windows", "u1")])
 RUN = np.dtype([("doc", "<u4"), ("place", "<u4"), ("windows", "<u4")])
 
@@ -112,13 +113,14 @@ class Block:
     """Words of a block of documents, in order of id; repeated rows once."""
 
     def __init__(self, batch: pa.RecordBatch):
-        ids = batch.column("doc_id").to_pandas().astype("Int64").to_numpy(np.int64, na_value=NO_ID)
+        ids = pc.fill_null(batch.column("doc_id").cast(pa.int64()), NO_ID).to_numpy()
         bodies = batch.column("body").to_numpy()
-        order = np.lexsort((bodies, ids))
-        new = np.concatenate([[True], (np.diff(ids[order]) != 0) | (np.diff(bodies[order]) != 0)])
-        order = order[new] if order.size else order
+        others = batch.column("other").to_numpy()
+        order = by_row(ids, bodies, others)
+        same = [np.diff(column[order]) == 0 for column in (ids, bodies, others)]
+        order = order[np.concatenate([[True], ~np.logical_and.reduce(same)])] if order.size else order
         texts = utf8(batch.column("text"))
-        self.ids, self.bodies = ids[order], bodies[order]
+        self.ids, self.bodies, self.others = ids[order], bodies[order], others[order]
         split = [texts[i].split() for i in order]
         self.words = [word for part in split for word in part]
         self.lengths = np.array([len(part) for part in split], np.int64)
@@ -130,7 +132,15 @@ class Block:
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.hash("text").alias("body"), "text")
+    """Rows with 127 bits of their text and, in the last bit of ``other``, whether they lack an id."""
+    none = F.col("doc_id").isNull().cast("long")
+    return docs.select("doc_id", F.xxhash64("text").alias("body"),
+                       F.shiftleft(F.xxhash64(F.lit(1), "text"), 1).bitwiseOR(none).alias("other"), "text")
+
+
+def by_row(ids: np.ndarray, bodies: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Order of rows: by id, those without one last, then by digest."""
+    return np.lexsort((others, bodies, others & 1, ids))
 
 
 def overfull(docs: DataFrame) -> np.ndarray:
@@ -245,28 +255,27 @@ def _segments(block: Block, full: np.ndarray, shared: np.ndarray, parts: int) ->
 
 def _packed(block: Block, docs: np.ndarray, records: bytes, text: bytes = b"") -> bytes:
     counts = np.array([docs.size, len(records)], np.int64)
-    return b"".join([counts.tobytes(), block.ids[docs].tobytes(), block.bodies[docs].astype(np.int32).tobytes(),
-                     records, text])
+    return b"".join([counts.tobytes(), *(column[docs].astype(np.int64).tobytes() for column in (
+        block.ids, block.bodies, block.others)), records, text])
 
 
-def _unpacked(data: bytes, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+def _unpacked(data: bytes, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Id and digest of the documents (three columns), records, and text."""
     data = zstandard.ZstdDecompressor().decompress(data)
     docs, size = (int(x) for x in np.frombuffer(data, np.int64, 2))
-    ids = np.frombuffer(data, np.int64, docs, 16)
-    bodies = np.frombuffer(data, np.int32, docs, 16 + 8 * docs)
-    at = 16 + 12 * docs
-    return ids, bodies, np.frombuffer(data, kind, size // kind.itemsize, at), data[at + size:]
+    keys = np.frombuffer(data, np.int64, 3 * docs, 16).reshape(3, docs).T
+    at = 16 + 24 * docs
+    return keys, np.frombuffer(data, kind, size // kind.itemsize, at), data[at + size:]
 
 
-def _by_document(ids: np.ndarray, bodies: np.ndarray, runs: np.ndarray) -> pd.DataFrame:
-    """A row per document with its runs as bytes; ``doc`` of the runs is a place in ids."""
+def _by_document(keys: np.ndarray, runs: np.ndarray) -> pd.DataFrame:
+    """A row per document with its runs as bytes; ``doc`` of the runs is a row of keys."""
     first = np.flatnonzero(np.concatenate([[True], np.diff(runs["doc"].astype(np.int64)) != 0])) if runs.size else []
     doc = runs["doc"][first] if runs.size else np.empty(0, np.int64)
     pairs = np.stack([runs["place"], runs["windows"]], axis=1).astype("<u4") if runs.size else np.empty((0, 2), "<u4")
     cuts = [*first, runs.size]
     return pd.DataFrame({
-        "id": pd.array(np.where(ids[doc] == NO_ID, 0, ids[doc]), "Int64").copy() if len(doc) else pd.array([], "Int64"),
-        "no_id": ids[doc] == NO_ID, "hash": bodies[doc].astype(np.int32),
+        "id": np.where(keys[doc, 2] & 1, 0, keys[doc, 0]), "hash": keys[doc, 1], "rest": keys[doc, 2],
         "runs": [pairs[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]})
 
 
@@ -275,40 +284,40 @@ def _subtree(frame: pd.DataFrame) -> pd.DataFrame:
     out = []
     for data in frame["runs"]:
         if data:
-            ids, bodies, runs, _ = _unpacked(data, RUN)
-            out.append(_by_document(ids, bodies, runs))
+            keys, runs, _ = _unpacked(data, RUN)
+            out.append(_by_document(keys, runs))
     blocks = [_unpacked(data, HEADER) for data in frame["segments"] if data]
     if blocks:
-        names, counts = np.unique(np.concatenate([x[2]["sync"] for x in blocks]), return_counts=True)
+        names, counts = np.unique(np.concatenate([x[1]["sync"] for x in blocks]), return_counts=True)
         shared = names[counts > 1]
-        heads, texts = [], []
-        for ids, bodies, head, text in blocks:
+        heads, texts, key = [], [], []
+        for keys, head, text in blocks:
             keep = np.flatnonzero(np.isin(head["sync"], shared))
             lines = text.split(b"\n")
             texts += [lines[i] for i in keep.tolist()]
             own = head[keep]
-            heads.append(pd.DataFrame({"id": ids[own["doc"]], "body": bodies[own["doc"]],
-                                       "place": own["place"].astype(np.int64), "windows": own["windows"].astype(np.int64)}))
-        head = pd.concat(heads, ignore_index=True)
-        order = np.lexsort((head["place"], head["body"], head["id"]))
-        head = head.iloc[order]
-        lengths = head["windows"].to_numpy() + DEPTH - 1
+            heads.append(own)
+            key.append(keys[own["doc"]])
+        head, key = np.concatenate(heads), np.concatenate(key)
+        order = np.argsort(head["place"], kind="stable")
+        order = order[by_row(*key[order].T)]
+        head, key = head[order], key[order]
+        lengths = head["windows"].astype(np.int64) + DEPTH - 1
         words = b" ".join([texts[i] for i in order.tolist()]).split(b" ") if texts else []
         if words:
             codes, _ = pd.factorize(np.array(words, object))
-            key = head[["id", "body"]].to_numpy()
             number = np.cumsum(np.concatenate([[False], (np.diff(key, axis=0) != 0).any(axis=1)]))
             doc = np.repeat(number, lengths)
-            place = np.repeat(head["place"].to_numpy() - (np.cumsum(lengths) - lengths), lengths) + np.arange(doc.size)
+            place = np.repeat(head["place"].astype(np.int64) - (np.cumsum(lengths) - lengths), lengths) + np.arange(doc.size)
             repeat = np.flatnonzero(repeats_of(deep_nodes(codes, rooms(lengths)), doc, place))
             _, first = np.unique(number, return_index=True)
-            out.append(_by_document(key[first, 0], key[first, 1], _runs(doc[repeat], place[repeat])))
-    kinds = {"id": "Int64", "no_id": bool, "hash": np.int32, "runs": object}
+            out.append(_by_document(key[first], _runs(doc[repeat], place[repeat])))
+    kinds = {"id": np.int64, "hash": np.int64, "rest": np.int64, "runs": object}
     return pd.concat(out, ignore_index=True) if out else pd.DataFrame({k: pd.Series([], dtype=v) for k, v in kinds.items()})
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """``id, no_id, hash, runs``: runs of repeated windows (place and number, as bytes) by document and partition."""
+    """``id, hash, rest, runs``: runs of repeated windows (place and number, as bytes) by document and partition."""
     spark = docs.sparkSession
     full = overfull(docs)
     shared = spark.sparkContext.broadcast(bitmap_of(staged(repeated_syncs(docs, full), "syncs")))
@@ -322,15 +331,15 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
                  pa.array([x[2] for x in rows], pa.binary())], ["part", "segments", "runs"])
 
     return _blocks(docs).mapInArrow(deal, "part int, segments binary, runs binary") \
-        .groupBy("part").applyInPandas(_subtree, "id long, no_id boolean, hash int, runs binary")
+        .groupBy("part").applyInPandas(_subtree, "id long, hash long, rest long, runs binary")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: the words outside repeated windows, joined by one space."""
-    runs = repeated_windows(docs).groupBy("id", "no_id", "hash").agg(F.collect_list("runs").alias("runs"))
+    runs = repeated_windows(docs).groupBy("id", "hash", "rest").agg(F.collect_list("runs").alias("runs"))
     rows = _blocks(docs).join(
-        runs, F.coalesce("doc_id", F.lit(0)).eqNullSafe(F.col("id")) & (F.col("doc_id").isNull() == F.col("no_id"))
-        & (F.col("body") == F.col("hash")), "left").select("doc_id", "text", "runs")
+        runs, (F.coalesce("doc_id", F.lit(0)) == F.col("id")) & (F.col("body") == F.col("hash"))
+        & (F.col("other") == F.col("rest")), "left").select("doc_id", "text", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -12,6 +12,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.conftest import ODD
+from pyspark.sql import functions as F
 
 from candlelake.llm import components, exact, simhash, substrings
 
@@ -201,6 +202,21 @@ def test_substrings_of_odd_rows(make):
     assert {(r.doc_id, r.n_removed) for r in twice} == {(1, 0), (None, 30)}
 
 
+def test_substrings_of_texts_whose_short_hashes_collide(spark, make):
+    """Rows of one id (or none) with different texts are told apart by more than 32 bits."""
+    texts = spark.range(120_000).select(F.concat(F.lit("w"), "id").alias("w")).select(
+        F.expr("concat_ws(' ', transform(sequence(1, 64), i -> concat(w, '_', i)))").alias("long"),
+        F.concat("w", F.lit(" "), "w").alias("short"))
+    long, short = texts.select(F.hash("long").alias("h"), "long"), texts.select(F.hash("short").alias("h"), "short")
+    pairs = [tuple(r) for r in long.join(short, "h").select("long", "short").collect()][:4]
+    assert pairs
+    for a, b in pairs:
+        rows = [(None, a), (None, b), (7, a), (7, b), (2**63 - 1, a), (2**63 - 1, b), (3, a + " tail")]
+        got = sorted(((r.doc_id, r.n_words, r.n_removed) for r in substrings.repeat_report(make(rows)).collect()), key=repr)
+        assert got == sorted([(3, 65, 0), *((i, n, n if n == 64 else 0) for i in (7, 2**63 - 1, None) for n in (64, 2))],
+                             key=repr)
+
+
 def test_empty_tables(make):
     none = make([(1, "x")]).limit(0)
     for run in (exact.exact_digests, exact.drop_copies, simhash.near_components, simhash.drop_near_copies,
