@@ -61,11 +61,9 @@ def deep_nodes(codes: np.ndarray, room: np.ndarray) -> np.ndarray:
         if not at.size:
             return out
         pair = node[at] * (other.max() + 1) + other[at + step]
-        order = np.argsort(pair)
-        new = np.concatenate([[True], np.diff(pair[order]) != 0])
-        name = np.cumsum(new) - 1
+        name, _ = pd.factorize(pair)
         many = np.bincount(name)[name] > 1
-        out[at[order[many]]] = name[many]
+        out[at[many]] = name[many]
         return out
 
     count = np.bincount(codes, minlength=1)
