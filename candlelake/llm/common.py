@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder: cuts lineage and survives lost executors."""
+_PASSING: list[list[str]] = []
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are dropped at the end, but for those kept: nothing that goes on may read the others."""
+    held: list[str] = []
+    _PASSING.append(held)
+    try:
+        yield
+    finally:
+        _PASSING.pop()
+        for path in held:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """The rows as a table in the shared folder: cuts lineage and survives lost executors.
+
+    Inside :func:`passing` the table goes with it, or if it is to be kept with what surrounds it.
+    """
     path = scratch_path(df.sparkSession, label)
+    for held in _PASSING[-2:-1] if keep else _PASSING[-1:]:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

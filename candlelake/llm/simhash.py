@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import per_slice, shuffle_parts, small, staged, utf8
+from candlelake.llm.common import passing, per_slice, shuffle_parts, small, staged, utf8
 from candlelake.llm.components import components
 
 SEED, SHINGLE, RADIUS = 42, 4, 4
@@ -55,6 +55,8 @@ VARIANTS_PER_BUCKET = 1 << 21
 SLOT_BITS, COUNTED = 24, 8
 #: Texts of a shingle held against all others in the first round, and how many times more in the next.
 FIRST_HUBS, MORE_HUBS = 4, 8
+#: Slots of shingle counts, a byte each, and the count that stands for that many or more.
+SLOTS, FULL_SLOT = 64, 255
 
 
 def fingerprint(text: bytes, width: int = SHINGLE, tables: int = 1) -> np.ndarray:
@@ -96,22 +98,31 @@ def words_digest(text: bytes) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE, tables: int = 1) -> DataFrame:
+def slot_counts(text: bytes, width: int) -> bytes:
+    """How many different shingles of a text fall in each of ``SLOTS`` slots of their hashes, up to ``FULL_SLOT``."""
+    slots = (shingle_set(text, width) % np.uint64(SLOTS)).astype(np.int64)
+    return np.minimum(np.bincount(slots, minlength=SLOTS), FULL_SLOT).astype(np.uint8).tobytes()
+
+
+def fingerprints(docs: DataFrame, width: int = SHINGLE, tables: int = 1, counted: int = 0) -> DataFrame:
     """``doc_id, body, class, other, prints``: id, a hash of the text that tells repeated ids apart, the two
-    halves of the digest of its words, and the fingerprints."""
+    halves of the digest of its words, and the fingerprints; with ``counted`` also ``slots``, the slot counts of
+    its shingles of so many words."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = utf8(batch.column("text"))
         prints = [fingerprint(text, width, tables) for text in texts]
         halves = np.array([words_digest(text) for text in texts], np.int64).reshape(-1, 2)
         flat = pa.array(np.concatenate(prints).view(np.int64))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1) * tables, pa.int32()), flat)
+        slots = [pa.array([slot_counts(text, counted) for text in texts], pa.binary())] * bool(counted)
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("body"), pa.array(halves[:, 0]), pa.array(halves[:, 1]), lists],
-            ["doc_id", "body", "class", "other", "prints"])
+            [batch.column("doc_id"), batch.column("body"), pa.array(halves[:, 0]), pa.array(halves[:, 1]), lists, *slots],
+            ["doc_id", "body", "class", "other", "prints", *(["slots"] * bool(counted))])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(per_slice(work), f"doc_id {kind}, body long, class long, other long, prints array<long>")
+    return rows.mapInArrow(per_slice(work), f"doc_id {kind}, body long, class long, other long, prints array<long>"
+                           + ", slots binary" * bool(counted))
 
 
 def flips(groups: int, half: int = RADIUS // 2) -> dict[int, np.ndarray]:
@@ -353,8 +364,34 @@ def meetings(posts: DataFrame, found: DataFrame, low: int, high: int, likeness:
     return rooted.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
 
 
+def perhaps_similar(classes: DataFrame, pairs: DataFrame, likeness: float) -> DataFrame:
+    """The pairs that their slot counts do not rule out.
+
+    Two sets share at most the lesser count of every slot, so the sum of these bounds what they share. A full
+    slot bounds nothing: such pairs stay.
+    """
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (np.frombuffer(b"".join(batch.column(side).to_pylist()), np.uint8).reshape(-1, SLOTS)
+                           for side in ("left", "right"))
+            shared = np.minimum(left, right).sum(axis=1, dtype=np.int64)
+            sizes = left.sum(axis=1, dtype=np.int64) + right.sum(axis=1, dtype=np.int64)
+            may = (shared * (1 + likeness) >= likeness * sizes - 1e-6) \
+                | (left == FULL_SLOT).any(axis=1) | (right == FULL_SLOT).any(axis=1)
+            yield batch.select(["a", "b"]).filter(pa.array(may))
+
+    counts = classes.select("class", "slots")
+    both = pairs.join(counts.toDF("a", "left"), "a").join(counts.toDF("b", "right"), "b")
+    return both.select("a", "b", "left", "right").mapInArrow(work, "a long, b long")
+
+
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, likeness: float, width: int) -> DataFrame:
-    """The pairs of classes whose representatives are similar, stored."""
+    """The pairs of classes whose representatives are similar, stored.
+
+    Slot counts rule most pairs out before any text is read; the others are held against each other by all
+    their shingles.
+    """
+    pairs = staged(perhaps_similar(classes, pairs, likeness), "perhaps")
     needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
     wanted = staged(classes.join(needed, "class").select(
         "class", F.col("own.doc_id").alias("id"), F.col("own.body").alias("hash")), "wanted")
@@ -376,11 +413,12 @@ def similar_groups(docs: DataFrame, likeness: float = LIKENESS, width: int = WOR
     Rows with the same sequence of words are one class, represented by its smallest id; candidate pairs of
     classes are verified by the shingles of their representatives.
     """
-    rows = staged(fingerprints(docs, candidate_width, tables), "prints")
+    rows = staged(fingerprints(docs, candidate_width, tables, width), "prints")
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
     same = F.when(F.min("other") == F.max("other"), F.min(own)).otherwise(
         F.raise_error(F.lit("two texts share half a digest: change SEED")))
-    classes = staged(rows.groupBy("class").agg(same.alias("own"), F.first("prints").alias("prints")), "classes")
+    classes = staged(rows.groupBy("class").agg(same.alias("own"), F.first("prints").alias("prints"),
+                                                   F.first("slots").alias("slots")), "classes")
     found = components(verified(docs, classes, fingerprint_pairs(classes), likeness, width))
     posts = met_posts(docs, width, likeness)
     most = posts.agg(F.coalesce(F.max("many"), F.lit(0))).first()[0]
@@ -417,7 +455,8 @@ def near_components(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each group of similar texts, the one with the smallest id; columns as they were."""
     own = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("body").alias("text_hash"))
-    stay = staged(similar_groups(docs).groupBy("root").agg(F.min(own).alias("stay")).select("stay.*"), "stay")
+    with passing(docs.sparkSession):
+        stay = staged(similar_groups(docs).groupBy("root").agg(F.min(own).alias("stay")).select("stay.*"), "stay", keep=True)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
     same = rows.join(stay.select(F.col("id").alias("of"), F.col("text_hash").alias("hash")),
                      F.col("id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("hash")))
