@@ -277,7 +277,7 @@ def repeat_levels(docs: DataFrame, width: int) -> np.ndarray:
             for text in utf8(batch.column("text")):
                 held.append(shingle_set(text, width) >> np.uint64(64 - SLOT_BITS))
                 size += held[-1].size
-                if size > 1 << 22:
+                if size > 1 << 20:
                     yield counted()
                     held, size = [np.empty(0, np.uint64)], 0
         yield counted()
