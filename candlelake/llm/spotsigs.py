@@ -2,8 +2,8 @@
 
 An anchor is a common word; a spot signature is an anchor with the chain of the next content words
 (words that are no anchors). Running text has many, navigation and lists few. The set of hashed
-signatures is the fingerprint. Two sets are compared by Jaccard likeness, pruned by length: sets whose
-lengths differ too much cannot reach the threshold and are not intersected. For a similarity join sets
+signatures is the fingerprint. Two given sets are compared by their Jaccard likeness. For a similarity join
+it is pruned by length: sets whose lengths differ too much cannot reach the threshold and are not intersected; sets
 are partitioned by length so that only neighbouring partitions can hold similar sets, and meet in one
 of the rarest signatures of either.
 
@@ -28,7 +28,6 @@ ANCHORS = (
     "dans", "de", "des", "du", "est", "et", "la", "le", "les", "que", "qui", "sur", "un", "une",
     "con", "del", "el", "en", "las", "los", "para", "por", "se", "su", "y")
 CHAIN, REACH, FEW = 2, 8, 4
-LEAST_LIKENESS = 0.1
 
 
 def words(text: Column) -> Column:
@@ -53,11 +52,16 @@ def written(spots: str) -> Column:
     return F.concat(F.size(spots).cast("string"), F.lit(":"), F.lower(F.array_join(hexes, "")))
 
 
-def pruned_jaccard(left: str, right: str, threshold: float = LEAST_LIKENESS) -> Column:
-    """Jaccard likeness of two sets, 0 if their lengths alone keep it below the threshold."""
-    a, b = F.size(left), F.size(right)
+def jaccard(left: str, right: str) -> Column:
+    """Likeness of two sets."""
     both = F.size(F.array_intersect(left, right))
-    return F.when(F.least(a, b) < threshold * F.greatest(a, b), F.lit(0.0)).otherwise(both / (a + b - both))
+    return both / (F.size(left) + F.size(right) - both)
+
+
+def pruned_jaccard(left: str, right: str, threshold: float) -> Column:
+    """Likeness of two sets, 0 if their lengths alone keep it below the threshold; such sets are not intersected."""
+    a, b = F.size(left), F.size(right)
+    return F.when(F.least(a, b) < threshold * F.greatest(a, b), F.lit(0.0)).otherwise(jaccard(left, right))
 
 
 def with_next(rows: DataFrame, *columns: str) -> DataFrame:
@@ -95,8 +99,7 @@ def edited_report(docs: DataFrame) -> DataFrame:
     return done.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), written("spots").alias("fingerprint"),
         written("edited_spots").alias("edited_fingerprint"),
-        pruned_jaccard("spots", "edited_spots").alias("near_edited"),
-        pruned_jaccard("spots", "next_spots").alias("near_next"))
+        jaccard("spots", "edited_spots").alias("near_edited"), jaccard("spots", "next_spots").alias("near_next"))
 
 
 def fingerprint_classes(docs: DataFrame) -> DataFrame:

@@ -116,8 +116,6 @@ def test_spot_signatures(documents, texts):
 
 
 def likeness(a, b):
-    if min(len(a), len(b)) < spotsigs.LEAST_LIKENESS * max(len(a), len(b)):
-        return 0.0
     return len(a & b) / len(a | b)
 
 
