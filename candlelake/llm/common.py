@@ -24,18 +24,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Spark's setting that removes the shuffle files of an execution at its end, not when the driver next collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _PASSING: list[list[str]] = []
 
 
 @contextmanager
 def passing(spark: SparkSession) -> Iterator[None]:
-    """Tables staged inside are dropped at the end, but for those kept: nothing that goes on may read the others."""
+    """Tables staged inside are dropped at the end, but for those kept: nothing that goes on may read the others.
+
+    What is staged is written, so the shuffle files it came from go with each execution inside. The session's own
+    setting for that comes back at the end.
+    """
     held: list[str] = []
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     _PASSING.append(held)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
         yield
     finally:
         _PASSING.pop()
+        spark.conf.set(SHUFFLE_CLEANUP, before)
         for path in held:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
