@@ -38,11 +38,12 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import passing, per_slice, shuffle_parts, small, staged, utf8
+from candlelake.llm.common import SLICE_BYTES, passing, per_slice, shuffle_parts, small, staged, utf8
 from candlelake.llm.components import components
 
 SEED, SHINGLE, RADIUS = 42, 4, 4
@@ -55,8 +56,9 @@ VARIANTS_PER_BUCKET = 1 << 21
 SLOT_BITS, COUNTED = 24, 8
 #: Texts of a shingle held against all others in the first round, and how many times more in the next.
 FIRST_HUBS, MORE_HUBS = 4, 8
-#: Slots of shingle counts, a byte each, and the count that stands for that many or more.
-SLOTS, FULL_SLOT = 64, 255
+#: Slots of shingle counts, a byte each: at least and at most so many, as powers of two between, and the count that
+#: stands for that many or more.
+FEWEST_SLOTS, MOST_SLOTS, FULL_SLOT = 1 << 6, 1 << 14, 255
 
 
 def fingerprint(text: bytes, width: int = SHINGLE, tables: int = 1) -> np.ndarray:
@@ -99,9 +101,15 @@ def words_digest(text: bytes) -> tuple[int, int]:
 
 
 def slot_counts(text: bytes, width: int) -> bytes:
-    """How many different shingles of a text fall in each of ``SLOTS`` slots of their hashes, up to ``FULL_SLOT``."""
-    slots = (shingle_set(text, width) % np.uint64(SLOTS)).astype(np.int64)
-    return np.minimum(np.bincount(slots, minlength=SLOTS), FULL_SLOT).astype(np.uint8).tobytes()
+    """How many different shingles of a text fall in each slot of their hashes, up to ``FULL_SLOT``.
+
+    A text has a slot for one to two of its shingles, within the bounds: more of them in a slot would rule out
+    little, as any two texts fill such slots alike.
+    """
+    own = shingle_set(text, width)
+    slots = min(MOST_SLOTS, max(FEWEST_SLOTS, (1 << int(own.size).bit_length()) // 2))
+    counts = np.bincount((own % np.uint64(slots)).astype(np.int64), minlength=slots)
+    return np.minimum(counts, FULL_SLOT).astype(np.uint8).tobytes()
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE, tables: int = 1, counted: int = 0) -> DataFrame:
@@ -364,6 +372,17 @@ def meetings(posts: DataFrame, found: DataFrame, low: int, high: int, likeness:
     return rooted.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
 
 
+def ruled_out(left: np.ndarray, right: np.ndarray, likeness: float) -> np.ndarray:
+    """Which pairs of slot counts, a row each, are of sets less similar than that."""
+    full = (left == FULL_SLOT).any(axis=1) | (right == FULL_SLOT).any(axis=1)
+    slots = min(left.shape[1], right.shape[1])
+    # slots are powers of two: those of the larger vector fall together into those of the smaller
+    left, right = (x.reshape(len(x), -1, slots).sum(axis=1, dtype=np.uint16) for x in (left, right))
+    shared = np.minimum(left, right).sum(axis=1, dtype=np.int64)
+    sizes = left.sum(axis=1, dtype=np.int64) + right.sum(axis=1, dtype=np.int64)
+    return ~full & (shared * (1 + likeness) < likeness * sizes - 1e-6)
+
+
 def perhaps_similar(classes: DataFrame, pairs: DataFrame, likeness: float) -> DataFrame:
     """The pairs that their slot counts do not rule out.
 
@@ -372,12 +391,17 @@ def perhaps_similar(classes: DataFrame, pairs: DataFrame, likeness: float) -> Da
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(side).to_pylist()), np.uint8).reshape(-1, SLOTS)
-                           for side in ("left", "right"))
-            shared = np.minimum(left, right).sum(axis=1, dtype=np.int64)
-            sizes = left.sum(axis=1, dtype=np.int64) + right.sum(axis=1, dtype=np.int64)
-            may = (shared * (1 + likeness) >= likeness * sizes - 1e-6) \
-                | (left == FULL_SLOT).any(axis=1) | (right == FULL_SLOT).any(axis=1)
+            sides = [batch.column(side) for side in ("left", "right")]
+            many = [pc.binary_length(side).to_numpy().astype(np.int64) for side in sides]
+            shape, may = many[0] * (2 * MOST_SLOTS) + many[1], np.ones(batch.num_rows, bool)
+            for one in np.unique(shape):
+                same = np.flatnonzero(shape == one)
+                step = max(1, SLICE_BYTES // max(many[0][same[0]], many[1][same[0]]))
+                for low in range(0, same.size, step):
+                    at = same[low:low + step]
+                    left, right = (np.frombuffer(b"".join(side.take(pa.array(at)).to_pylist()), np.uint8).reshape(at.size, -1)
+                                   for side in sides)
+                    may[at] = ~ruled_out(left, right, likeness)
             yield batch.select(["a", "b"]).filter(pa.array(may))
 
     counts = classes.select("class", "slots")
