@@ -477,11 +477,19 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each group of similar texts, the one with the smallest id; columns as they were."""
-    own = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("body").alias("text_hash"))
+    """One document of each group of similar texts, the one with the smallest id; columns as they were.
+
+    Of repeated rows (the same id and text) one stays.
+    """
+    own = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("body").alias("text_hash"), "times")
     with passing(docs.sparkSession):
-        stay = staged(similar_groups(docs).groupBy("root").agg(F.min(own).alias("stay")).select("stay.*"), "stay", keep=True)
+        least = similar_groups(docs).groupBy("root", "doc_id", "body").agg(F.count("*").alias("times")) \
+            .groupBy("root").agg(F.min(own).alias("stay"))
+        stay = staged(least.select("stay.*"), "stay", keep=True)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
-    same = rows.join(stay.select(F.col("id").alias("of"), F.col("text_hash").alias("hash")),
+    same = rows.join(stay.select(F.col("id").alias("of"), F.col("text_hash").alias("hash"), "times"),
                      F.col("id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("hash")))
-    return same.dropDuplicates(["id", "text_hash"]).select("row.*")
+    once = same.filter("times = 1")
+    if not stay.filter("times > 1").isEmpty():
+        once = once.unionByName(same.filter("times > 1").dropDuplicates(["id", "text_hash"]))
+    return once.select("row.*")
