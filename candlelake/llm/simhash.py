@@ -48,7 +48,7 @@ from candlelake.llm.components import components
 
 SEED, SHINGLE, RADIUS = 42, 4, 4
 #: Similar texts: five-word shingles, likeness, and the fingerprints that find candidates for it.
-WORDS, LIKENESS, TABLES, CANDIDATE_WORDS = 5, 0.8, 6, 2
+WORDS, LIKENESS, TABLES, CANDIDATE_WORDS = 5, 0.8, 2, 2
 HALF_CHUNK = 1 << 17
 ODD, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 VARIANTS_PER_BUCKET = 1 << 21
