@@ -4,7 +4,8 @@ No piece of such a model crosses from an ordinary character to a whitespace mark
 into chunks (markers and the word after them) that can be segmented apart. Every task keeps a table
 of the distinct chunks it has met, segments each of them once, and joins the ids back to the texts by
 position. The table lives in the task: exchanging every position of the corpus for a global table
-would move several times the text itself. It is emptied when it reaches ``TABLE_CHUNKS``.
+would move several times the text itself. It is emptied once it holds more than ``TABLE_BYTES``, however long
+its chunks are.
 
 Null texts count as empty; an empty text has no ids and decodes to an empty text. Rows come back as
 often as they come in.
@@ -13,6 +14,7 @@ often as they come in.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +28,14 @@ from candlelake.llm.common import slices, worker_state
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
-TABLE_CHUNKS = 300_000
+#: Memory of a table, and what an entry takes besides its chunk and its ids.
+TABLE_BYTES, ENTRY_BYTES = 64 << 20, 120
 
 
 class ChunkTable:
     """Ids of distinct chunks, kept flat: chunk -> code, and each code's slice of the ids."""
 
-    def __init__(self, model: str, limit: int = TABLE_CHUNKS):
+    def __init__(self, model: str, limit: int = TABLE_BYTES):
         self.processor = sentencepiece.SentencePieceProcessor(model_file=model)
         pieces = [self.processor.id_to_piece(i) for i in range(self.processor.get_piece_size())]
         if any(MARK in piece.lstrip(MARK) for piece in pieces):
@@ -47,6 +50,7 @@ class ChunkTable:
 
     def clear(self) -> None:
         self.codes: dict[str, int] = {}
+        self.held = 0
         self.flat = np.empty(1024, np.int32)
         self.first = np.zeros(1025, np.int64)
 
@@ -65,11 +69,12 @@ class ChunkTable:
             self.first = np.concatenate([self.first, np.empty_like(self.first)])
         self.flat[used:ends[-1]] = [i for ids in found for i in ids]
         self.first[low + 1:low + 1 + len(new)] = ends
+        self.held += sum(map(sys.getsizeof, new)) + ENTRY_BYTES * len(new) + 4 * int(ends[-1] - used)
         self.codes.update(zip(new, range(low, low + len(new)), strict=True))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and where each text's ids start (one more entry at the end)."""
-        if len(self.codes) > self.limit:
+        if self.held > self.limit:
             self.clear()
         split = [CHUNK.findall(MARK + text.replace(" ", MARK)) if text else [] for text in texts]
         chunks = [chunk for part in split for chunk in part]
