@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from candlelake.llm.common import per_slice, utf8, worker_state
 
 MARK = "▁"
-KNOWN_WORDS = 300_000
+#: Words a task keeps, and the longest one it keeps, in bytes; longer ones are matched again in every slice.
+KNOWN_WORDS, LONGEST_KNOWN = 300_000, 64
 
 
 class LongestMatch:
@@ -96,10 +97,12 @@ def token_counts(docs: DataFrame, model: str) -> DataFrame:
             known.clear()
         split = [text.split() for text in utf8(batch.column("text"))]
         words = [word for part in split for word in part]
-        for word in set(words):
-            if word not in known:
-                known[word] = matcher.count(MARK + word.decode())
+        new = set(words).difference(known)
+        known.update((word, matcher.count(MARK + word.decode())) for word in new)
         counts = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        for word in new:
+            if len(word) > LONGEST_KNOWN:
+                del known[word]
         bounds = np.cumsum([0, *map(len, split)])
         tokens = np.diff(np.concatenate([[0], np.cumsum(np.maximum(counts, 1))])[bounds])
         unknown = np.diff(np.concatenate([[0], np.cumsum(counts == 0)])[bounds])
