@@ -15,7 +15,9 @@ one with the next smaller ``doc_id`` (null last, repeated ids by text), after th
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ ANCHORS = (
     "dans", "de", "des", "du", "est", "et", "la", "le", "les", "que", "qui", "sur", "un", "une",
     "con", "del", "el", "en", "las", "los", "para", "por", "se", "su", "y")
 CHAIN, REACH, FEW = 2, 8, 4
+MOST_RANGES = 1 << 14
 
 
 def words(text: Column) -> Column:
@@ -46,6 +49,11 @@ def signatures(words: str, text: str, chain: int = CHAIN, reach: int = REACH,
     return F.sort_array(F.when(F.size(spots) >= FEW, spots).otherwise(F.array_union(spots, alone)))
 
 
+def spotted(rows: DataFrame) -> DataFrame:
+    """The rows with ``spots``, the signatures of their texts."""
+    return rows.withColumn("words", words(F.col("text"))).withColumn("spots", signatures("words", "text")).drop("words")
+
+
 def written(spots: str) -> Column:
     """A fingerprint as text: number of signatures, and each of them in hex."""
     hexes = F.transform(spots, lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit((1 << 32) - 1))), 8, "0"))
@@ -64,34 +72,54 @@ def pruned_jaccard(left: str, right: str, threshold: float) -> Column:
     return F.when(F.least(a, b) < threshold * F.greatest(a, b), F.lit(0.0)).otherwise(jaccard(left, right))
 
 
-def with_next(rows: DataFrame, *columns: str) -> DataFrame:
-    """Adds ``next``: the named columns (text first) of the next document in descending order of id.
+def id_bounds(rows: DataFrame) -> list[int]:
+    """Lower bounds of ranges of ``doc_id`` that hold about as many rows each, whatever the ids.
+
+    There are about as many ranges as a range has rows, ``MOST_RANGES`` at most.
+    """
+    ranges = min(MOST_RANGES, max(1, math.isqrt(rows.count())))
+    shares = [k / ranges for k in range(1, ranges)]
+    found = rows.agg(F.percentile_approx("doc_id", shares, 4 * ranges)).first()[0] if shares else None
+    return sorted(set(found or []))
+
+
+def range_of(bounds: list[int], doc_id: str = "doc_id") -> Column:
+    """How many of the bounds are not above the id, by halving; -1 for a null."""
+    sorted_bounds = F.lit(np.array(bounds, np.int64))
+
+    def halve(low: Column, step: Column) -> Column:
+        above = low + step
+        return F.when((above <= len(bounds)) & (F.get(sorted_bounds, above - 1) <= F.col(doc_id)), above).otherwise(low)
+
+    steps = F.lit(np.array([1 << k for k in reversed(range(len(bounds).bit_length()))], np.int32))
+    place = F.aggregate(steps, F.lit(0), halve) if bounds else F.lit(0)
+    return F.when(F.col(doc_id).isNull(), F.lit(-1)).otherwise(place)
+
+
+def with_next(rows: DataFrame, add: Callable[[DataFrame], DataFrame], *columns: str) -> DataFrame:
+    """The rows with what ``add`` computes, and ``next``: the named columns (text first) of the next document in
+    descending order of id.
 
-    Ids fall into about as many ranges as a range has rows. Each range is ordered by itself, with the
-    first row of the range below put after its last, so the texts are exchanged once.
+    Ids fall into ranges of about as many rows. Each range is ordered by itself, with the
+    first row of the range below put after its last, so the texts are exchanged once, and ``add`` runs once a row.
     """
-    low, high, count = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    ranges = max(1, math.isqrt(count))
-    width = (float(high or 0) - float(low or 0)) / ranges or 1.0
-    place = F.coalesce(F.floor((F.col("doc_id").cast("double") - float(low or 0)) / width), F.lit(-1))
-    rows = rows.withColumn("range", place)
+    rows = rows.withColumn("range", range_of(id_bounds(rows)))
     heads = staged(rows.groupBy("range").agg(F.max("doc_id").alias("head")), "heads")
     above = Window.orderBy(F.desc("range"))
     owners = heads.withColumn("owner", F.coalesce(F.lag("range").over(above), F.min("range").over(Window.partitionBy())))
     owners = staged(owners.withColumnRenamed("range", "of"), "owners")
     first = rows.join(small(owners), (F.col("range") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("head"))) \
-        .groupBy("owner").agg(F.min(F.struct(*columns)).alias("head")) \
-        .select(F.col("owner").alias("range"), "head.*", F.lit(True).alias("added"))
+        .groupBy("owner").agg(F.min("text").alias("text")) \
+        .select(F.col("owner").alias("range"), "text", F.lit(True).alias("added"))
+    both = add(rows.withColumn("added", F.lit(False)).unionByName(first, allowMissingColumns=True))
     order = Window.partitionBy("range").orderBy("added", F.col("doc_id").desc_nulls_last(), "text")
-    return rows.withColumn("added", F.lit(False)).unionByName(first, allowMissingColumns=True) \
-        .withColumn("next", F.lead(F.struct(*columns)).over(order)).filter(~F.col("added")).drop("added", "range")
+    return both.withColumn("next", F.lead(F.struct(*columns)).over(order)).filter(~F.col("added")).drop("added", "range")
 
 
 def edited_report(docs: DataFrame) -> DataFrame:
     """One row per document: its fingerprint, that of its edited text, and both likenesses."""
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    rows = rows.withColumn("words", words(F.col("text"))).withColumn("spots", signatures("words", "text")).drop("words")
-    both = with_next(rows, "text", "spots").withColumn("n_chars", F.length("text").cast("long"))
+    both = with_next(rows, spotted, "text", "spots").withColumn("n_chars", F.length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - cut), F.substring("next.text", F.lit(1), cut))
     both = both.select("doc_id", "n_chars", "spots", edited.alias("edited"), F.col("next.spots").alias("next_spots"))
