@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import pairwise
 
 import pytest
 import sentencepiece
@@ -147,6 +148,22 @@ def test_spot_signatures_of_odd_rows(make):
     assert len(prints) == len({" ".join(re.findall(r"\w+", (t or "").lower())) or (t or "") for _, t in ODD})
 
 
+@pytest.mark.parametrize("ids", [
+    [*range(300), 1 << 62, -(1 << 62)], [k ** 6 for k in range(200)], [7] * 50 + [*range(8, 60)], [-3], [None, 4, None, 2]])
+def test_ranges_hold_about_as_many_rows_whatever_the_ids(make, ids):
+    rows = [(i, f"text {k} of the many on a shelf {k * 7}") for k, i in enumerate(ids)]
+    docs = make(rows).select("doc_id", "text")
+    placed = docs.withColumn("range", spotsigs.range_of(spotsigs.id_bounds(docs))).collect()
+    known = sorted((r for r in placed if r.doc_id is not None), key=lambda r: r.doc_id)
+    assert all(a.range <= b.range and (a.doc_id != b.doc_id or a.range == b.range) for a, b in pairwise(known))
+    most = max(Counter(r.range for r in placed).values())
+    assert most <= max(3 * len(ids) ** 0.5, max(Counter(ids).values()) + 3 * len(ids) ** 0.5)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    after = {row: following[1] for row, following in zip(order, order[1:] + order[:1], strict=True)}
+    got = spotsigs.with_next(docs, spotsigs.spotted, "text", "spots").collect()
+    assert {(r.doc_id, r.text): r.next.text for r in got} == after and len(got) == len(rows)
+
+
 def test_pieces_are_the_library_s(documents, texts, make):
     library = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
     odd = make([(i, t) for i, (_, t) in enumerate(ODD)])
@@ -169,6 +186,23 @@ def test_chunk_table_starts_again_when_full():
         assert ids.tolist() == 2 * library.encode(text) and bounds[1] == len(library.encode(text))
 
 
+def test_chunk_table_is_bounded_by_its_bytes():
+    table = pieces.ChunkTable(queries.piece_model(), limit=1 << 20)
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
+    for k in range(40):
+        text = chr(0x4E00 + k) * 100_000
+        assert table.encode([text])[0].tolist() == library.encode(text)
+        assert table.held <= (1 << 20) + 1_000_000 and len(table.codes) < 40
+
+
+def test_long_words_are_counted_but_not_kept(make, monkeypatch):
+    monkeypatch.setattr(token_counts, "LONGEST_KNOWN", 5)
+    got = token_counts.token_counts(make([(1, "short longerword longerword"), (2, "longerword short")]), queries.piece_model())
+    counts = {r.doc_id: (r.n_words, r.n_tokens) for r in got.collect()}
+    one = {w: token_counts.token_counts(make([(1, w)]), queries.piece_model()).first().n_tokens for w in ("short", "longerword")}
+    assert counts == {1: (3, one["short"] + 2 * one["longerword"]), 2: (2, one["short"] + one["longerword"])}
+
+
 def greedy(word, vocabulary):
     count = at = 0
     while at < len(word):
