@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -85,6 +86,13 @@ def worker_state() -> dict:
     return vars(sys.modules.setdefault("candlelake_worker", types.ModuleType("candlelake_worker")))
 
 
+def give_back() -> None:
+    """Memory that Arrow and the C library of this worker hold unused goes back: the worker waits for more tasks."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def utf8(texts: pa.Array) -> list[bytes]:
     """The texts as UTF-8, null as empty."""
     return [text or b"" for text in texts.cast(pa.binary()).to_pylist()]
@@ -92,7 +100,10 @@ def utf8(texts: pa.Array) -> list[bytes]:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES,
            row_bytes: int = 0) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about so many text bytes, one row at least; a row counts ``row_bytes`` besides."""
+    """The same rows in batches of about so many text bytes, one row at least; a row counts ``row_bytes`` besides.
+
+    What the worker does not need any more goes back at the end.
+    """
     for batch in batches:
         sizes = np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
         step = np.cumsum(sizes + row_bytes) // limit
@@ -100,6 +111,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         for low, high in zip([0, *edges], [*edges, batch.num_rows], strict=True):
             if high > low:
                 yield batch.slice(low, high - low)
+    batch = None
+    give_back()
 
 
 def per_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[..., Iterator[pa.RecordBatch]]:

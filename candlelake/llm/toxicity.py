@@ -27,7 +27,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import slices, staged
+from candlelake.llm.common import give_back, slices, staged
 
 SIZES = (3, 4, 5, 6)
 MOST_LABELLED, FEATURES, LEAST_DOCUMENTS, SMOOTHING = 12_000, 16_384, 3, 1.0
@@ -181,6 +181,7 @@ def toxicity(model: Model, text: Column) -> Column:
         step = np.cumsum([len(x or "") + ROW_BYTES for x in values]) // BLOCK_BYTES if len(values) else np.empty(0)
         edges = [0, *(np.flatnonzero(np.diff(step)) + 1), len(values)]
         parts = [model.scores([x or "" for x in values[a:b]]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        give_back()
         return pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
     return score(text)
