@@ -27,6 +27,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 #: Spark's setting that removes the shuffle files of an execution at its end, not when the driver next collects garbage.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's bound of what goes to a Python worker at once; by default 10,000 rows whatever their texts, or 64 MB.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _PASSING: list[list[str]] = []
 
 
@@ -34,18 +36,21 @@ _PASSING: list[list[str]] = []
 def passing(spark: SparkSession) -> Iterator[None]:
     """Tables staged inside are dropped at the end, but for those kept: nothing that goes on may read the others.
 
-    What is staged is written, so the shuffle files it came from go with each execution inside. The session's own
-    setting for that comes back at the end.
+    What is staged is written, so the shuffle files it came from go with each execution inside; what goes to Python
+    goes in batches of the size of a slice. The session's own settings for these come back at the end.
     """
     held: list[str] = []
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    inside = {SHUFFLE_CLEANUP: "true", BATCH_BYTES: str(SLICE_BYTES)}
+    before = {key: spark.conf.get(key) for key in inside}
     _PASSING.append(held)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    for key, value in inside.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
         _PASSING.pop()
-        spark.conf.set(SHUFFLE_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
         for path in held:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
