@@ -37,9 +37,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, source, text, ids`` of every row of the mix."""
-    return pieces.encode_texts(docs, piece_model(), decode=False).select(
-        "row.doc_id", "row.source", "row.text", "ids")
+    """``doc_id, source, text, ids, decoded`` of every row of the mix: its ids, and the text they decode to."""
+    return pieces.encode_texts(docs, piece_model()).select(
+        "row.doc_id", "row.source", "row.text", "ids", "decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [

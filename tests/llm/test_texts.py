@@ -414,3 +414,14 @@ def test_pipeline_of_odd_rows(spark, make, tmp_path, folder):
         else:
             # equal but for white space: the least id stays
             assert {10**6 + 5, 10**6 + 6}.isdisjoint(ids) and ids <= {r.doc_id for r in docs.collect()}
+
+
+def test_pipeline_decodes_what_it_encodes(spark, make, folder):
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
+    rows = corpus_pipeline.encode_pieces(spark, make(ODD), folder)
+    assert rows.columns == ["doc_id", "source", "text", "ids", "decoded"]
+    rows = rows.collect()
+    assert len(rows) == len(ODD)
+    for r in rows:
+        ids = library.encode(r.text or "")
+        assert r.ids == ids and r.decoded == library.decode(ids)
