@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,9 @@ from candlelake.llm.common import slices, worker_state
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 #: Memory of a table, and what an entry takes besides its chunk and its ids.
-TABLE_BYTES, ENTRY_BYTES = 64 << 20, 120
+TABLE_BYTES, ENTRY_BYTES = 16 << 20, 120
+#: Text a task works on at a time: its chunks, codes and ids take some forty times as much.
+BLOCK_BYTES = 1 << 19
 
 
 class ChunkTable:
@@ -100,21 +102,30 @@ def chunk_table(model: str) -> ChunkTable:
     return kept["chunks", model]
 
 
-def encode_texts(docs: DataFrame, model: str, decode: bool = True) -> DataFrame:
-    """``(row, ids, decoded)``: the input row as a struct, its ids, and the text they decode to.
-
-    ``row`` keeps every column of ``docs``, whatever the names; only ``text`` is read.
-    """
+def encoder(model: str, decode: bool, at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A mapInArrow function from ``row`` to ``row, ids, decoded``; field ``at`` of a row is its text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = chunk_table(model)
-        for batch in slices(batches):
+        rows = (batch.column("row") for batch in batches)
+        read = (pa.RecordBatch.from_arrays([row, row.field(at)], ["row", "text"]) for row in rows)
+        for batch in slices(read, limit=BLOCK_BYTES):
             ids, bounds = pieces.encode([text or "" for text in batch.column("text").to_pylist()])
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             texts = pa.array(pieces.decode(ids, bounds) if decode else [None] * batch.num_rows, pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("row"), lists, texts], ["row", "ids", "decoded"])
 
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    return rows.mapInArrow(run, StructType([
+    return run
+
+
+def encode_texts(docs: DataFrame, model: str, decode: bool = True) -> DataFrame:
+    """``(row, ids, decoded)``: the input row as a struct, its ids, and the text they decode to.
+
+    ``row`` keeps every column of ``docs``, whatever the names; only ``text`` is read, and it travels once.
+    """
+    names = docs.columns
+    at = names.index("text") if "text" in names else [name.lower() for name in names].index("text")
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.mapInArrow(encoder(model, decode, at), StructType([
         rows.schema["row"], StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]))
 
 

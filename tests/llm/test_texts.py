@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import pairwise
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from check import compare, connect
@@ -195,6 +197,28 @@ def test_chunk_table_is_bounded_by_its_bytes():
         assert table.held <= (1 << 20) + 1_000_000 and len(table.codes) < 40
 
 
+def test_texts_are_encoded_in_small_blocks():
+    words = [chr(97 + k % 26) * (k % 7 + 1) for k in range(100)]
+    texts = [" ".join(words[(i * k) % 100] for k in range(1_000)) for i in range(1_000)]
+    rows = pa.StructArray.from_arrays([pa.array(range(1_000)), pa.array(texts)], ["doc_id", "text"])
+    run = pieces.encoder(queries.piece_model(), True, 1)
+    assert len(list(run(iter([pa.RecordBatch.from_arrays([rows[:2]], ["row"])])))) == 1
+    tracemalloc.start()
+    try:
+        found = [(batch.column("row").field(0).to_pylist(), batch.column("decoded").to_pylist())
+                 for batch in run(iter([pa.RecordBatch.from_arrays([rows], ["row"])]))]
+        assert tracemalloc.get_traced_memory()[1] < 80 << 20
+    finally:
+        tracemalloc.stop()
+    assert [i for ids, _ in found for i in ids] == list(range(1_000)) and [t for _, part in found for t in part] == texts
+
+
+def test_pieces_take_a_text_column_of_any_case(spark):
+    docs = spark.createDataFrame([(1, "one two", 3), (2, None, 4)], "doc_id long, Text string, ids int")
+    rows = pieces.encode_texts(docs, queries.piece_model()).orderBy("row.doc_id").collect()
+    assert [(r.row.Text, r.row.ids, r.decoded) for r in rows] == [("one two", 3, "one two"), (None, 4, "")]
+
+
 def test_long_words_are_counted_but_not_kept(make, monkeypatch):
     monkeypatch.setattr(token_counts, "LONGEST_KNOWN", 5)
     got = token_counts.token_counts(make([(1, "short longerword longerword"), (2, "longerword short")]), queries.piece_model())
