@@ -31,8 +31,8 @@ from candlelake.llm.common import give_back, slices, staged
 
 SIZES = (3, 4, 5, 6)
 MOST_LABELLED, FEATURES, LEAST_DOCUMENTS, SMOOTHING = 12_000, 16_384, 3, 1.0
-# Text and rows a task works on at a time: a row of features takes 16 KB.
-WINDOW, BLOCK_BYTES, ROW_BYTES = 1 << 18, 1 << 19, 2048
+# Text and rows a task works on at a time: n-grams to sort take some 300 times their text, a row of features 16 KB.
+WINDOW, COUNT_BYTES, BLOCK_BYTES, ROW_BYTES = 1 << 16, 1 << 17, 1 << 19, 2048
 FOLDS, HELD_OUT = 5, 0
 MIX, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -79,25 +79,27 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
     return staged(found.repartition(16, "doc_id").select("text", "toxic"), "labelled")
 
 
+def block_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``gram, n_toxic, n_clean`` of each block of texts on its own."""
+    for batch in slices(batches, limit=COUNT_BYTES):
+        codes, owner = prepared(batch.column("text").to_pylist())
+        toxic = batch.column("toxic").to_numpy()
+        every, where = (np.concatenate(x) for x in zip(*grams(codes), strict=True))
+        order = np.lexsort((owner[where], every))
+        gram, text = every[order], owner[where][order]
+        new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])])
+        gram, is_toxic = gram[new], toxic[text[new]]
+        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+        n_toxic = np.add.reduceat(is_toxic, first).astype(np.int64)
+        n_all = np.diff(np.concatenate([first, [gram.size]]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(gram[first].view(np.int64)), pa.array(n_toxic), pa.array(n_all - n_toxic)],
+            ["gram", "n_toxic", "n_clean"])
+
+
 def gram_counts(sample: DataFrame) -> DataFrame:
     """``gram, n_toxic, n_clean``: documents of the sample that have each n-gram, by class."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=BLOCK_BYTES):
-            codes, owner = prepared(batch.column("text").to_pylist())
-            toxic = batch.column("toxic").to_numpy()
-            every, where = (np.concatenate(x) for x in zip(*grams(codes), strict=True))
-            order = np.lexsort((owner[where], every))
-            gram, text = every[order], owner[where][order]
-            new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])])
-            gram, is_toxic = gram[new], toxic[text[new]]
-            first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-            n_toxic = np.add.reduceat(is_toxic, first).astype(np.int64)
-            n_all = np.diff(np.concatenate([first, [gram.size]]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram[first].view(np.int64)), pa.array(n_toxic), pa.array(n_all - n_toxic)],
-                ["gram", "n_toxic", "n_clean"])
-
-    return sample.mapInArrow(count, "gram long, n_toxic long, n_clean long") \
+    return sample.mapInArrow(block_counts, "gram long, n_toxic long, n_clean long") \
         .groupBy("gram").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
 
 

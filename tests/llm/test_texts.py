@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
@@ -219,6 +220,26 @@ def test_pieces_take_a_text_column_of_any_case(spark):
     assert [(r.row.Text, r.row.ids, r.decoded) for r in rows] == [("one two", 3, "one two"), (None, 4, "")]
 
 
+def test_grams_are_counted_in_small_blocks():
+    texts = [" ".join(f"w{(i * k) % 9973}" for k in range(300)) for i in range(1, 601)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 3 == 0 for i in range(600)]).cast(pa.int32())], ["text", "toxic"])
+    tracemalloc.start()
+    try:
+        found = list(toxicity.block_counts(iter([batch])))
+        assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    finally:
+        tracemalloc.stop()
+    counts, whole = Counter(), Counter()
+    for part in found:
+        for gram, n_toxic, n_clean in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            counts[gram, 1], counts[gram, 0] = counts[gram, 1] + n_toxic, counts[gram, 0] + n_clean
+    for i, text in enumerate(texts):
+        codes, _ = toxicity.prepared([text])
+        for gram in set(np.concatenate([every for every, _ in toxicity.grams(codes)]).view(np.int64).tolist()):
+            whole[gram, int(i % 3 == 0)] += 1
+    assert +counts == whole
+
+
 def test_long_words_are_counted_but_not_kept(make, monkeypatch):
     monkeypatch.setattr(token_counts, "LONGEST_KNOWN", 5)
     got = token_counts.token_counts(make([(1, "short longerword longerword"), (2, "longerword short")]), queries.piece_model())
